@@ -54,8 +54,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets of each row in them) for runs of rows; a null is empty."""
+def slices(column: pa.Array, most: int = 1 << 21, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets of each row in them) for runs of at most so many rows; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string())
@@ -70,7 +70,7 @@ def slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + most, side="right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, n, lo + rows)
         yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
         lo = hi
 
