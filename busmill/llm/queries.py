@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import licenses
+from .language import op10_language_id
+from .licenses import op5_license_scan
 from .packing import op7_pack_sequences
+from .quality import op3_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
+    "op5_license_scan": op5_license_scan,
     "op7_pack_sequences": op7_pack_sequences,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_license_scan": licenses.ORACLE}
