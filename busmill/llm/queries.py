@@ -6,17 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses
+from . import jaccard, licenses, topk
+from .jaccard import op2_near_duplicates
 from .language import op10_language_id
 from .licenses import op5_license_scan
 from .packing import op7_pack_sequences
+from .pages import op6_main_text
 from .quality import op3_quality
+from .topk import op9_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_quality": op3_quality,
     "op5_license_scan": op5_license_scan,
+    "op6_main_text": op6_main_text,
     "op7_pack_sequences": op7_pack_sequences,
+    "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_license_scan": licenses.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_near_duplicates": jaccard.ORACLE,
+    "op5_license_scan": licenses.ORACLE,
+    "op9_top_k": topk.ORACLE,
+}
