@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from .common import lowered, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
 from .jaccard import gram_hashes
 
-GRAM, FEW, SCORE = 4, 20, 0.5
+GRAM, FEW, SCORE = 4, 20, 0.4
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import jaccard, licenses, topk
+from .decontaminate import op8_decontamination
 from .jaccard import op2_near_duplicates
 from .language import op10_language_id
 from .licenses import op5_license_scan
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_main_text": op6_main_text,
     "op7_pack_sequences": op7_pack_sequences,
+    "op8_decontamination": op8_decontamination,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
 }
@@ -28,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_near_duplicates": jaccard.ORACLE,
     "op5_license_scan": licenses.ORACLE,
+    "op8_decontamination": op8_decontamination,
     "op9_top_k": topk.ORACLE,
 }
