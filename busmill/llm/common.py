@@ -37,11 +37,20 @@ def work_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Lets Spark delete the shuffle files of a query when it has ended.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, where: str, name: str, **options: str) -> DataFrame:
-    """df written to and read from where/name: later stages no longer depend on what made it."""
-    path = f"{where}/{name}"
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written to and read from where/name: later stages no longer depend on what made it, nor keep its shuffle files."""
+    spark, path = df.sparkSession, f"{where}/{name}"
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(spark: SparkSession, path: str) -> None:

@@ -171,6 +171,10 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sized.where(100 * F.col("c") >= PERCENT * (F.col("n") - F.col("c"))).select("a", "b")
 
 
+def _rooted(roots: DataFrame, name: str) -> DataFrame:
+    return roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id, text)."""
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
@@ -179,21 +183,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sigs = rows.select("node", F.explode("sigs").alias("sig")).repartition(partitions(spark), "sig")
     shared = sigs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     groups = stored(sigs.join(shared, "sig").distinct(), where, "groups")
-    first = (
-        rows.select(F.col("node").alias("a"), F.explode(F.array_distinct("pivots")).alias("b"))
+    held = rows.select("node", F.explode(F.arrays_zip("held", "pivots")).alias("x"))
+    met = (
+        held.select(F.col("node").alias("a"), F.col("x.pivots").alias("b"))
         .unionByName(groups.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")))
         .where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        .groupBy("a", "b")
+        .count()
     )
-    pairs = stored(first, where, "pairs")
+    pairs = stored(met, where, "pairs")
+    reps = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct()
-    reps = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep")).join(nodes, "node", "left_semi")
-    sets = stored(sets_of(docs, reps), where, "sets")
-    links = stored(linked(pairs, sets), where, "links")
-    roots = stored(components(links, where, "first"), where, "roots")
-    # Equal signatures over different components: all of those pairs that are not verified yet.
-    held = rows.select("node", F.explode(F.arrays_zip("held", "pivots")).alias("x"))
+    sets = stored(sets_of(docs, reps.join(nodes, "node", "left_semi")), where, "sets")
+    # First the pair of each set with the pivot that it shares most signatures with: that settles nearly all.
+    nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
+    links = stored(linked(nearest, sets), where, "links-1")
+    roots = stored(components(links, where, "first"), where, "roots-1")
+    # Then its other pivots, where they lie in another component.
+    apart = pairs.join(_rooted(roots, "a"), "a", "left").join(_rooted(roots, "b"), "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)")
+    links = stored(links.unionByName(linked(apart.select("a", "b").join(nearest, ["a", "b"], "left_anti"), sets)), where, "links-2")
+    roots = stored(components(links, where, "second"), where, "roots-2")
+    # At last equal signatures over different components: all of those pairs.
     tied = groups.select("sig", "node").unionByName(held.select(F.col("x.held").alias("sig"), F.explode(F.array("node", "x.pivots")).alias("node"))).distinct()
     placed = tied.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed_groups = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
@@ -202,9 +212,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not open_rows.isEmpty():
         other = open_rows.select("sig", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n_shingles").alias("m"))
         close = (F.col("b") > F.col("node")) & (F.col("root") != F.col("other")) & (100 * F.least("m", "n_shingles") >= PERCENT * F.greatest("m", "n_shingles"))
-        more = open_rows.join(other, "sig").where(close).select(F.col("node").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
-        links = stored(links.unionByName(linked(more, sets)), where, "all-links")
-        roots = stored(components(links, where, "all"), where, "all-roots")
+        more = open_rows.join(other, "sig").where(close).select(F.col("node").alias("a"), "b").distinct()
+        links = stored(links.unionByName(linked(more, sets)), where, "links-3")
+        roots = stored(components(links, where, "third"), where, "roots-3")
     found = rows.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return found.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
