@@ -145,30 +145,43 @@ def _lists(row: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=n))).astype(np.int32)), pa.array(value[order]))
 
 
+def parity(s: np.ndarray, b: int) -> np.ndarray:
+    """The bit sketch of a set in band b, as 64-bit words: each shingle flips one of 4 ** (b + 1) bits, 64 at least."""
+    size = max(6, 2 * b + 2)
+    count = np.bincount((s >> U64(64 - size)).astype(np.int64), minlength=1 << size) & 1
+    return np.packbits(count.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, shingles for the given nodes; nodes: node, doc_id of a document with that set."""
+    """node, n, band, shingles, bits (sketch in the own band), next_bits (in the next); nodes: node, rep, a document with that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                sets = list(shingle_sets(part.column(1)))
-                keep = [node == (set_hash(s) if len(s) else None) for node, s in zip(part.column(0).to_pylist(), sets, strict=True)]
-                sets = [s for s, k in zip(sets, keep, strict=True) if k]
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)), pa.array(np.concatenate(sets or [np.zeros(0, np.uint64)]).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(keep, pa.bool_())), lists], ["node", "shingles"])
+                kept = [(node, s, bands(len(s))[0]) for node, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1)), strict=True) if len(s) and node == set_hash(s)]
+                lists = [[s.view(np.int64) for _, s, _ in kept], [parity(s, b) for _, s, b in kept], [parity(s, b + 1) if len(bands(len(s))) > 1 else s[:0].view(np.int64) for _, s, b in kept]]
+                plain = [pa.array([x[0] for x in kept], pa.int64()), pa.array([len(x[1]) for x in kept], pa.int64()), pa.array([x[2] for x in kept], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*plain, *(_lists(np.repeat(np.arange(len(c)), [len(v) for v in c]), np.concatenate([np.zeros(0, np.int64), *c]), len(c)) for c in lists)], ["node", "n", "band", "shingles", "bits", "next_bits"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(nodes, F.col("doc_id").eqNullSafe(F.col("rep")))
-    return wanted.select("node", "text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return wanted.select("node", "text").mapInArrow(run, "node long, n long, band int, shingles array<long>, bits array<long>, next_bits array<long>").dropDuplicates(["node"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs a, b of nodes whose sets overlap enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
+    """Those of the pairs a, b of nodes whose sets overlap enough.
+
+    Sizes and the Hamming distance of the bit sketches, which the symmetric difference can't be below, leave few pairs for the sets."""
+    left, right = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "band", "bits", "next_bits")]).withColumnRenamed(f"node_{x}", x) for x in "ab")
+    sized = pairs.select("a", "b").join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    bits = [F.when(F.col(f"band_{x}") >= F.col(f"band_{y}"), F.col(f"bits_{x}")).otherwise(F.col(f"next_bits_{x}")) for x, y in ("ab", "ba")]
+    apart = F.aggregate(F.zip_with(*bits, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    # With a share p of the union in common, the symmetric difference is (1 - p) / (1 + p) of the sum of the sizes.
+    near = sized.where((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"))
+    left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
     common = F.size(F.array_intersect("s", "t"))
-    sized = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("c"), (F.size("s") + F.size("t")).alias("n"))
-    return sized.where(100 * F.col("c") >= PERCENT * (F.col("n") - F.col("c"))).select("a", "b")
+    both = near.join(left, "a").join(right, "b").select("a", "b", "n", common.alias("c"))
+    return both.where(100 * F.col("c") >= PERCENT * (F.col("n") - F.col("c"))).select("a", "b")
 
 
 def _rooted(roots: DataFrame, name: str) -> DataFrame:
