@@ -1,8 +1,8 @@
 """Exact top-k inner products by an impact-ordered index that is read score at a time.
 
-Vectors are dealt into blocks by a hash. A block's postings are kept by impact level, the bit length of a component's size.
+Vectors are dealt into blocks by a hash. A block's postings are kept by impact level, the size of a component in powers of four.
 A query takes the segments (component, level) in the order of the largest contribution they can make, tier by tier, and adds
-their contributions to the vectors' partial scores. What the segments that are left can still add bounds every score from
+their contributions to the vectors' partial scores; queries of one block do so together. What the segments that are left can still add bounds every score from
 both sides; when the bound proves that only a few vectors can be among the first k, those are scored exactly. Each block
 gives k rows a query, and a window over them gives the answer: no vector is left out without that proof.
 
@@ -39,51 +39,50 @@ def matrix(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 class ImpactIndex:
-    """Postings (vector, component, value) of a block by impact level."""
+    """A block's postings by impact level: for each level a matrix with the components of that size, and zero elsewhere."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[order], rows[order]
-        level = np.frexp(np.abs(self.rows))[1]
-        self.levels = []
-        for most in np.unique(level[level > 0])[::-1]:
-            at, dim = np.nonzero(level == most)
-            self.levels.append((float(2.0**most - 1), at, dim, self.rows[at, dim]))
-
-    def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and exact scores of the k first vectors; all, if there are fewer."""
-        others = self.ids != own
-        n = int(others.sum())
-        if n > 4 * k and self.levels and q.any():
-            possible = self.possible(others, q, k)
-        else:
-            possible = np.flatnonzero(others)
-        score = self.rows[possible] @ q
-        first = np.lexsort((self.ids[possible], -score))[:k]
-        return possible[first], score[first]
-
-    def possible(self, others: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
-        """Those whose upper bound reaches the k-th largest lower bound."""
-        impact = np.abs(q)[:, None] * np.array([top for top, *_ in self.levels])
-        tier = np.floor(np.log2(impact.max()) - np.log2(np.maximum(impact, 1e-9))).astype(np.int64)
-        tier[impact == 0] = np.iinfo(np.int64).max
-        steps = np.unique(tier[impact > 0])
-        left = [np.where(tier > t, impact, 0).max(1).sum() for t in steps]
-        partial = np.where(others, 0.0, -np.inf)
-        keep = np.flatnonzero(others)
-        for t, rest in zip(steps, left, strict=True):
-            for j, (_, at, dim, value) in enumerate(self.levels):
-                use = np.where(tier[:, j] == t, q, 0.0)
+        level = (np.frexp(np.abs(self.rows))[1] + 1) // 2
+        self.levels = [np.where(level == j, self.rows, 0.0) for j in np.unique(level[level > 0])[::-1]]
+        #: The largest size in each segment: by component and level.
+        self.most = np.stack([np.abs(x).max(0) for x in self.levels], 1) if self.levels else np.zeros((rows.shape[1], 0))
+
+    def search(self, own: np.ndarray, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the positions and exact scores of the k first vectors; all, if there are fewer."""
+        n = len(self.ids)
+        possible: list[np.ndarray] = [np.flatnonzero(self.ids != o) for o in own]
+        open_ = np.flatnonzero([len(p) > 4 * k for p in possible]) if self.levels else []
+        partial = np.zeros((len(open_), n))
+        partial[self.ids == own[open_][:, None]] = -np.inf
+        impact = np.abs(q[open_])[:, :, None] * self.most
+        with np.errstate(divide="ignore", invalid="ignore"):
+            tier = np.floor(np.log2(impact.max((1, 2), keepdims=True) / impact) / 2)
+        tier[impact == 0] = np.inf
+        for t in range(int(tier[np.isfinite(tier)].max(initial=-1)) + 1):
+            now = q[open_]
+            for j, x in enumerate(self.levels):
+                use = tier[:, :, j] == t
                 if use.any():
-                    weight = use[dim]
-                    some = weight != 0
-                    partial += np.bincount(at[some], weight[some] * value[some], minlength=len(partial))
-            # Every score lies within `rest` of its partial score.
-            cut = np.partition(partial, len(partial) - k)[len(partial) - k] - 2 * rest
-            keep = np.flatnonzero(partial >= cut)
-            if len(keep) <= max(4 * k, len(partial) // 32):
+                    partial += np.where(use, now, 0.0) @ x.T
+            # Every score lies within `rest` of its partial score, so those below `cut` are not among the first k.
+            rest = np.where(tier > t, impact, 0.0).max(2).sum(1)
+            cut = np.partition(partial, n - k, axis=1)[:, n - k] - 2 * rest
+            may = partial >= cut[:, None]
+            done = (may.sum(1) <= max(4 * k, n // 16)) | (rest == 0)
+            for i in np.flatnonzero(done):
+                possible[open_[i]] = np.flatnonzero(may[i])
+            if done.any():
+                open_, partial, impact, tier = (x[~done] for x in (open_, partial, impact, tier))
+            if not len(open_):
                 break
-        return keep
+        out = []
+        for p, x in zip(possible, q, strict=True):
+            score = self.rows[p] @ x
+            first = np.lexsort((self.ids[p], -score))[:k]
+            out.append((p[first], score[first]))
+        return out
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = 4096, together: int = 1024) -> DataFrame:
@@ -100,8 +99,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = 4096,
         if len(held) and len(asked):
             width = max(max(len(v) for v in t["embedding"]) for t in (held, asked))
             index = ImpactIndex(held["vec_id"].to_numpy(), matrix(held["embedding"], width))
-            for own, q in zip(asked["vec_id"].to_numpy(), matrix(asked["embedding"], width), strict=True):
-                at, score = index.search(own, q, k)
+            owns = asked["vec_id"].to_numpy()
+            for own, (at, score) in zip(owns, index.search(owns, matrix(asked["embedding"], width), k), strict=True):
                 out.append((np.full(len(at), own), index.ids[at], score.astype(np.int64)))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
