@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, licenses, topk
+from . import jaccard, licenses, lines, topk
 from .decontaminate import op8_decontamination
 from .jaccard import op2_near_duplicates
 from .language import op10_language_id
 from .licenses import op5_license_scan
+from .lines import op4_line_dedup
 from .packing import op7_pack_sequences
 from .pages import op6_main_text
 from .quality import op3_quality
@@ -19,6 +20,7 @@ from .topk import op9_top_k
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_quality": op3_quality,
+    "op4_line_dedup": op4_line_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_main_text": op6_main_text,
     "op7_pack_sequences": op7_pack_sequences,
@@ -29,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_near_duplicates": jaccard.ORACLE,
+    "op4_line_dedup": lines.ORACLE,
     "op5_license_scan": licenses.ORACLE,
     "op8_decontamination": op8_decontamination,
     "op9_top_k": topk.ORACLE,
