@@ -176,6 +176,9 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(table(spark, sf_dir, "documents"), vocabulary)
+def digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(pack(table(spark, sf_dir, "documents"), vocabulary))

@@ -1,19 +1,76 @@
-"""The corpus pipeline: each stage calls one operator of busmill.llm over all that the stage before it kept."""
+"""The corpus pipeline: quality, line dedup, near duplicates, decontamination, packing.
+
+Each stage calls one operator of busmill.llm over all that the stage before it kept, and its decisions take effect: documents that
+the quality classifier rejects go; lines that an earlier line repeats go, and documents left without a line; one document of each
+group of near duplicates stays, the one with the smallest id; documents that copy an item of the benchmark go; what remains is packed.
+
+Documents without an id are kept by the third and fourth stage. Of rows with one id the third stage keeps the one with the
+smallest text. All stages but the last give the columns of documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from busmill.llm import decontaminate, jaccard, lines, packing, quality
+from busmill.llm.common import stored, table, work_dir
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality field, learned from the labelled ones among them, doesn't reject."""
+    field = quality.trained(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, field).where("predicted = 1").select(*COLUMNS)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the lines that no earlier line repeats; n_chars is that of the text that is left."""
+    out = lines.dedup_lines(docs.select(*COLUMNS))
+    return out.where("n_dropped < n_lines OR n_lines = 0").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    kept = jaccard.near_duplicates(docs).where("doc_id = component_id OR doc_id IS NULL").select("doc_id").distinct()
+    same = Window.partitionBy("doc_id").orderBy("text")
+    rows = docs.select(*COLUMNS).join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    with_id = rows.where("doc_id IS NOT NULL").withColumn("copy", F.row_number().over(same)).where("copy = 1").drop("copy")
+    return with_id.unionByName(rows.where("doc_id IS NULL"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item."""
+    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of training sequences, as of op7_pack_sequences."""
+    return packing.digests(packing.pack(docs, packing.vocabulary))
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_lines),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_leaks),
+    ("packing", pack),
+]
 
+#: SQL can't express the classifier.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """Applies the stages to documents; each but the last is written to the shared folder and read again."""
+    where, docs = work_dir(spark), table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stored(docs, where, f"stage-{k}")
     return docs
