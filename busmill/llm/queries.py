@@ -15,9 +15,11 @@ from .lines import op4_line_dedup
 from .packing import op7_pack_sequences
 from .pages import op6_main_text
 from .quality import op3_quality
+from .repeats import op1_repeated_bytes
 from .topk import op9_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_bytes": op1_repeated_bytes,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
