@@ -6,9 +6,9 @@ most, so the Hamming distance of two sketches, in cells, is at most the symmetri
 differ in at most d = size / 3 shingles, and more than d cells of either hold something; so among the first d + 1 of the cells
 that hold something, in any one order, two linked sets share one (pigeonhole). The order puts cells that many texts hold last.
 
-Candidates are sets that share such a cell, and they are verified by their whole sets. To avoid all pairs of a group, a group's
-sets are first held against its smallest and largest, and then, where they still lie in different components,
-against each other. A map task settles its own equal cells itself and sends on one for each, so a cell that many texts hold is no large group.
+Candidates are sets that share such a cell. Bit sketches, where each shingle flips a bit, rule most of them out by their Hamming
+distance; the others are verified by their whole sets. To avoid all pairs of a group, a group's sets are first held
+against its smallest and largest, and then, where they still lie in different components, against each other. A map task settles its own equal cells itself and sends on one for each, so a cell that many texts hold is no large group.
 
 Sets are known by 64-bit hashes, shingles too. Null and empty texts have an empty set, link with nothing and are components
 of their own. Repeated rows are linked as equal texts. A null id never is a component's id, unless all ids in it are null. Extra columns are not read.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, lowered, mixed, partitions, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
+from .common import U64, dropped, lowered, mixed, partitions, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
 from .graph import components
 
 WORDS, PERCENT = 5, 75
@@ -93,6 +93,16 @@ def probes(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def parity(s: np.ndarray, b: int) -> np.ndarray:
+    """The bit sketch of a set in band b, as 64-bit words: each shingle flips one of 4 ** (b + 1) bits, 64 at least."""
+    size = max(6, 2 * b + 2)
+    count = np.bincount((s >> U64(64 - size)).astype(np.int64), minlength=1 << size) & 1
+    return np.packbits(count.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+_NONE = np.zeros(0, np.int64)
+
+
 def frequent_cells(docs: DataFrame) -> np.ndarray:
     """Signatures that many texts hold, at most MOST_HOT; any such set gives the same links, a good one gives small groups."""
 
@@ -112,16 +122,20 @@ def frequent_cells(docs: DataFrame) -> np.ndarray:
 
 def signed(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     """doc_id, n_shingles, node (hash of the set, null if empty), sigs, and held, pivots: signatures that a smaller node, the pivot,
-    of the same task has too and sends on."""
+    of the same task has too and sends on; band, bits and next_bits, the bit sketches in the own band and, if need be, the next."""
     hot_cells = docs.sparkSession.sparkContext.broadcast(hot)  # at most MOST_HOT numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4000):
                 part = batch.slice(lo, 4000)
-                size, node, sigs = [], [], []
+                size, node, sigs, band, sketch = [], [], [], [], ([], [])
                 for s in shingle_sets(part.column(1)):
                     size.append(len(s))
+                    in_bands = bands(len(s)) if len(s) else []
+                    band.append(in_bands[0] if in_bands else None)
+                    for k in (0, 1):
+                        sketch[k].append(parity(s, in_bands[k]) if k < len(in_bands) else _NONE)
                     node.append(set_hash(s) if len(s) else None)
                     sigs.append(probes(s, hot_cells.value) if len(s) else s)
                 flat = np.concatenate(sigs).view(np.int64)
@@ -133,11 +147,11 @@ def signed(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 lead = o[np.maximum.accumulate(np.where(head, np.arange(len(f)), 0))] if len(f) else o
                 tied = lead != o
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), _lists(d[head], f[head], len(sigs)), _lists(d[tied], f[tied], len(sigs)), _lists(d[tied], lead[tied], len(sigs))],
-                    ["doc_id", "n_shingles", "node", "sigs", "held", "pivots"],
+                    [part.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), _lists(d[head], f[head], len(sigs)), _lists(d[tied], f[tied], len(sigs)), _lists(d[tied], lead[tied], len(sigs)), pa.array(band, pa.int32()), *map(_joined, sketch)],
+                    ["doc_id", "n_shingles", "node", "sigs", "held", "pivots", "band", "bits", "next_bits"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, node long, sigs array<long>, held array<long>, pivots array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, node long, sigs array<long>, held array<long>, pivots array<long>, band int, bits array<long>, next_bits array<long>")
 
 
 def _lists(row: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
@@ -145,89 +159,84 @@ def _lists(row: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=n))).astype(np.int32)), pa.array(value[order]))
 
 
-def parity(s: np.ndarray, b: int) -> np.ndarray:
-    """The bit sketch of a set in band b, as 64-bit words: each shingle flips one of 4 ** (b + 1) bits, 64 at least."""
-    size = max(6, 2 * b + 2)
-    count = np.bincount((s >> U64(64 - size)).astype(np.int64), minlength=1 << size) & 1
-    return np.packbits(count.astype(np.uint8), bitorder="little").view(np.int64)
+def _joined(values: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(v) for v in values])).astype(np.int32)), pa.array(np.concatenate([_NONE, *values])))
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n, band, shingles, bits (sketch in the own band), next_bits (in the next); nodes: node, rep, a document with that set."""
+    """node, shingles; nodes: node, rep, the id of a document with that set. Repeated rows give repeated sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                kept = [(node, s, bands(len(s))[0]) for node, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1)), strict=True) if len(s) and node == set_hash(s)]
-                lists = [[s.view(np.int64) for _, s, _ in kept], [parity(s, b) for _, s, b in kept], [parity(s, b + 1) if len(bands(len(s))) > 1 else s[:0].view(np.int64) for _, s, b in kept]]
-                plain = [pa.array([x[0] for x in kept], pa.int64()), pa.array([len(x[1]) for x in kept], pa.int64()), pa.array([x[2] for x in kept], pa.int32())]
-                yield pa.RecordBatch.from_arrays([*plain, *(_lists(np.repeat(np.arange(len(c)), [len(v) for v in c]), np.concatenate([np.zeros(0, np.int64), *c]), len(c)) for c in lists)], ["node", "n", "band", "shingles", "bits", "next_bits"])
+                kept = [(node, s.view(np.int64)) for node, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1)), strict=True) if len(s) and node == set_hash(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in kept], pa.int64()), _joined([x[1] for x in kept])], ["node", "shingles"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(nodes, F.col("doc_id").eqNullSafe(F.col("rep")))
-    return wanted.select("node", "text").mapInArrow(run, "node long, n long, band int, shingles array<long>, bits array<long>, next_bits array<long>").dropDuplicates(["node"])
+    return wanted.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs a, b of nodes whose sets overlap enough.
+def near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of the pairs a, b of nodes whose sizes and bit sketches let them link, with the sum of their sizes, n.
 
-    Sizes and the Hamming distance of the bit sketches, which the symmetric difference can't be below, leave few pairs for the sets."""
-    left, right = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "band", "bits", "next_bits")]).withColumnRenamed(f"node_{x}", x) for x in "ab")
+    The symmetric difference of two sets can't be below the Hamming distance of their sketches."""
+    left, right = (sketches.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "band", "bits", "next_bits")]).withColumnRenamed(f"node_{x}", x) for x in "ab")
     sized = pairs.select("a", "b").join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     bits = [F.when(F.col(f"band_{x}") >= F.col(f"band_{y}"), F.col(f"bits_{x}")).otherwise(F.col(f"next_bits_{x}")) for x, y in ("ab", "ba")]
     apart = F.aggregate(F.zip_with(*bits, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     # With a share p of the union in common, the symmetric difference is (1 - p) / (1 + p) of the sum of the sizes.
-    near = sized.where((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"))
-    left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
-    common = F.size(F.array_intersect("s", "t"))
-    both = near.join(left, "a").join(right, "b").select("a", "b", "n", common.alias("c"))
-    return both.where(100 * F.col("c") >= PERCENT * (F.col("n") - F.col("c"))).select("a", "b")
+    return sized.where((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"))
 
 
-def _rooted(roots: DataFrame, name: str) -> DataFrame:
-    return roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, where: str, name: str) -> DataFrame:
+    """Those of the near pairs a, b, n whose sets overlap enough."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = stored(sets_of(docs, reps.join(nodes, "node", "left_semi")), where, f"sets-{name}")
+    left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
+    common = F.size(F.array_intersect("s", "t"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", common.alias("c"))
+    out = stored(both.where(100 * F.col("c") >= PERCENT * (F.col("n") - F.col("c"))).select("a", "b").distinct(), where, f"links-{name}")
+    dropped(docs.sparkSession, f"{where}/sets-{name}")
+    return out
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id, text)."""
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    rows = stored(signed(docs, frequent_cells(docs)), where, "signed")
-    sigs = rows.select("node", F.explode("sigs").alias("sig")).repartition(partitions(spark), "sig")
+    whole = stored(signed(docs, frequent_cells(docs)), where, "signed")
+    sigs = whole.select("node", F.explode("sigs").alias("sig")).repartition(partitions(spark), "sig")
     shared = sigs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     groups = stored(sigs.join(shared, "sig").distinct(), where, "groups")
+    rows = stored(whole.drop("sigs"), where, "rows")
+    dropped(spark, f"{where}/signed")
+    known = rows.where("node IS NOT NULL")
+    reps = known.groupBy("node").agg(F.min("doc_id").alias("rep"))
     held = rows.select("node", F.explode(F.arrays_zip("held", "pivots")).alias("x"))
     met = (
         held.select(F.col("node").alias("a"), F.col("x.pivots").alias("b"))
         .unionByName(groups.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")))
         .where("a <> b")
-        .groupBy("a", "b")
-        .count()
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
-    pairs = stored(met, where, "pairs")
-    reps = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct()
-    sets = stored(sets_of(docs, reps.join(nodes, "node", "left_semi")), where, "sets")
-    # First the pair of each set with the pivot that it shares most signatures with: that settles nearly all.
-    nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
-    links = stored(linked(nearest, sets), where, "links-1")
+    sketches = stored(known.select("node", F.col("n_shingles").alias("n"), "band", "bits", "next_bits").dropDuplicates(["node"]), where, "sketches")
+    pairs = stored(near(met, sketches), where, "near")
+    links = linked(pairs, docs, reps, where, "pivots")
     roots = stored(components(links, where, "first"), where, "roots-1")
-    # Then its other pivots, where they lie in another component.
-    apart = pairs.join(_rooted(roots, "a"), "a", "left").join(_rooted(roots, "b"), "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)")
-    links = stored(links.unionByName(linked(apart.select("a", "b").join(nearest, ["a", "b"], "left_anti"), sets)), where, "links-2")
-    roots = stored(components(links, where, "second"), where, "roots-2")
-    # At last equal signatures over different components: all of those pairs.
+    # Equal signatures that still lie over different components: all of those pairs.
     tied = groups.select("sig", "node").unionByName(held.select(F.col("x.held").alias("sig"), F.explode(F.array("node", "x.pivots")).alias("node"))).distinct()
     placed = tied.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed_groups = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
-    sizes = rows.where("node IS NOT NULL").select("node", "n_shingles").distinct()
-    open_rows = stored(placed.join(mixed_groups, "sig").join(sizes, "node"), where, "open")
-    if not open_rows.isEmpty():
-        other = open_rows.select("sig", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n_shingles").alias("m"))
-        close = (F.col("b") > F.col("node")) & (F.col("root") != F.col("other")) & (100 * F.least("m", "n_shingles") >= PERCENT * F.greatest("m", "n_shingles"))
-        more = open_rows.join(other, "sig").where(close).select(F.col("node").alias("a"), "b").distinct()
-        links = stored(links.unionByName(linked(more, sets)), where, "links-3")
-        roots = stored(components(links, where, "third"), where, "roots-3")
+    open_rows = placed.join(mixed_groups, "sig").join(sketches.select("node", "n"), "node").select("sig", "node", "root", "n").repartition(partitions(spark), "sig")
+    other = open_rows.select("sig", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"))
+    close = (F.col("b") > F.col("node")) & (F.col("root") != F.col("other")) & (100 * F.least("m", "n") >= PERCENT * F.greatest("m", "n"))
+    crossing = open_rows.join(other, "sig").where(close).select(F.col("node").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = stored(near(crossing, sketches), where, "near-2")
+    if not more.isEmpty():
+        links = links.unionByName(linked(more, docs, reps, where, "others"))
+        roots = stored(components(links, where, "second"), where, "roots-2")
     found = rows.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return found.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
