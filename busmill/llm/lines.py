@@ -7,7 +7,9 @@ dropped itself still counts.
 Each line is cut into tau + 1 segments; of two lines within tau edits, one segment of the shorter stands whole in the longer, and
 at few places: of the i-th segment, i edits at most can be before it and the others after it. So the longer line probes, for each
 shorter length that is near enough, only those substrings. Segments and probes meet by the hash of the substring, its length
-class and its number; the pairs that meet are verified by Spark's banded edit distance, which stops beyond tau.
+class and its number. Parity sketches of neighbouring characters, which tau edits can change in few bits, rule most meetings
+out as they are joined, so a large group of lines with one segment in common doesn't become all its pairs; the others are
+verified by Spark's banded edit distance, which stops beyond tau.
 
 Equal lines are one line before they are compared. Null texts are kept as they are; empty texts have one empty line.
 Rows that are equal in id and text are treated alike, each keeping what the first keeps. Lines are parted by line feeds, and the
@@ -48,6 +50,13 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
     return rows.withColumn("size", F.length("line")).where(F.col("size") >= least).withColumn("h", F.xxhash64("line", "size"))
 
 
+def _sketch(line: Column) -> Column:
+    """64 bits, each the parity of the pairs of neighbouring characters that hash to it."""
+    chars = F.split(line, "")
+    pairs = F.zip_with(F.slice(chars, F.lit(1), F.size(chars) - 1), F.slice(chars, F.lit(2), F.size(chars) - 1), lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(64)).cast("int"))
+    return F.aggregate(pairs, F.lit(0).cast("long"), lambda bits, i: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+
+
 def repeated_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
     """doc_id, text_key, dropped (places): the lines of docs (doc_id, text) that an earlier line makes needless."""
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
@@ -60,10 +69,14 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataF
     keys = lines.select("h", F.explode(tagged).alias("x")).select("x.key", "h", "x.segment").repartition(partitions(spark), "key")
     shared = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.bool_or("segment").alias("any")).where("low < high AND any").select("key")
     met = stored(keys.join(shared, "key").distinct(), where, "met")
-    left, right = met.where("segment").select("key", F.col("h").alias("a")), met.select("key", F.col("h").alias("b"))
-    pairs = stored(left.join(right, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), where, "pairs")
-    wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
-    texts = stored(_lines(docs, max(least, tau + 1)).select("h", "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]), where, "texts")
+    # Sort-merge at every size: neither side has a bound.
+    wanted = met.select("h").distinct().hint("merge")
+    texts = stored(_lines(docs, max(least, tau + 1)).select("h", "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]).withColumn("sketch", _sketch(F.col("line"))), where, "texts")
+    drawn = met.join(texts.select("h", "sketch"), "h")
+    left, right = drawn.where("segment").select("key", F.col("h").alias("a"), F.col("sketch").alias("x")), drawn.select("key", F.col("h").alias("b"), F.col("sketch").alias("y"))
+    # An edit changes four pairs of neighbouring characters at most.
+    near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= 4 * tau)
+    pairs = stored(left.join(right, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), where, "pairs")
     linked = (
         pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("s")), "a")
         .join(texts.select(F.col("h").alias("b"), F.col("line").alias("t")), "b")
@@ -84,7 +97,7 @@ def dedup_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFram
     """docs (doc_id, text, others) with the text that is left, and n_lines and n_dropped."""
     gone = repeated_lines(docs, tau, least).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "dropped")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*names).join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text", F.length("text")) == F.col("gone_key")), "left")
+    rows = docs.select(*names).join(gone.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text", F.length("text")) == F.col("gone_key")), "left")
     parts = F.split(F.col("text").cast("string"), "\n", -1)
     left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("dropped", i)), "\n")
     text = F.when(F.col("dropped").isNull(), F.col("text").cast("string")).otherwise(left)
