@@ -79,13 +79,15 @@ def ranks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def packed(block: int, bucket: np.ndarray, value: np.ndarray, full: np.ndarray) -> Iterator[tuple]:
     """(bucket, block, values, flags, indexes): for each bucket the distinct values of a block in order, the first index of
     each, marked TWICE if the block has the value (told by `full`) more than once."""
+    if not len(full):
+        return
     order = np.argsort(full, kind="stable")
-    head = np.append(True, full[order][1:] != full[order][:-1])[: len(order)]
-    twice = np.append(~head[1:], False)[: len(order)][head]
+    head = np.append(True, full[order][1:] != full[order][:-1])
+    twice = np.append(~head[1:], False)[head]
     first = order[head]
     by = np.argsort(bucket[first], kind="stable")
     first, twice = first[by], twice[by]
-    cut = np.flatnonzero(np.append(True, np.diff(bucket[first]) != 0)) if len(first) else np.zeros(0, np.int64)
+    cut = np.flatnonzero(np.append(True, np.diff(bucket[first]) != 0))
     for a, b in zip(cut, np.append(cut[1:], len(first)), strict=True):
         part = first[a:b]
         yield int(bucket[part[0]]), block, value[part].tobytes(), (part.astype(np.uint32) | np.where(twice[a:b], TWICE, np.uint32(0))).tobytes()
