@@ -54,9 +54,9 @@ def measures(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     key = mixed(h + doc * U64(0x9E3779B97F4A7C15))
     again = np.ones(len(ws), bool)
     again[np.unique(key, return_index=True)[1]] = False
-    same = np.append(False, one & (h[1:] == h[:-1]))
+    same = np.append(False, one & (h[1:] == h[:-1]))[: len(ws)]
     length = we - ws
-    titled = upper[ws] if len(ws) else np.zeros(0, bool)
+    titled = upper[ws]
     count = lambda flag: np.bincount(row[flag], minlength=len(start)).astype(np.float64)
     words = np.maximum(count(np.ones(len(ws), bool)), 1)
     mean = np.bincount(row, length, minlength=len(start)) / words
