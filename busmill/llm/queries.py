@@ -35,6 +35,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_near_duplicates": jaccard.ORACLE,
     "op4_line_dedup": lines.ORACLE,
     "op5_license_scan": licenses.ORACLE,
-    "op8_decontamination": op8_decontamination,
     "op9_top_k": topk.ORACLE,
 }
