@@ -39,7 +39,7 @@ LENGTH, HEAD = 400, 32
 PERIOD = 273
 COVER = [0, 1, 3, 7, 15, 31, 63, 90, 116, 127, 136, 181, 194, 204, 233, 238, 255]
 CORE = LENGTH - PERIOD + 1
-BLOCK, BUCKET = 1 << 20, 8_000_000
+BLOCK, BUCKET = 1 << 19, 8_000_000
 TWICE = np.uint32(1 << 31)
 
 
@@ -76,21 +76,27 @@ def ranks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, span_hashes(prefix_hashes(data), at, at + CORE)
 
 
-def packed(block: int, bucket: np.ndarray, value: np.ndarray, full: np.ndarray) -> Iterator[tuple]:
-    """(bucket, block, values, flags, indexes): for each bucket the distinct values of a block in order, the first index of
-    each, marked TWICE if the block has the value (told by `full`) more than once."""
-    if not len(full):
+def distinct(full: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An index of each distinct value, in the order of the values, whether it occurs again, and the indexes of the other occurrences."""
+    order = np.argsort(full)
+    head = np.append(True, full[order][1:] != full[order][:-1])[: len(order)]
+    twice = np.append(~head[1:], False)[: len(order)]
+    return order[head], twice[head], order[~head]
+
+
+def packed(block: int, bucket: np.ndarray, value: np.ndarray, first: np.ndarray, twice: np.ndarray) -> Iterator[tuple]:
+    """(bucket, block, values, places): for each bucket the distinct values of a block in order, and their indexes `first`, marked
+    TWICE if the block has the value more than once. Equal values in any order give the same rows but for the places."""
+    if not len(first):
         return
-    order = np.argsort(full, kind="stable")
-    head = np.append(True, full[order][1:] != full[order][:-1])
-    twice = np.append(~head[1:], False)[head]
-    first = order[head]
-    by = np.argsort(bucket[first], kind="stable")
-    first, twice = first[by], twice[by]
-    cut = np.flatnonzero(np.append(True, np.diff(bucket[first]) != 0))
+    of = bucket[first]
+    by = np.argsort(of.astype(np.uint16) if of.max() < 1 << 16 else of, kind="stable")
+    first, twice, of = first[by], twice[by], of[by]
+    cut = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    places = first.astype(np.uint32) | np.where(twice, TWICE, np.uint32(0))
+    values = value[first]
     for a, b in zip(cut, np.append(cut[1:], len(first)), strict=True):
-        part = first[a:b]
-        yield int(bucket[part[0]]), block, value[part].tobytes(), (part.astype(np.uint32) | np.where(twice[a:b], TWICE, np.uint32(0))).tobytes()
+        yield int(of[a]), block, values[a:b].tobytes(), places[a:b].tobytes()
 
 
 VOTES = "bucket long, block long, value binary, place binary"
@@ -112,7 +118,7 @@ def ties(dtype: str):
         place = np.concatenate([np.frombuffer(p, np.uint32) for p in votes["place"].to_pylist()])
         size = [len(v) for v in value]
         value = np.concatenate(value)
-        order = np.argsort(value, kind="stable")
+        order = np.argsort(value)
         same = value[order][1:] == value[order][:-1]
         tied = np.zeros(len(value), bool)
         tied[order[1:][same]] = tied[order[:-1][same]] = True
@@ -146,36 +152,33 @@ def tied_entries(votes: Iterator[tuple], ties: list[dict]) -> np.ndarray:
 
 
 def rank_votes(block: int, data: np.ndarray, off: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, Iterator[tuple]]:
+    """The sample's places, those of them whose rank an earlier one of the block has, and the votes."""
     at, rank = ranks(data, off)
-    return at, rank, packed(block, (rank >> U64(32)) % U64(buckets), (rank & U64(0xFFFFFFFF)).astype(np.uint32), rank)
-
-
-def with_all_equal(value: np.ndarray, some: np.ndarray) -> np.ndarray:
-    """Whether each value is that of one of the entries `some`."""
-    return np.isin(value, value[some])
+    first, twice, again = distinct(rank)
+    return at, again, packed(block, (rank >> U64(32)) % U64(buckets), (rank & U64(0xFFFFFFFF)).astype(np.uint32), first, twice)
 
 
-def window_votes(block: int, text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, turns: int, buckets: int, turn: int | None) -> tuple[np.ndarray, list]:
-    """The hashes of the candidate windows of a block, and the votes of one turn, or of all.
+def window_votes(block: int, text: np.ndarray, lengths: np.ndarray, turns: int, buckets: int, turn: int | None) -> tuple[int, np.ndarray, list]:
+    """The number of candidate windows of a block, those whose string another one of the block has, and the votes; of one turn, or of all.
 
     text: the pieces one after another; each has lengths + LENGTH - 1 bytes."""
     h = prefix_hashes(text)
     size = lengths + LENGTH - 1
-    begin = np.cumsum(size) - size
-    at = np.concatenate([np.arange(b, b + n) for b, n in zip(begin, lengths, strict=True)]) if len(lengths) else begin
+    at = np.arange(lengths.sum()) + np.repeat(np.cumsum(size) - size - np.cumsum(lengths) + lengths, lengths)
     head = span_hashes(h, at, at + HEAD) >> U64(16)
     of_turn = head % U64(turns)
     bucket = (head // U64(turns)) % U64(buckets) * U64(turns) + of_turn
-    votes = []
-    whole = np.zeros(len(at), np.uint64)
+    votes, others = [], [np.zeros(0, np.int64)]
     for t in range(turns) if turn is None else [turn]:
         mine = np.flatnonzero(of_turn == t)
         value = span_hashes(h, at[mine], at[mine] + LENGTH)
-        whole[mine] = value
-        for b, k, v, place in packed(block, bucket[mine], value, value):
+        first, twice, again = distinct(value)
+        others.append(mine[again])
+        # The places are those among all windows of the block.
+        for b, k, v, place in packed(block, bucket[mine], value, first, twice):
             place = np.frombuffer(place, np.uint32)
             votes.append((b, k, v, (mine[place & ~TWICE].astype(np.uint32) | (place & TWICE)).tobytes()))
-    return whole, votes
+    return len(at), np.concatenate(others), votes
 
 
 def candidates(at: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,8 +214,8 @@ def repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for block, ends, data, tied in zip(*batch.columns, strict=True):
                 data, off = _texts(ends, data)
-                at, rank, votes = rank_votes(block.as_py(), data, off, rank_buckets)
-                marked = at[with_all_equal(rank, tied_entries(votes, tied.as_py()))]
+                at, again, votes = rank_votes(block.as_py(), data, off, rank_buckets)
+                marked = np.sort(at[np.concatenate([again, tied_entries(votes, tied.as_py())])])
                 start, count = candidates(marked, off)
                 if len(start):
                     text = np.concatenate([data[a : a + n + LENGTH - 1] for a, n in zip(start, count, strict=True)])
@@ -230,7 +233,8 @@ def repeats(docs: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in zip(*batch.columns, strict=True):
-                    _, votes = window_votes(*_piece(row[:4]), turns, buckets, turn)
+                    block, text, _, lengths = _piece(row)
+                    _, _, votes = window_votes(block, text, lengths, turns, buckets, turn)
                     if votes:
                         yield _votes(votes)
 
@@ -240,9 +244,10 @@ def repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for row in zip(*batch.columns, strict=True):
                 block, text, starts, lengths = _piece(row[:4])
-                whole, votes = window_votes(block, text, starts, lengths, turns, buckets, None)
-                tied = with_all_equal(whole, tied_entries(iter(votes), row[4].as_py()))
-                at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(len(whole))
+                n, again, votes = window_votes(block, text, lengths, turns, buckets, None)
+                tied = np.zeros(n, bool)
+                tied[again] = tied[tied_entries(iter(votes), row[4].as_py())] = True
+                at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(n)
                 yield _batch([(block, at[tied].tobytes())], ["block", "tied"], [pa.int64(), pa.binary()])
 
     columns = pieces.select("block", "text", "starts", "lengths")
