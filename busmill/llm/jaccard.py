@@ -28,7 +28,7 @@ from .common import U64, dropped, lowered, mixed, partitions, prefix_hashes, sli
 from .graph import components
 
 WORDS, PERCENT = 5, 75
-MOST_HOT = 100_000
+MOST_HOT = 200_000
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -110,10 +110,11 @@ def frequent_cells(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4000):
                 part = batch.column(0).slice(lo, 4000)
-                sigs = [sig for s in shingle_sets(part) if len(s) for _, sig in cells(s)]
+                own = {set_hash(s): s for s in shingle_sets(part) if len(s)}  # equal texts count once
+                sigs = [sig for s in own.values() for _, sig in cells(s)]
                 if sigs:
                     value, count = np.unique(np.concatenate(sigs), return_counts=True)
-                    often = count >= max(16, len(part) // 200)
+                    often = count >= max(4, len(part) // 1000)
                     yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(count[often].astype(np.int64))], ["sig", "n"])
 
     found = docs.select("text").mapInArrow(run, "sig long, n long").groupBy("sig").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sig").limit(MOST_HOT)
