@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, dropped, lowered, mixed, partitions, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
@@ -178,16 +178,27 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return wanted.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Those of the pairs a, b of nodes whose sizes and bit sketches let them link, with the sum of their sizes, n.
+_SKETCH = ["node", "n", "band", "bits", "next_bits"]
+
+
+def _side(sketches: DataFrame, x: str) -> DataFrame:
+    return sketches.select(*[c for c in sketches.columns if c not in _SKETCH], *[F.col(c).alias(f"{c}_{x}" if c != "node" else x) for c in _SKETCH])
+
 
-    The symmetric difference of two sets can't be below the Hamming distance of their sketches."""
-    left, right = (sketches.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "band", "bits", "next_bits")]).withColumnRenamed(f"node_{x}", x) for x in "ab")
-    sized = pairs.select("a", "b").join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+def _may_link() -> Column:
+    """Whether the sizes and bit sketches of sides a and b let their sets link.
+
+    The symmetric difference of two sets can't be below the Hamming distance of their sketches; with a share p of the union in
+    common it is (1 - p) / (1 + p) of the sum of the sizes."""
     bits = [F.when(F.col(f"band_{x}") >= F.col(f"band_{y}"), F.col(f"bits_{x}")).otherwise(F.col(f"next_bits_{x}")) for x, y in ("ab", "ba")]
     apart = F.aggregate(F.zip_with(*bits, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    # With a share p of the union in common, the symmetric difference is (1 - p) / (1 + p) of the sum of the sizes.
-    return sized.where((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"))
+    return F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)") & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b")))
+
+
+def near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of the pairs a, b of nodes that may link, with the sum of their sizes, n."""
+    both = pairs.select("a", "b").join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b")
+    return both.where(_may_link()).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"))
 
 
 def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, where: str, name: str) -> DataFrame:
@@ -230,11 +241,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tied = groups.select("sig", "node").unionByName(held.select(F.col("x.held").alias("sig"), F.explode(F.array("node", "x.pivots")).alias("node"))).distinct()
     placed = tied.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed_groups = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
-    open_rows = placed.join(mixed_groups, "sig").join(sketches.select("node", "n"), "node").select("sig", "node", "root", "n").repartition(partitions(spark), "sig")
-    other = open_rows.select("sig", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"))
-    close = (F.col("b") > F.col("node")) & (F.col("root") != F.col("other")) & (100 * F.least("m", "n") >= PERCENT * F.greatest("m", "n"))
-    crossing = open_rows.join(other, "sig").where(close).select(F.col("node").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(near(crossing, sketches), where, "near-2")
+    # The sketches are held against each other in the join itself, so a group of texts that share a passage isn't written out as its pairs.
+    open_rows = placed.join(mixed_groups, "sig").join(sketches, "node").select("sig", "root", *_SKETCH).repartition(partitions(spark), "sig")
+    other = _side(open_rows, "b").withColumnRenamed("root", "other")
+    crossing = (F.col("a") < F.col("b")) & (F.col("root") != F.col("other")) & _may_link()
+    found_pairs = _side(open_rows, "a").join(other, "sig").where(crossing).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n")).distinct()
+    more = stored(found_pairs.join(pairs, ["a", "b"], "left_anti"), where, "near-2")
     if not more.isEmpty():
         links = links.unionByName(linked(more, docs, reps, where, "others"))
         roots = stored(components(links, where, "second"), where, "roots-2")
