@@ -186,16 +186,16 @@ def test_quality_odd(spark, texts):
 
 def brute_lines(texts):
     def near(a, b):
-        row = list(range(len(b) + 1))
+        far, width = lines.TAU + 1, lines.TAU
+        row = {j: j for j in range(width + 1)}
         for i, x in enumerate(a, 1):
-            row = _next(row, x, b, i)
-        return row[-1] <= lines.TAU
-
-    def _next(row, x, b, i):
-        out = [i]
-        for j, y in enumerate(b, 1):
-            out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
-        return out
+            now = {}
+            for j in range(max(0, i - width), min(len(b), i + width) + 1):
+                now[j] = min(row.get(j, far) + 1, now.get(j - 1, far) + 1, row.get(j - 1, far) + (x != b[j - 1]) if j else far)
+            if min(now.values()) > width:
+                return False
+            row = now
+        return row.get(len(b), far) <= width
 
     seen, kept = [], []
     for t in texts:
