@@ -37,11 +37,16 @@ TOKEN = re.compile(
 NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img input label".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILER = frozenset("nav header footer aside form head title menu dialog figure audio video object canvas".split())
-BOILER_NAME = re.compile(
-    r"^(?:ads?|advert\w*|banner\w*|sponsor\w*|promo\w*|cookie\w*|consent\w*|notice\w*|alert\w*|popup\w*|modal\w*|sidebar\w*|side|menu\w*|nav\w*|breadcrumb\w*|footer|header|masthead"
-    r"|comments?|replies|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe\w*|signup|login|search|pagination|pager|toolbar|widget\w*|legal|copyright)$"
+BOILER = frozenset("nav header footer aside form head title menu dialog audio video object canvas".split())
+#: Whole class names, ids and roles of parts that are no text of the page; pieces of a name say nothing ("has-sidebar", "search-results").
+BOILER_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements sponsored cookie cookies cookie-notice cookie-banner cookie-bar cookie-consent consent-banner popup modal"
+    " sidebar side-bar menu main-menu nav navbar nav-bar navigation breadcrumb breadcrumbs footer site-footer page-footer header site-header page-header masthead"
+    " comments comment-list comments-area disqus disqus_thread share sharing share-buttons social social-links social-share related related-posts related-articles"
+    " newsletter newsletter-signup pagination pager toolbar widget widget-area contentinfo complementary".split()
 )
+#: Steps whose names say how a page is laid out or labelled, not that it is boilerplate.
+FRAME = frozenset("html body article main".split())
 CLOSED_BY = {"p": frozenset(["p"]), "li": frozenset(["li", "p"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"]), "tr": frozenset(["tr", "td", "th", "p"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"])}
 BLOCK_CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 BARRIER = frozenset("article body div html main section td table".split())
@@ -88,18 +93,26 @@ def clean(text: str) -> str:
 
 def boilerplate(step: str) -> bool:
     tag, _, names = step.partition(" ")
-    return tag in BOILER or any(BOILER_NAME.match(w) for name in names.split() for w in (name, *re.split(r"[-_]", name)))
+    return tag in BOILER or (tag not in FRAME and not BOILER_NAMES.isdisjoint(names.split()))
 
 
 def main_places(places: list[str]) -> tuple[str, ...]:
-    """The outermost articles of a template; else its main parts; else its bodies; else everything."""
+    """The outermost articles of a template; else its main parts; else its bodies; else everything.
+
+    Those in parts with a boilerplate tag don't count, and those in parts with a boilerplate name only where there are no others."""
     for tag in ("article", "main", "body"):
-        found = {p for p in places if (p.rpartition("/")[2].split(" ")[0] == tag or (tag == "main" and p.endswith(" main"))) and not any(map(boilerplate, p.split("/")[1:]))}
+        found = {p for p in places if is_a(p.rpartition("/")[2], tag) and not any(step.split(" ")[0] in BOILER for step in p.split("/")[1:])}
+        found = {p for p in found if not any(map(boilerplate, p.split("/")[1:-1]))} or found
         if found:
             return tuple(sorted(p for p in found if not any(p.startswith(q + "/") for q in found)))
     return ("",)
 
 
+def is_a(step: str, tag: str) -> bool:
+    own, _, names = step.partition(" ")
+    return own == tag or (tag == "main" and "main" in names.split())
+
+
 def tokens(pages: DataFrame) -> DataFrame:
     """host, token, kind, pages, vector: the number of the pages that hold a token, and the hash of how often each does."""
 

@@ -265,6 +265,20 @@ def test_pages(spark):
     assert found[0] == (full, len(full)) and found[1][0] == "other" and found[2] == ("", 0) and found[3] == ("", 0) and found[5][0] == "alone" and found[6][0] == "cut &am"
 
 
+def texts_of(spark, html):
+    return {r.page_id: r.text for r in pages.extract(spark.createDataFrame(html, "page_id long, url string, html string")).collect()}
+
+
+def test_page_names(spark):
+    """Names of the frame or pieces of names cut nothing; whole names of parts do."""
+    bodies = ["has-sidebar", "no-sidebar", "sidebar-right", "single-header", "layout-nav", "sidebar"]
+    main = "<article class='post comments-open'><p>one {0}</p><div class='legal-analysis'>two {0}</div><div class='search-results'>three {0}</div><figure><figcaption>four {0}</figcaption></figure><div class='share'>no</div></article>"
+    html = [(k, f"http://h{k}/", f"<html><body class='{c}'><div class='sidebar'><article>no</article></div><div class='page-wrap'>{main.format(k)}</div></body></html>") for k, c in enumerate(bodies)]
+    html += [(10, "http://b/", "<body class='has-sidebar'><p>bare</p></body>"), (11, "http://c/", "<body><div class='header'><div class='sidebar'><main><p>only</p></main></div></div></body>")]
+    found = texts_of(spark, html)
+    assert found == {k: f"one {k}\ntwo {k}\nthree {k}\nfour {k}" for k in range(len(bodies))} | {10: "bare", 11: "only"}
+
+
 def test_templates_either_way(spark, monkeypatch):
     a = rows(pages.op6_main_text(spark, DATA).toPandas())
     monkeypatch.setattr(pages, "SMALL", 0)
