@@ -1,12 +1,17 @@
 """Main text of web pages by deducing the template of their host.
 
-A page is read as tokens: a tag with its place among the sections that are open, or a text with its place. Tokens of a host that
-occur equally often on each of its pages (equal occurrence vectors, compared by a sum of hashes over the pages) form an
-equivalence class. Classes with enough pages are valid; nested by their places, they are the host's template. The main slot
-is the template's article, or else its main part, or else its body; in it the boilerplate parts are cut out, and where
-only the body is left, also the texts that the template repeats. What remains of a page in that slot is its text.
-
-Tokens are summed within each task before they are shuffled. Templates of a measured, small size are sent to the pages; beyond it
+A page is read as tokens: a tag with its place among the sections that are open, or a text with its place. Pages of a host whose own
+main slots hold the same texts are one page here, so copies of an article don't look like a template. Tokens that occur equally
+often on each page of their host (equal occurrence vectors, compared by a sum of hashes over the pages) form an equivalence
+class. A class on enough pages is valid if it holds a section, or if it is nested in a valid class as a fixed part: its texts
+occur equally often on every page that has them. Texts that are merely frequent have neither and are no template. (A text's section
+is on all pages that have the text, so the class of that section has enough pages too.)
+
+The sections of the valid classes are the host's template. The main slot is the template's article, or else its main part, or
+else its body; in it the parts that are boilerplate by tag or name are cut out, and the texts of the valid classes, whatever part they
+are in. What remains of a page in that slot is its text. A page whose article or main part holds template texts alone keeps them.
+
+Texts are shuffled as hashes. Templates of a measured, small size are sent to the pages; beyond it
 pages meet their host's template salted, so one host with most of the pages does no harm.
 
 Null and empty pages give the empty text. Pages cut off anywhere are read as far as they go. Pages without a host share one
@@ -15,6 +20,7 @@ template. Repeated rows get equal results. Extra columns are not read. An empty
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -113,70 +119,98 @@ def is_a(step: str, tag: str) -> bool:
     return own == tag or (tag == "main" and "main" in names.split())
 
 
+def text_key(place: str, text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{place}\n{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def roots_in(page: list[tuple[str, str, str]]) -> tuple[str, ...]:
+    """The main slot of a page without regard to others."""
+    return main_places([place for kind, place, _ in page if kind == "<"])
+
+
+class Slot:
+    """Tells for each place whether it is in the main slot and in no boilerplate part of it."""
+
+    def __init__(self, roots: tuple[str, ...]):
+        self.roots, self.known = roots, {}
+
+    def __contains__(self, place: str) -> bool:
+        if place not in self.known:
+            root = next((r for r in self.roots if place == r or place.startswith((r + "/", r + " "))), None)
+            self.known[place] = root is not None and not any(map(boilerplate, place[len(root) :].split("/")[1:]))
+        return self.known[place]
+
+
 def tokens(pages: DataFrame) -> DataFrame:
-    """host, token, kind, pages, vector: the number of the pages that hold a token, and the hash of how often each does."""
+    """host, place (of a section), text (its key), pages, vector, fixed: the number of the different pages that hold a token, the hash
+    of how often each does, and whether all do so equally often. The section "" is on every page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[tuple, list] = {}
-            for host, key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts = Counter((kind, place if kind != "t" else f"{place}\n{clean(text)}") for kind, place, text in read(page or "") if kind != "|")
-                for (kind, token), n in counts.items():
-                    # Python's own hash of numbers is the same everywhere.
-                    x = held.setdefault((host, kind, token), [0, 0])
-                    x[0] += 1
-                    x[1] = (x[1] + hash((key, n))) & ((1 << 62) - 1)
+            held: dict[tuple, int] = {}
+            for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not page:
+                    continue
+                found = [(kind, place, clean(text) if kind == "t" else "") for kind, place, text in read(page)]
+                slot = Slot(roots_in(found))
+                main = text_key("", "\n".join(text for kind, place, text in found if text and place in slot))
+                counts = Counter((place, None) if kind == "<" else (None, text_key(place, text)) for kind, place, text in found if kind == "<" or text)
+                counts["", None] = 1
+                for (place, text), n in counts.items():
+                    key = host, main, place, text
+                    held[key] = max(n, held.get(key, 0))
             if held:
-                cols = zip(*[(host, kind, token, n, v) for (host, kind, token), (n, v) in held.items()], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["host", "kind", "token", "pages", "vector"])
+                cols = [*zip(*held, strict=True), held.values()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["host", "page", "place", "text", "n"])
 
-    rows = pages.select("host", F.xxhash64("page_id", "url").alias("key"), "html").mapInArrow(run, "host string, kind string, token string, pages long, vector long")
-    return rows.groupBy("host", "kind", "token").agg(F.sum("pages").alias("pages"), F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"))
+    rows = pages.select("host", "html").mapInArrow(run, "host string, page long, place string, text long, n long")
+    # Copies of a page that differ outside the slot count as one with all that they have.
+    once = rows.groupBy("host", "place", "text", "page").agg(F.max("n").alias("n"))
+    vector = F.sum(F.xxhash64("page", "n").cast("decimal(20,0)"))
+    return once.groupBy("host", "place", "text").agg(F.count("*").alias("pages"), vector.alias("vector"), (F.min("n") == F.max("n")).alias("fixed"))
 
 
 def templates(pages: DataFrame, support: float = 0.5, fewest: int = 3) -> DataFrame:
-    """host, places, texts: sections of the host's valid classes, and texts that its template repeats.
+    """host, places, texts: the sections of the host's valid classes, and the keys of their texts.
 
-    A class is valid if it has a section or more and its pages are at least `support` of the host's; texts need `fewest` pages too.
-    Sections of one in `support` of the pages bound the number of places; texts are bounded likewise."""
-    held = tokens(pages)
-    sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    classes = held.join(sizes.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of"))).drop("of")
-    common = classes.where(F.col("pages") >= support * F.col("host_pages"))
-    sections = F.col("kind") == "<"
-    texts = (F.col("kind") == "t") & (F.col("pages") >= fewest)
-    by_class = common.groupBy("host", "pages", "vector").agg(F.collect_list(F.when(sections, F.col("token"))).alias("places"), F.collect_list(F.when(texts, F.col("token"))).alias("texts"))
-    return by_class.groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"), F.flatten(F.collect_list("texts")).alias("texts"))
+    A class's pages are at least `support` of the host's different ones; texts need `fewest` pages too. So sections of one in
+    `support` of the pages bound the number of places; texts are bounded likewise."""
+    held = stored(tokens(pages).where(F.col("place").isNotNull() | (F.col("pages") >= fewest)), work_dir(pages.sparkSession), "tokens")
+    sizes = held.where("place = ''").select(F.col("host").alias("of"), F.col("pages").alias("host_pages"))
+    common = held.join(sizes, F.col("host").eqNullSafe(F.col("of"))).where(F.col("pages") >= support * F.col("host_pages"))
+    classes = common.groupBy("host", "pages", "vector").agg(F.collect_list("place").alias("places"), F.collect_list("text").alias("texts"), F.bool_and("fixed").alias("fixed"))
+    valid = classes.where((F.size("places") > 0) | F.col("fixed"))
+    return valid.groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"), F.flatten(F.collect_list("texts")).alias("texts"))
 
 
-def text_of(page: str, places: list[str], texts: frozenset[str]) -> str:
+def text_of(page: str, places: list[str], texts: frozenset[int]) -> str:
     """The blocks of a page's main slot."""
     read_page = list(read(page))
     roots = main_places(places)
     if not any(p.startswith(roots) for _, p, _ in read_page):
-        roots = main_places([p for kind, p, _ in read_page if kind == "<"])
+        roots = roots_in(read_page)
     bare = all(r.rpartition("/")[2].split(" ")[0] in ("", "body") for r in roots)
-    blocks, open_block = [], []
-    kept: dict[str, bool] = {}
-    for kind, place, text in read_page:
-        if kind != "t":
-            blocks.append("".join(open_block))
-            open_block = []
-            continue
-        if place not in kept:
-            root = next((r for r in roots if place == r or place.startswith(r + "/") or place.startswith(r + " ")), None)
-            kept[place] = root is not None and not any(map(boilerplate, place[len(root) :].split("/")[1:]))
-        if kept[place] and not (bare and f"{place}\n{clean(text)}" in texts):
-            open_block.append(text)
-    blocks.append("".join(open_block))
-    return "\n".join(b for b in map(clean, blocks) if b)
+    slot = Slot(roots)
+
+    def blocks(cut: frozenset[int]) -> str:
+        out, open_block = [], []
+        for kind, place, text in read_page:
+            if kind != "t":
+                out.append("".join(open_block))
+                open_block = []
+            elif place in slot and not (cut and text_key(place, clean(text)) in cut):
+                open_block.append(text)
+        out.append("".join(open_block))
+        return "\n".join(b for b in map(clean, out) if b)
+
+    return blocks(texts) or ("" if bare else blocks(frozenset()))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """pages: page_id, url, html. Gives page_id, url, text, n_chars."""
     pages = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", F.expr("lower(regexp_extract(url, '^[^:/?#]*:?//([^/?#]*)', 1))"))
     known = stored(templates(pages), work_dir(pages.sparkSession), "templates")
-    size = known.agg(F.sum(64 + F.length(F.concat_ws(" ", "host", F.concat_ws(" ", "places"), F.concat_ws(" ", "texts"))))).first()[0] or 0
+    size = known.agg(F.sum(64 + F.length(F.concat_ws(" ", "host", F.concat_ws(" ", "places"))) + 8 * F.size("texts"))).first()[0] or 0
     known = known.withColumnRenamed("host", "of")
     same = F.col("host").eqNullSafe(F.col("of"))
     if size <= SMALL:

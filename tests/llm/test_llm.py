@@ -279,6 +279,18 @@ def test_page_names(spark):
     assert found == {k: f"one {k}\ntwo {k}\nthree {k}\nfour {k}" for k in range(len(bodies))} | {10: "bare", 11: "only"}
 
 
+def test_page_template_in_the_article(spark):
+    """Texts that a host repeats in its article go under any name; frequent words, copies of a page and texts of one page stay."""
+    end = "<div class='zz'>Read our guide</div>"
+    html = [(k, f"http://a/{k}", f"<body><article><p>own {k}</p>{'<p>Yes.</p>' * (1 + k % 3)}{end}{'<p>Rate this</p>' if k % 4 else ''}</article></body>") for k in range(8)]
+    html += [(20 + k, f"http://b/{k}", f"<body><i>ad {k}</i><article><p>same</p><p>twice</p></article></body>") for k in range(5)]
+    html += [(30 + k, f"http://c/{k}", f"<body><article>{end}{f'<p>c {k}</p>' if k else ''}</article></body>") for k in range(4)]
+    found = texts_of(spark, html)
+    assert {k: found[k] for k in range(8)} == {k: "\n".join([f"own {k}"] + ["Yes."] * (1 + k % 3)) for k in range(8)}
+    assert {found[20 + k] for k in range(5)} == {"same\ntwice"}
+    assert [found[30 + k] for k in range(4)] == ["Read our guide", "c 1", "c 2", "c 3"]
+
+
 def test_templates_either_way(spark, monkeypatch):
     a = rows(pages.op6_main_text(spark, DATA).toPandas())
     monkeypatch.setattr(pages, "SMALL", 0)
