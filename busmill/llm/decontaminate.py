@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment.
 
 The word n-grams of the benchmark's items are looked up in every whole text. A hit gives a diagonal, its place in the
-text less its place in the item; hits of one item on neighbouring diagonals mark one passage. Document frequencies over
-all texts say which of an item's n-grams are rare: the rarer half, and all that at most FEW texts have. Passages with a
-rare seed are aligned with the item word by word (match 2, other word -1, gap -1), and the local score, as a share of the
-item's own, tells whether the passage copies it; edited and paraphrased copies keep most of it.
+text less its place in the item; hits of one item on neighbouring diagonals mark one passage. Every passage is aligned
+with the item word by word (match 2, other word -1, gap -1) if its words allow the score, however many texts have its
+n-grams; the local score, as a share of the item's own, tells whether the passage copies it. A score can't exceed 2 for each word
+of the passage that the item has, nor 2 for each word of the item that the passage has; this bound spares passages that share
+a common n-gram and little else. Edited and paraphrased copies keep most of the score; a copy that has no GRAM words of the
+item in a row has no seed and isn't found.
 
 The benchmark is taken in blocks of at most `most` words, and one block at a time is sent to the executors; so its size is bounded
 whatever the benchmark's. Passages, not texts, are shuffled.
@@ -23,12 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import lowered, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
 from .jaccard import gram_hashes
 
-GRAM, FEW, SCORE = 4, 20, 0.4
+GRAM, SCORE = 4, 0.4
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 
@@ -77,16 +78,27 @@ class Items:
                 yield np.repeat(place, n), item[j], at[j], k
 
 
-def passages(docs: DataFrame, items: Items) -> DataFrame:
-    """doc_id, text_key, item (of the block), seeds (places in it), start, words: the passages with a seed."""
+def may_reach(item: np.ndarray, passage: np.ndarray, least: float) -> bool:
+    """Whether an alignment of these words can have the score `least`; item is sorted."""
+    known = item[np.minimum(np.searchsorted(item, passage), len(item) - 1)] == passage
+    need = least * len(item) - 1e-6
+    there = np.sort(passage[known])
+    if len(there) < need or not len(there):
+        return need <= 0
+    return (there[np.minimum(np.searchsorted(there, item), len(there) - 1)] == item).sum() >= need
+
+
+def passages(docs: DataFrame, items: Items, least: float) -> DataFrame:
+    """doc_id, item (of the block), start, words: the passages with a seed whose words allow the score."""
     sent = docs.sparkSession.sparkContext.broadcast((items.ids, items.words))  # a block is bounded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Items(*sent.value)
         size = np.array([len(w) for w in known.words])
+        ordered = [np.sort(w) for w in known.words]
         for batch in batches:
             out: list[tuple] = []
-            for lo, _, data, off in slices(batch.column(2)):
+            for lo, _, data, off in slices(batch.column(1)):
                 words, first = words_of(data, off)
                 for place, item, at, k in known.hits(words):
                     doc = np.searchsorted(first, place, side="right") - 1
@@ -100,14 +112,14 @@ def passages(docs: DataFrame, items: Items) -> DataFrame:
                     for a, b in zip(cut[:-1], cut[1:], strict=True):
                         d, i = doc[a], item[a]
                         begin, end = max(first[d], diagonal[a] - slack(size[i])), min(first[d + 1], diagonal[b - 1] + size[i] + slack(size[i]))
-                        out.append((lo + d, i, np.unique(at[a:b]).astype(np.int32), begin - first[d], words[begin:end].tobytes()))
+                        if may_reach(ordered[i], words[begin:end], least):
+                            out.append((lo + d, i, begin - first[d], words[begin:end].tobytes()))
             if out:
-                row, item, seeds, start, held = zip(*out, strict=True)
-                rows = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(item, pa.int32()), pa.array(seeds, pa.list_(pa.int32())), pa.array(start, pa.int64()), pa.array(held, pa.binary())], ["doc_id", "text_key", "item", "seeds", "start", "words"])
+                row, item, start, held = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, pa.int32()), pa.array(start, pa.int64()), pa.array(held, pa.binary())], ["doc_id", "item", "start", "words"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, text_key long, item int, seeds array<int>, start long, words binary")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, item int, start long, words binary")
 
 
 def align(item: np.ndarray, texts: list[np.ndarray]) -> list[tuple[float, int, int]]:
@@ -189,12 +201,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, most:
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
     out = spark.createDataFrame([], "doc_id long, item_id long, score double, start_word long, end_word long")
     for n, block in enumerate(blocks_of(items, most)):
-        found = stored(passages(docs, block), where, f"passages-{n}")
-        seeds = found.select("doc_id", "text_key", "item", F.explode("seeds").alias("seed")).distinct().groupBy("item", "seed").agg(F.count("*").alias("texts"))
-        order = Window.partitionBy("item").orderBy("texts", "seed")  # an item's own grams
-        rare = seeds.withColumn("place", F.row_number().over(order)).withColumn("of", F.count("*").over(Window.partitionBy("item"))).where((F.col("place") <= F.ceil(F.col("of") / 2)) | (F.col("texts") <= FEW))
-        lists = rare.groupBy("item").agg(F.collect_list("seed").alias("rare"))
-        rows = found.join(F.broadcast(lists), "item").where(F.arrays_overlap("seeds", "rare"))  # at most a block's grams
+        rows = stored(passages(docs, block, least), where, f"passages-{n}")
         out = out.unionByName(aligned(rows, block, least))
     by = ["doc_id", "item_id"]
     return out.groupBy(*by).agg(F.max_by(F.struct("score", "start_word", "end_word"), F.struct("score", -F.col("start_word"))).alias("x")).select(*by, "x.*")

@@ -354,6 +354,24 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(frame(spark, texts), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_of_popular_items(spark):
+    """Copies of a half are found however many texts have its n-grams."""
+    rng = random.Random(8)
+    item = prose(rng, 40)
+    half = " ".join(item.split()[:20])
+    texts = [f"{prose(rng, 9)} {item if k < 30 else half} {prose(rng, 9)}" for k in range(80)] + [" ".join(item.split()[:6]) + " " + prose(rng, 60)]
+    found = decontaminate.contaminated(frame(spark, texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(range(80))
+
+
+def test_bound_of_the_score():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        item, text = (rng.integers(0, 12, rng.integers(1, 30)).astype(np.uint64) for _ in range(2))
+        score = decontaminate.align(item, [text])[0][0]
+        assert decontaminate.may_reach(np.sort(item), text, score)
+
+
 # 9
 
 
