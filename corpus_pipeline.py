@@ -4,8 +4,10 @@ Each stage calls one operator of busmill.llm over all that the stage before it k
 the quality classifier rejects go; lines that an earlier line repeats go, and documents left without a line; one document of each
 group of near duplicates stays, the one with the smallest id; documents that copy an item of the benchmark go; what remains is packed.
 
-Documents without an id are kept by the third and fourth stage. Of rows with one id the third stage keeps the one with the
-smallest text. All stages but the last give the columns of documents.
+The third and fourth stage decide by row, known by its id and text together: rows without an id are judged as all others are, and of
+rows with one id each goes or stays by its own text. Of a group of near duplicates one row stays, whatever its id: the smallest id before none, then
+the smallest key. Rows equal in id and text are one; rows without an id and without a word are near nothing and all stay.
+All stages but the last give the columns of documents.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from busmill.llm import decontaminate, jaccard, lines, packing, quality
 from busmill.llm.common import stored, table, work_dir
@@ -34,19 +35,32 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where("n_dropped < n_lines OR n_lines = 0").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with key, a hash of id and text that is never null."""
+    return docs.select(*COLUMNS, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text").alias("key"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    kept = jaccard.near_duplicates(docs).where("doc_id = component_id OR doc_id IS NULL").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.select(*COLUMNS).join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    with_id = rows.where("doc_id IS NOT NULL").withColumn("copy", F.row_number().over(same)).where("copy = 1").drop("copy")
-    return with_id.unionByName(rows.where("doc_id IS NULL"))
+    """One row of each group of near duplicates."""
+    rows = keyed(docs)
+    found = jaccard.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    groups = found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("component"), F.max("n_shingles").alias("n_shingles"))
+    ids = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    # Sums before each shuffle, so a group of many copies is no single task's.
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    kept = groups.join(ids, "key").groupBy("component").agg(F.min(rank).alias("x"), F.max("n_shingles").alias("n_shingles")).select("x.key", (F.col("x.unnamed") & (F.col("n_shingles") == 0)).alias("all_stay"))
+    kept = stored(kept, work_dir(spark), "kept")
+    once = rows.groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row")).join(kept.where("NOT all_stay"), "key", "left_semi").select("row.*")
+    # Rows without id and words have few texts; where there are none, nothing is joined.
+    empty = kept.where("all_stay").select("key")
+    return once.unionByName(rows.where("doc_id IS NULL").join(empty, "key", "left_semi").select(*COLUMNS))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a copy of a benchmark item."""
-    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    rows = keyed(docs)
+    leaks = decontaminate.contaminated(rows.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(leaks, "key", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -443,3 +443,20 @@ def test_pipeline(spark, tmp_path):
     leaks = {r.doc_id for r in decontaminate.contaminated(frames[3], spark.read.parquet(f"{d}/benchmark.parquet")).collect()}
     assert set(clean) == set(single) - leaks and {r.doc_id for r in packed} == set(clean)
     assert json.dumps(sorted(r.doc_id for r in corpus_pipeline.run(spark, d).collect())) == json.dumps(sorted(r.doc_id for r in packed))
+
+
+def test_pipeline_rows_without_an_own_id(spark):
+    """Stages three and four judge each row by its id and text, null ids and shared ones too."""
+    rng = random.Random(11)
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first().text
+    copies, other, alone, clean = prose(rng, 60), prose(rng, 60), prose(rng, 60), prose(rng, 60)
+    data = [(None, copies)] * 6 + [(None, copies + " end")] + [(None, other), (9, other + " end"), (5, alone), (5, clean), (5, other), (7, clean + " end"), (7, f"{prose(rng, 30)} {item}"), (None, f"{prose(rng, 30)} {item}")]
+    data += [(None, ""), (None, ""), (8, ""), (8, ""), (8, None), (None, None)]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    single = corpus_pipeline.drop_near_duplicates(spark, rows, DATA)
+    got = Counter((r.doc_id, r.text) for r in single.collect())
+    assert sum(n for (_, t), n in got.items() if t in (copies, copies + " end")) == 1
+    kept = Counter(data[9:12]) + Counter(data[13:15]) + Counter([(None, "")] * 2 + [(8, ""), (8, None), (None, None)])
+    assert Counter({k: n for k, n in got.items() if k[1] not in (copies, copies + " end")}) == kept
+    left = Counter((r.doc_id, r.text) for r in corpus_pipeline.drop_leaks(spark, single, DATA).collect())
+    assert left == Counter({k: n for k, n in got.items() if item not in (k[1] or "")})
