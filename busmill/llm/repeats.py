@@ -7,17 +7,17 @@ places whose position, modulo PERIOD, is in COVER; and the strings of CORE bytes
    their rank are marked.
 2. Only suffixes with a marked sample within PERIOD can have a long tie; they are the candidates, and the pieces of text that
    they need are written down.
-3. The candidates are sorted bucket by bucket, a bucket holding the suffixes whose first HEAD bytes hash alike: some buckets at a
-   time, so what is on disk and in memory stays in proportion. Ties over LENGTH bytes are told by the hash of the string, and for
-   two suffixes to tie their cover ranks have tied before.
+3. The candidates meet in buckets by the hash of all their LENGTH bytes, each bucket sorted: some buckets at a time, so what is on
+   disk and in memory stays in proportion, however many different strings share a beginning. The hash of the first HEAD bytes enters
+   the bucket too. Ties are told by the hash of the string, and for two suffixes to tie their cover ranks have tied before.
 4. The places that tie are joined back to their documents, and the bytes that they cover are cut out.
 
 Texts are kept in blocks of whole documents, and buckets hold packed arrays, so rows are few and large. Within a block equal
 strings are counted before they are shuffled: a string that a third of all documents hold is one entry for each block. Buckets are
 as many as keep each at some BUCKET bytes.
 
-Ranks of the sample may collide, which only adds candidates; strings are compared by 64 bits of hash and the bucket of their
-head. Null and empty texts have no bytes and no spans. Repeated rows repeat each other. Extra columns are not read. An empty
+Ranks of the sample may collide, which only adds candidates; strings are compared by 64 bits of hash and by their bucket, on
+which the head's hash bears. Null and empty texts have no bytes and no spans. Repeated rows repeat each other. Extra columns are not read. An empty
 table gives no rows.
 """
 
@@ -165,17 +165,19 @@ def window_votes(block: int, text: np.ndarray, lengths: np.ndarray, turns: int,
     h = prefix_hashes(text)
     size = lengths + LENGTH - 1
     at = np.arange(lengths.sum()) + np.repeat(np.cumsum(size) - size - np.cumsum(lengths) + lengths, lengths)
-    head = span_hashes(h, at, at + HEAD) >> U64(16)
-    of_turn = head % U64(turns)
-    bucket = (head // U64(turns)) % U64(buckets) * U64(turns) + of_turn
+    values = span_hashes(h, at, at + LENGTH)
+    # The turn is told by the upper bits, the bucket by the lower ones and the head: a head that many strings share is spread as any other.
+    of_turn = (values >> U64(48)) % U64(turns)
     votes, others = [], [np.zeros(0, np.int64)]
     for t in range(turns) if turn is None else [turn]:
         mine = np.flatnonzero(of_turn == t)
-        value = span_hashes(h, at[mine], at[mine] + LENGTH)
+        value = values[mine]
+        head = span_hashes(h, at[mine], at[mine] + HEAD)
+        bucket = ((value + head) & U64((1 << 48) - 1)) % U64(buckets) * U64(turns) + U64(t)
         first, twice, again = distinct(value)
         others.append(mine[again])
         # The places are those among all windows of the block.
-        for b, k, v, place in packed(block, bucket[mine], value, first, twice):
+        for b, k, v, place in packed(block, bucket, value, first, twice):
             place = np.frombuffer(place, np.uint32)
             votes.append((b, k, v, (mine[place & ~TWICE].astype(np.uint32) | (place & TWICE)).tobytes()))
     return len(at), np.concatenate(others), votes

@@ -80,6 +80,22 @@ def test_repeats_on_documents(spark):
     assert found == {r.doc_id: (n, hashlib.sha256(kept).hexdigest(), spans) for r, (n, kept, spans) in zip(rows, expected, strict=True)}
 
 
+def test_buckets_of_a_hot_head():
+    """Different strings with one head are spread over turns and buckets, equal ones meet."""
+    rng = np.random.default_rng(12)
+    ruler = np.full(repeats.LENGTH - 1, 61, np.uint8)
+    text = [np.concatenate([ruler, rng.integers(97, 123, 270).astype(np.uint8)]) for _ in range(20)]
+    lengths = np.full(20, 270)
+    n, again, votes = repeats.window_votes(1, np.concatenate(text), lengths, 3, 16, None)
+    size = {bucket: len(value) // 8 for bucket, _, value, _ in votes}
+    assert n == 20 * 270 and len(size) == 48 and max(size.values()) < n / 24
+    _, _, other = repeats.window_votes(2, text[7], lengths[:1], 3, 16, None)
+    held = {(b, v) for b, _, value, _ in votes for v in np.frombuffer(value, np.uint64)}
+    assert all((b, v) in held for b, _, value, _ in other for v in np.frombuffer(value, np.uint64))
+    one = [v for t in range(3) for v in repeats.window_votes(2, text[7], lengths[:1], 3, 16, t)[2]]
+    assert one == other
+
+
 # 2
 
 
