@@ -8,9 +8,12 @@ that hold something, in any one order, two linked sets share one (pigeonhole). T
 
 Candidates are sets that share such a cell. Bit sketches, where each shingle flips a bit, rule most of them out by their Hamming
 distance; the others are verified by their whole sets. To avoid all pairs of a group, a group's sets are first held
-against its smallest and largest, and then, where they still lie in different components, against each other. A map task settles its own equal cells itself and sends on one for each, so a cell that many texts hold is no large group.
+against two central ones, which have the most frequent cells: in a group of copies those that were changed least, so they link with most. Only
+where sets of a group then still lie in different components are they held against each other, and a pair that meets in many groups
+is given out in one of them: each set has the smallest of its groups in each of CLASSES classes, and a pair counts in the smallest of
+these that both have. A map task settles its own equal cells itself and sends on one for each, so a cell that many texts hold is no large group.
 
-Sets are known by 64-bit hashes, shingles too. Null and empty texts have an empty set, link with nothing and are components
+Sets are known by 64-bit hashes, shingles too. A very long text is one set, read whole; it has a third of its shingles as signatures. Null and empty texts have an empty set, link with nothing and are components
 of their own. Repeated rows are linked as equal texts. A null id never is a component's id, unless all ids in it are null. Extra columns are not read.
 An empty table gives no rows.
 """
@@ -23,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import U64, dropped, lowered, mixed, partitions, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
 from .graph import components
 
 WORDS, PERCENT = 5, 75
 MOST_HOT = 200_000
+CLASSES, SALTS = 8, 16
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -79,18 +84,21 @@ def cells(s: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def probes(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
     """The signatures that a set is found by."""
-    out = []
+    return signatures(s, hot)[0]
+
+
+def signatures(s: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, int]:
+    """The signatures that a set is found by, and how many of its cells are hot: how central it is among its like."""
+    out, score = [], 0
     need = len(s) * (100 - PERCENT) // PERCENT + 1
     for _, sig in cells(s):
+        late = hot[np.minimum(np.searchsorted(hot, sig), len(hot) - 1)] == sig if len(hot) else np.zeros(len(sig), bool)
+        score += int(late.sum())
         if len(sig) > need:
-            if len(hot):
-                late = hot[np.minimum(np.searchsorted(hot, sig), len(hot) - 1)] == sig
-                cool = sig[~late]
-                sig = np.partition(cool, need - 1)[:need] if len(cool) > need else np.append(cool, np.sort(sig[late])[: need - len(cool)])
-            else:
-                sig = np.partition(sig, need - 1)[:need]
+            cool = sig[~late]
+            sig = np.partition(cool, need - 1)[:need] if len(cool) > need else np.append(cool, np.sort(sig[late])[: need - len(cool)])
         out.append(sig)
-    return np.concatenate(out)
+    return np.concatenate(out), score
 
 
 def parity(s: np.ndarray, b: int) -> np.ndarray:
@@ -122,15 +130,15 @@ def frequent_cells(docs: DataFrame) -> np.ndarray:
 
 
 def signed(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set, null if empty), sigs, and held, pivots: signatures that a smaller node, the pivot,
-    of the same task has too and sends on; band, bits and next_bits, the bit sketches in the own band and, if need be, the next."""
+    """doc_id, n_shingles, node (hash of the set, null if empty), score (how central), alone, led: the signatures that it sends on, those that no other
+    node of the task has and the others; held, pivots: those that a more central node of the task, the pivot, sends on; band, bits and next_bits, the bit sketches in the own band and, if need be, the next."""
     hot_cells = docs.sparkSession.sparkContext.broadcast(hot)  # at most MOST_HOT numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4000):
                 part = batch.slice(lo, 4000)
-                size, node, sigs, band, sketch = [], [], [], [], ([], [])
+                size, node, sigs, score, band, sketch = [], [], [], [], [], ([], [])
                 for s in shingle_sets(part.column(1)):
                     size.append(len(s))
                     in_bands = bands(len(s)) if len(s) else []
@@ -138,21 +146,24 @@ def signed(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     for k in (0, 1):
                         sketch[k].append(parity(s, in_bands[k]) if k < len(in_bands) else _NONE)
                     node.append(set_hash(s) if len(s) else None)
-                    sigs.append(probes(s, hot_cells.value) if len(s) else s)
+                    own, of_hot = signatures(s, hot_cells.value) if len(s) else (s, 0)
+                    sigs.append(own)
+                    score.append(of_hot)
                 flat = np.concatenate(sigs).view(np.int64)
                 doc = np.repeat(np.arange(len(sigs)), [len(x) for x in sigs])
                 owner = np.array([x or 0 for x in node], np.int64)[doc]
-                order = np.lexsort((owner, flat))
+                order = np.lexsort((owner, -np.array(score, np.int64)[doc], flat))
                 f, o, d = flat[order], owner[order], doc[order]
                 head = np.append(True, f[1:] != f[:-1])[: len(f)]
                 lead = o[np.maximum.accumulate(np.where(head, np.arange(len(f)), 0))] if len(f) else o
                 tied = lead != o
+                shared = np.isin(f, f[tied])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), _lists(d[head], f[head], len(sigs)), _lists(d[tied], f[tied], len(sigs)), _lists(d[tied], lead[tied], len(sigs)), pa.array(band, pa.int32()), *map(_joined, sketch)],
-                    ["doc_id", "n_shingles", "node", "sigs", "held", "pivots", "band", "bits", "next_bits"],
+                    [part.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(score, pa.int64()), _lists(d[head & ~shared], f[head & ~shared], len(sigs)), _lists(d[head & shared], f[head & shared], len(sigs)), _lists(d[tied], f[tied], len(sigs)), _lists(d[tied], lead[tied], len(sigs)), pa.array(band, pa.int32()), *map(_joined, sketch)],
+                    ["doc_id", "n_shingles", "node", "score", "alone", "led", "held", "pivots", "band", "bits", "next_bits"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, node long, sigs array<long>, held array<long>, pivots array<long>, band int, bits array<long>, next_bits array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, node long, score long, alone array<long>, led array<long>, held array<long>, pivots array<long>, band int, bits array<long>, next_bits array<long>")
 
 
 def _lists(row: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
@@ -213,46 +224,82 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, where: str, name:
     return out
 
 
+def grouped(whole: DataFrame) -> DataFrame:
+    """sig, node, x, y, some_led, rest: the groups of nodes with equal signatures. x, y: the pivots, the most central of its nodes with an even and with
+    an odd hash; some_led: whether a node of the group leads others of its task; rest: how many nodes are no pivots."""
+    sent = [whole.select("node", "score", F.lit(led).alias("led"), F.explode("led" if led else "alone").alias("sig")) for led in (False, True)]
+    sigs = sent[0].unionByName(sent[1]).repartition(partitions(whole.sparkSession), "sig")
+    shared = sigs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("sig")
+    by = Window.partitionBy("sig")
+    best = {name: F.max_by("node", F.when(F.col("node") % 2 == 0 if name == "x" else F.col("node") % 2 != 0, F.col("score"))).over(by) for name in ("x", "y")}
+    met = sigs.join(shared, "sig").groupBy("sig", "node").agg(F.max("score").alias("score"), F.max("led").alias("led"))
+    other = F.when(F.col("node").eqNullSafe(F.col("x")) | F.col("node").eqNullSafe(F.col("y")), 0).otherwise(1)
+    return met.select("sig", "node", *[c.alias(n) for n, c in best.items()], F.max("led").over(by).alias("some_led")).withColumn("rest", F.sum(other).over(by))
+
+
+def crossing(open_rows: DataFrame) -> DataFrame:
+    """a, b, n: pairs of a group of one signature that lie in different components and may link. open_rows: sig, root and a sketch's columns.
+
+    The sketches are held against each other in the join itself, and a pair is given out once, but for few: so a group of texts
+    that share a passage isn't written out as its pairs."""
+    classes = [F.min(F.when(F.pmod("sig", F.lit(CLASSES)) == j, F.col("sig"))).alias(f"least{j}") for j in range(CLASSES)]
+    rows = open_rows.join(open_rows.groupBy("node").agg(*classes), "node").withColumn("least", F.array(*[f"least{j}" for j in range(CLASSES)]))
+    rows = rows.select("sig", "root", "least", *_SKETCH).repartition(partitions(open_rows.sparkSession), "sig")
+    left, right = _side(rows, "a").withColumnRenamed("least", "here"), _side(rows, "b").withColumnRenamed("root", "other")
+    shared = F.array_min(F.zip_with("here", "least", lambda x, y: F.when(x == y, x)))
+    once = shared.isNull() | (shared == F.col("sig"))
+    met = left.join(right, "sig").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("other")) & _may_link() & once)
+    return met.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n")).distinct()
+
+
+def named(reps: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, component_id: the smallest id in the node's component; reps: node, rep. A component of many nodes is spread by salt."""
+    placed = reps.join(roots, "node", "left")
+    least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = placed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(least, ["root", "salt"], "left")
+    return found.select("node", F.coalesce("least", "rep").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id, text)."""
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     whole = stored(signed(docs, frequent_cells(docs)), where, "signed")
-    sigs = whole.select("node", F.explode("sigs").alias("sig")).repartition(partitions(spark), "sig")
-    shared = sigs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    groups = stored(sigs.join(shared, "sig").distinct(), where, "groups")
-    rows = stored(whole.drop("sigs"), where, "rows")
+    groups = stored(grouped(whole), where, "groups")
+    rows = stored(whole.drop("alone", "led"), where, "rows")
     dropped(spark, f"{where}/signed")
     known = rows.where("node IS NOT NULL")
-    reps = known.groupBy("node").agg(F.min("doc_id").alias("rep"))
+    reps = stored(known.groupBy("node").agg(F.min("doc_id").alias("rep")), where, "reps")
+    sketches = stored(known.select("node", F.col("n_shingles").alias("n"), "band", "bits", "next_bits").dropDuplicates(["node"]), where, "sketches")
     held = rows.select("node", F.explode(F.arrays_zip("held", "pivots")).alias("x"))
     met = (
         held.select(F.col("node").alias("a"), F.col("x.pivots").alias("b"))
-        .unionByName(groups.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")))
+        .unionByName(groups.select(F.col("node").alias("a"), F.explode(F.array("x", "y")).alias("b")))
         .where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    sketches = stored(known.select("node", F.col("n_shingles").alias("n"), "band", "bits", "next_bits").dropDuplicates(["node"]), where, "sketches")
     pairs = stored(near(met, sketches), where, "near")
     links = linked(pairs, docs, reps, where, "pivots")
     roots = stored(components(links, where, "first"), where, "roots-1")
-    # Equal signatures that still lie over different components: all of those pairs.
-    tied = groups.select("sig", "node").unionByName(held.select(F.col("x.held").alias("sig"), F.explode(F.array("node", "x.pivots")).alias("node"))).distinct()
+    # Groups that still lie over different components. All pairs with a pivot are settled, so a group of three is; nodes that a task held back
+    # are settled with the one that led them, and a group of two.
+    left = groups.where("some_led OR (rest > 1 AND NOT node <=> x AND NOT node <=> y)").select("sig", "node", F.lit(0).alias("held"))
+    back = held.select(F.col("x.held").alias("sig"), F.explode(F.array("node", "x.pivots")).alias("node"), F.lit(1).alias("held"))
+    tied = left.unionByName(back).groupBy("sig", "node").agg(F.max("held").alias("held"))
     placed = tied.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed_groups = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
-    # The sketches are held against each other in the join itself, so a group of texts that share a passage isn't written out as its pairs.
-    open_rows = placed.join(mixed_groups, "sig").join(sketches, "node").select("sig", "root", *_SKETCH).repartition(partitions(spark), "sig")
-    other = _side(open_rows, "b").withColumnRenamed("root", "other")
-    crossing = (F.col("a") < F.col("b")) & (F.col("root") != F.col("other")) & _may_link()
-    found_pairs = _side(open_rows, "a").join(other, "sig").where(crossing).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n")).distinct()
-    more = stored(found_pairs.join(pairs, ["a", "b"], "left_anti"), where, "near-2")
+    several = F.min("root") < F.max("root")
+    mixed_groups = placed.groupBy("sig").agg((several & ((F.max("held") == 0) | (F.count("*") > 2))).alias("open")).where("open").select("sig")
+    open_rows = stored(placed.join(mixed_groups, "sig").join(sketches, "node").select("sig", "root", *_SKETCH), where, "open")
+    more = stored(crossing(open_rows).join(pairs, ["a", "b"], "left_anti"), where, "near-2")
+    dropped(spark, f"{where}/open")
     if not more.isEmpty():
         links = links.unionByName(linked(more, docs, reps, where, "others"))
         roots = stored(components(links, where, "second"), where, "roots-2")
-    found = rows.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = found.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return found.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    names = stored(named(reps, roots), where, "names")
+    for name in ("groups", "sketches", "near", "near-2", "links-pivots", "links-others", "roots-1", "roots-2", "reps"):
+        dropped(spark, f"{where}/{name}")
+    return rows.join(names, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
