@@ -225,16 +225,23 @@ def linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, where: str, name:
 
 
 def grouped(whole: DataFrame) -> DataFrame:
-    """sig, node, x, y, some_led, rest: the groups of nodes with equal signatures. x, y: the pivots, the most central of its nodes with an even and with
-    an odd hash; some_led: whether a node of the group leads others of its task; rest: how many nodes are no pivots."""
+    """node, x, y, sig: for each node of a group of nodes with equal signatures the pivots that it is held against. The pivots are the most central of the group's
+    nodes with an even and with an odd hash. sig: the group's, where it isn't settled by that; null elsewhere.
+
+    All pairs with a pivot are settled, so a group of three is; but a node that leads others of its task stands for them too."""
     sent = [whole.select("node", "score", F.lit(led).alias("led"), F.explode("led" if led else "alone").alias("sig")) for led in (False, True)]
     sigs = sent[0].unionByName(sent[1]).repartition(partitions(whole.sparkSession), "sig")
     shared = sigs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("sig")
     by = Window.partitionBy("sig")
-    best = {name: F.max_by("node", F.when(F.col("node") % 2 == 0 if name == "x" else F.col("node") % 2 != 0, F.col("score"))).over(by) for name in ("x", "y")}
+    best = [F.max_by("node", F.when(F.col("node") % 2 == 0 if even else F.col("node") % 2 != 0, F.col("score"))).over(by) for even in (True, False)]
     met = sigs.join(shared, "sig").groupBy("sig", "node").agg(F.max("score").alias("score"), F.max("led").alias("led"))
-    other = F.when(F.col("node").eqNullSafe(F.col("x")) | F.col("node").eqNullSafe(F.col("y")), 0).otherwise(1)
-    return met.select("sig", "node", *[c.alias(n) for n, c in best.items()], F.max("led").over(by).alias("some_led")).withColumn("rest", F.sum(other).over(by))
+    rows = met.select("sig", "node", best[0].alias("x"), best[1].alias("y"), F.max("led").over(by).alias("some_led"))
+    rows = rows.withColumn("pivot", F.col("node").eqNullSafe(F.col("x")) | F.col("node").eqNullSafe(F.col("y"))).withColumn("rest", F.sum(F.when(F.col("pivot"), 0).otherwise(1)).over(by))
+    # The pair of the pivots is given out once.
+    x = F.when(~F.col("pivot"), F.col("x"))
+    y = F.when(~F.col("node").eqNullSafe(F.col("y")), F.col("y"))
+    sig = F.when(F.col("some_led") | ((F.col("rest") > 1) & ~F.col("pivot")), F.col("sig"))
+    return rows.select("node", x.alias("x"), y.alias("y"), sig.alias("sig")).where("coalesce(x, y, sig) IS NOT NULL")
 
 
 def crossing(open_rows: DataFrame) -> DataFrame:
@@ -275,16 +282,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = (
         held.select(F.col("node").alias("a"), F.col("x.pivots").alias("b"))
         .unionByName(groups.select(F.col("node").alias("a"), F.explode(F.array("x", "y")).alias("b")))
-        .where("a <> b")
+        .where("b IS NOT NULL AND a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
     pairs = stored(near(met, sketches), where, "near")
     links = linked(pairs, docs, reps, where, "pivots")
     roots = stored(components(links, where, "first"), where, "roots-1")
-    # Groups that still lie over different components. All pairs with a pivot are settled, so a group of three is; nodes that a task held back
-    # are settled with the one that led them, and a group of two.
-    left = groups.where("some_led OR (rest > 1 AND NOT node <=> x AND NOT node <=> y)").select("sig", "node", F.lit(0).alias("held"))
+    # Groups that still lie over different components; nodes that a task held back are settled with the one that led them, and a group of two.
+    left = groups.where("sig IS NOT NULL").select("sig", "node", F.lit(0).alias("held"))
     back = held.select(F.col("x.held").alias("sig"), F.explode(F.array("node", "x.pivots")).alias("node"), F.lit(1).alias("held"))
     tied = left.unionByName(back).groupBy("sig", "node").agg(F.max("held").alias("held"))
     placed = tied.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
