@@ -6,10 +6,10 @@ number of bytes (one longer document is a run of its own) and gives their bytes
 
 from __future__ import annotations
 
-import os
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,14 @@ def crc_mod(column: str, n: int) -> Column:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; where that is unset, as in tests, a temporary one."""
+    """A new folder below spark.checkpoint.dir, which all executors share; where that is unset, as in tests, a temporary one.
+
+    Executors on other machines would not see a temporary folder, so on a cluster the setting is needed."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is unset: a cluster needs a folder that all executors share")
         root = tempfile.mkdtemp(prefix="busmill-")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -63,7 +68,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(column: pa.Array, most: int = 1 << 21, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = 1 << 18, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets of each row in them) for runs of at most so many rows; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -84,6 +89,24 @@ def slices(column: pa.Array, most: int = 1 << 21, rows: int = 1 << 30) -> Iterat
         lo = hi
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, which gives back to the system what memory its task leaves unused: Python workers live on from task to task."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -99,7 +122,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd ratio modulo 2**64, and of its inverse."""
     if len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         for k, base in enumerate((_RATIO, pow(_RATIO, -1, 1 << 64))):
             p = np.full(size, base, np.uint64)
             p[0] = 1
@@ -139,13 +162,3 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-
-
-def ids_from(batch: pa.RecordBatch, name: str, lo: int, hi: int) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name)).slice(lo, hi - lo)
-
-
-def checkpoint_here(spark: SparkSession) -> None:
-    """Lets checkpoint() work where spark.checkpoint.dir is unset."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"busmill-{uuid.uuid4().hex}"))

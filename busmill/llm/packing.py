@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 WINDOW, END = 2048, 1
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -33,18 +33,21 @@ class WordTokenizer:
     """Ids, as little-endian 32-bit bytes, as by Tokenizer.from_file(path).encode(text, add_special_tokens=False).
 
     The vocabulary splits texts into words before it merges bytes, so a word's ids never depend on its
-    neighbours; each distinct word is encoded once and kept, for up to `most` words. Texts with characters above
-    U+012F, or with a special token's opening, are encoded whole.
+    neighbours; each distinct word is encoded once and kept, while what is kept takes `most` bytes by estimate. Texts with
+    characters above U+012F, or with a special token's opening, are encoded whole.
     """
 
     OTHER = re.compile("[^\x00-į]|<\\|")
     LETTER, NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-į", "0-9\xb2\xb3\xb9\xbc-\xbe"
     WORD = re.compile(f"[{LETTER}]+|'(?:[stmd]|re|ve|ll)|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
 
-    def __init__(self, path: str, most: int = 600_000):
+    #: Of an entry: two objects and their places in the dictionary.
+    ENTRY = 200
+
+    def __init__(self, path: str, most: int = 40_000_000):
         from tokenizers import Tokenizer
 
-        self.whole, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.whole, self.most, self.known, self.held = Tokenizer.from_file(path), most, {}, 0
         # Byte-level vocabularies write the bytes that are no visible Latin-1 characters as U+0100 and on.
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in seen]
@@ -62,16 +65,21 @@ class WordTokenizer:
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
-            if len(known) > self.most:
-                known.clear()
+            if self.held > self.most:
+                self.forget()
             for word in set(words).difference(known):
-                known[word] = self.encode(word)
+                known[word] = ids = self.encode(word)
+                self.held += self.ENTRY + 2 * len(word) + len(ids)
             return b"".join(map(known.__getitem__, words))
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.held = 0
+
 
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker, whose tasks then share what it knows."""
+    """One for each Python worker; its words are forgotten at the end of a task."""
     return WordTokenizer(path)
 
 
@@ -138,6 +146,7 @@ def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WIND
     """One row per piece: document, tokens before it, length, its ids (little-endian 32-bit), the document's tokens with the
     end token, and its sequence and offset there. tokenizer: the vocabulary file's path on the executors, or what gives it."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer() if callable(tokenizer) else tokenizer)
         last = np.array([end], "<u4").tobytes()
@@ -161,6 +170,7 @@ def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WIND
                 rows, size = [], 0
         if rows:
             yield batch_of(rows)
+        words.forget()
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, crc_mod, lowered, mixed, prefix_hashes, slices, span_hashes, spans, table
+from .common import U64, crc_mod, lean, lowered, mixed, prefix_hashes, slices, span_hashes, spans, table
 
 BINS, LINES = 10, 2000
 
@@ -174,6 +174,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 1500
     share = F.when(F.col("quality") == 1, min(1.0, sample / counts[1])).otherwise(min(1.0, sample / counts[0]))
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) < share * (1 << 20))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(0)):
@@ -195,6 +196,7 @@ def score(docs: DataFrame, field: Field | None, cut: float = 0.3) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("score", "predicted", "bad_lines")]
     at = kept.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, bad = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
