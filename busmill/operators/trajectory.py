@@ -1,6 +1,7 @@
 """Trips out of vehicle positions: spike sanitizer, terminal-to-terminal and circular detectors, materialisation.
 
-Everything is a window over one partitioning, (line, vehicle), so a plan has a single exchange.
+Everything is a window over one partitioning, (line, vehicle), and one order, that of time: what would need an order of its own, such as
+the rows of one leg, is told from running sums. So a plan has one exchange and one sort, whatever kinds of trip are asked for.
 """
 
 from __future__ import annotations
@@ -13,25 +14,22 @@ from ..functions.columns import elapsed_s, haversine_m, speed_kmh, trip_id
 
 GROUP = ["linha_lt", "veiculo_id"]
 ORDER = ["veiculo_ts", "extracao_ts", "veiculo_lat", "veiculo_long"]
-
-
-def _series() -> WindowSpec:
-    return Window.partitionBy(*GROUP).orderBy(*ORDER)
-
-
-def _so_far() -> WindowSpec:
-    return _series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+SERIES = f"(PARTITION BY {', '.join(GROUP)} ORDER BY {', '.join(ORDER)})"
+SO_FAR = SERIES[:-1] + " ROWS UNBOUNDED PRECEDING)"
 
 
 def _whole() -> WindowSpec:
     return Window.partitionBy(*GROUP)
 
 
-def _speed(a: int, b: int) -> Column:
-    """Speed between two neighbours, given by their offsets."""
-    at = lambda name, k: F.lag(name, -k).over(_series()) if k else F.col(name)
-    metres = haversine_m(at("veiculo_lat", a), at("veiculo_long", a), at("veiculo_lat", b), at("veiculo_long", b))
-    return speed_kmh(metres, elapsed_s(at("veiculo_ts", a), at("veiculo_ts", b)))
+def _shifted(function: str, prefix: str, *columns: str) -> list[str]:
+    return [f"{function}({c}) OVER {SERIES} AS {prefix}{c}" for c in columns]
+
+
+def _speed(a: str, b: str) -> Column:
+    """Speed between two rows, given by the prefixes of their columns."""
+    places = [F.col(f"{p}{c}") for p in (a, b) for c in ("veiculo_lat", "veiculo_long")]
+    return speed_kmh(haversine_m(*places), elapsed_s(F.col(f"{a}veiculo_ts"), F.col(f"{b}veiculo_ts")))
 
 
 def with_spikes(positions: DataFrame, limit: float = 120.0) -> DataFrame:
@@ -39,77 +37,64 @@ def with_spikes(positions: DataFrame, limit: float = 120.0) -> DataFrame:
 
     A row is a candidate if it can only be reached and left faster than the limit while its neighbours lie within it. Of consecutive
     candidates every other one is a spike, from the first: after a drop the next row isn't examined."""
-    rows = positions.select("*", _speed(-1, 0).alias("speed_in"), _speed(0, 1).alias("speed_out"), _speed(-1, 1).alias("speed_across"))
-    candidate = F.coalesce((F.col("speed_in") > limit) & (F.col("speed_out") > limit) & (F.col("speed_across") <= limit), F.lit(False))
-    rows = rows.withColumn("_candidate", candidate).withColumn("_island", F.sum(F.when(F.col("_candidate"), 0).otherwise(1)).over(_so_far()))
-    # An island starts with the row before its candidates; a first row is never one.
-    place = F.row_number().over(Window.partitionBy(*GROUP, "_island").orderBy(*ORDER)) - 1
-    return rows.withColumn("spike", F.col("_candidate") & (place % 2 == 1)).drop("_candidate", "_island")
+    place = ["veiculo_ts", "veiculo_lat", "veiculo_long"]
+    rows = positions.selectExpr("*", f"row_number() OVER {SERIES} AS _at", *_shifted("lag", "_before_", *place), *_shifted("lead", "_after_", *place))
+    rows = rows.withColumns({"speed_in": _speed("_before_", ""), "speed_out": _speed("", "_after_"), "speed_across": _speed("_before_", "_after_")})
+    rows = rows.selectExpr(*positions.columns, "speed_in", "speed_out", "speed_across", "_at", f"coalesce(speed_in > {limit} AND speed_out > {limit} AND speed_across <= {limit}, false) AS _candidate")
+    # How many candidates in a row end here; a first row is never one.
+    spike = f"_candidate AND (_at - max(CASE WHEN NOT _candidate THEN _at END) OVER {SO_FAR}) % 2 = 1 AS spike"
+    return rows.selectExpr(*positions.columns, "speed_in", "speed_out", "speed_across", spike)
 
 
 def sanitize(positions: DataFrame, limit: float = 120.0) -> DataFrame:
     return with_spikes(positions, limit).where(~F.col("spike")).drop("spike", "speed_in", "speed_out", "speed_across")
 
 
-def _terminals(positions: DataFrame, radius: float) -> DataFrame:
+def _trips(positions: DataFrame, radius: float, circular: str) -> DataFrame:
+    """circular: SQL that tells, alike for all rows of a group, which kind of trip is looked for.
+
+    A terminal-to-terminal trip ends at the first row near a terminal (_a) after rows between terminals, if it is the other one. A row near both counts
+    as the other end after a gap: the zone is that of the last clear row, turned by each such row since. A circular trip begins at the anchor
+    or where the direction changes, and ends likewise."""
     near = [F.coalesce(F.col(c) < radius, F.lit(False)) for c in ("distance_to_first_stop", "distance_to_last_stop")]
-    return positions.select("*", near[0].alias("_f"), near[1].alias("_l"), (near[0] | near[1]).alias("_a"))
+    marked = positions.select("*", near[0].alias("_f"), near[1].alias("_l"), (near[0] | near[1]).alias("_a"))
+    # Of the directions between terminals: how many, their sum and that of their squares; they are all equal where n * squares = sum * sum.
+    between = "CASE WHEN NOT _a THEN cast(linha_sentido AS long) END"
+    rows = marked.selectExpr(
+        "*", f"{circular} AS _circular", f"row_number() OVER {SERIES} AS _i", f"first_value(_a) OVER {SERIES} AS _gate", f"max(_a) OVER {SO_FAR} AS _synced",
+        f"count({between}) OVER {SO_FAR} AS _n", f"coalesce(sum({between}) OVER {SO_FAR}, 0) AS _s", f"coalesce(sum({between} * {between}) OVER {SO_FAR}, 0) AS _q",
+    ).where("CASE WHEN _circular THEN _synced ELSE _a END")
+    rows = rows.selectExpr("*", *_shifted("lag", "_p", "_i", "_n", "_s", "_q", "_a", "linha_sentido", "veiculo_ts", "veiculo_lat", "veiculo_long", "trip_linear_distance"))
+    rows = rows.selectExpr(
+        "*", "coalesce(_i - _p_i > 1, false) AS _gap", "NOT linha_sentido <=> _plinha_sentido AS _turned", "named_struct('ts', veiculo_ts, 'lat', veiculo_lat, 'long', veiculo_long) AS _here"
+    )
+    rows = rows.selectExpr("*", f"sum(CASE WHEN _gap AND _f AND _l THEN 1 ELSE 0 END) OVER {SO_FAR} AS _flips", f"last(CASE WHEN _p_a IS NULL OR _a OR _turned THEN _here END, true) OVER {SO_FAR} AS _start")
+    clear = f"last(CASE WHEN _f <> _l THEN cast(_f AS int) - _flips END, true) OVER {SO_FAR}"
+    rows = rows.selectExpr("*", f"pmod({clear} + _flips, 2) AS _zone")
+    rows = rows.selectExpr("*", *_shifted("lag", "_p", "_zone", "_start")).where("CASE WHEN _circular THEN NOT _p_a AND (_turned OR _a) ELSE _gap AND _zone <> _p_zone END")
+    rows = rows.selectExpr("*", f"row_number() OVER {SERIES} AS _trip").where("_circular OR _gate OR _trip > 1")
+    ends = F.col("_p_start.lat"), F.col("_p_start.long"), F.expr("CASE WHEN _turned THEN _pveiculo_lat ELSE veiculo_lat END"), F.expr("CASE WHEN _turned THEN _pveiculo_long ELSE veiculo_long END")
+    rows = rows.withColumn("_loop_meters", haversine_m(*ends)).withColumn("_direction", F.expr("CASE WHEN NOT _circular THEN if(_p_zone = 1, 1, 2) WHEN _turned THEN _plinha_sentido ELSE linha_sentido END"))
+    return rows.selectExpr(
+        *GROUP, "CASE WHEN _circular THEN _p_start.ts ELSE _pveiculo_ts END AS start_ts", "CASE WHEN _circular AND _turned THEN _pveiculo_ts ELSE veiculo_ts END AS end_ts", "cast(_direction AS int) AS direction",
+        "NOT _circular AND _n > _p_n AND (_n - _p_n) * (_q - _p_q) = (_s - _p_s) * (_s - _p_s) AND _s - _p_s <> _direction * (_n - _p_n) AS discrepancy", "_circular AS is_circular",
+        "CASE WHEN _circular THEN _loop_meters ELSE _ptrip_linear_distance END AS distance_meters",
+    )
 
 
 def non_circular(positions: DataFrame, radius: float = 100.0) -> DataFrame:
-    """One row per trip: start and end rows, direction, and whether the reported direction differs throughout."""
-    stop = F.col("_a").cast("int")
-    rows = (
-        _terminals(positions, radius)
-        .withColumn("_i", F.row_number().over(_series()))
-        .withColumn("_gate", F.max((F.col("_i") == 1) & F.col("_a")).over(_whole()))
-        .withColumn("_leg", F.sum(stop).over(_so_far()))
-    )
-    leg = Window.partitionBy(*GROUP, "_leg")
-    between = F.when(~F.col("_a"), F.col("linha_sentido"))
-    rows = rows.withColumn("_low", F.min(between).over(leg)).withColumn("_high", F.max(between).over(leg)).where("_a")
-    before = lambda name: F.lag(name).over(_series())
-    clear = (F.col("_f") != F.col("_l")).cast("int")
-    rows = rows.select("*", *[before(c).alias(f"_p{c}") for c in ("_i", "_low", "_high", "veiculo_ts", "veiculo_lat", "veiculo_long", "trip_linear_distance")], F.sum(clear).over(_so_far()).alias("_grp")).where("_grp > 0")
-    island = Window.partitionBy(*GROUP, "_grp")
-    gap = F.col("_i") - F.col("_p_i") > 1
-    both = F.col("_f") & F.col("_l")
-    flips = F.sum(F.when(F.coalesce(gap, F.lit(False)) & both, 1).otherwise(0)).over(island.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    base = F.max(F.when(~both, F.col("_f").cast("int"))).over(island)
-    rows = rows.withColumn("_gap", F.coalesce(gap, F.lit(False))).withColumn("_zone", (base + flips) % 2)
-    rows = rows.withColumn("_from", before("_zone")).where(F.col("_gap") & (F.col("_zone") != F.col("_from")))
-    rows = rows.withColumn("_n", F.row_number().over(_series())).where(F.col("_gate") | (F.col("_n") > 1))
-    direction = F.when(F.col("_from") == 1, 1).otherwise(2)
-    differs = F.coalesce((F.col("_p_low") == F.col("_p_high")) & (F.col("_p_low") != direction), F.lit(False))
-    return rows.select(
-        *GROUP, F.col("_pveiculo_ts").alias("start_ts"), F.col("veiculo_ts").alias("end_ts"), direction.alias("direction"), differs.alias("discrepancy"), F.lit(False).alias("is_circular"),
-        F.col("_ptrip_linear_distance").alias("distance_meters"),
-    )
+    """One row per trip: start and end, direction, and whether the reported direction differs throughout."""
+    return _trips(positions, radius, "false")
 
 
 def circular(positions: DataFrame, radius: float = 100.0) -> DataFrame:
     """One row per trip that leaves its anchor and comes back, or ends where the direction changes on the way."""
-    rows = _terminals(positions, radius).withColumn("_synced", F.max("_a").over(_so_far())).where("_synced")
-    before = lambda name: F.lag(name).over(_series())
-    rows = rows.withColumn("_pa", before("_a")).withColumn("_ps", before("linha_sentido"))
-    begins = F.col("_pa").isNull() | F.col("_a") | ~F.col("linha_sentido").eqNullSafe(F.col("_ps"))
-    here = F.struct("veiculo_ts", "veiculo_lat", "veiculo_long")
-    rows = rows.withColumn("_start", F.last(F.when(begins, here), ignorenulls=True).over(_so_far())).withColumn("_here", here)
-    rows = rows.withColumn("_from", before("_start")).withColumn("_prev", before("_here")).where("NOT _pa")
-    turned = ~F.col("linha_sentido").eqNullSafe(F.col("_ps"))
-    rows = rows.where(turned | F.col("_a")).withColumn("_end", F.when(turned, F.col("_prev")).otherwise(F.col("_here")))
-    metres = haversine_m(*(F.col(f"{p}.{c}") for p in ("_from", "_end") for c in ("veiculo_lat", "veiculo_long")))
-    return rows.select(
-        *GROUP, F.col("_from.veiculo_ts").alias("start_ts"), F.col("_end.veiculo_ts").alias("end_ts"), F.when(turned, F.col("_ps")).otherwise(F.col("linha_sentido")).cast("int").alias("direction"), F.lit(False).alias("discrepancy"),
-        F.lit(True).alias("is_circular"), metres.alias("distance_meters"),
-    )
+    return _trips(positions, radius, "true")
 
 
 def detected(positions: DataFrame, radius: float = 100.0) -> DataFrame:
-    """Trips of every group, by the detector that the group's first row asks for."""
-    kind = F.coalesce(F.first("is_circular").over(_so_far().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(False))
-    rows = positions.withColumn("_kind", kind)
-    return non_circular(rows.where("NOT _kind").drop("_kind"), radius).unionByName(circular(rows.where("_kind").drop("_kind"), radius))
+    """Trips of every group, of the kind that the group's first row asks for, in one pass."""
+    return _trips(positions, radius, f"coalesce(first_value(is_circular) OVER {SERIES}, false)")
 
 
 def materialised(trips: DataFrame, most_kmh: float = 80.0) -> DataFrame:

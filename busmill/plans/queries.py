@@ -97,9 +97,10 @@ def extraction_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p50_p95_route_from_positions(spark: SparkSession, d: str) -> DataFrame:
-    """Flagship: positions to trips to facts to the panel."""
-    trips = trajectory.finished_trips(fixtures.positions(spark, d)).withColumn("logic_date", F.col("trip_end_time"))
-    return dashboards.median_and_p95(facts.trip_facts(trips), facts.provision(trips), min_trips=1)
+    """Flagship: positions to trips to facts to the panel. The hours are those of the positions' dates, so trips are made once."""
+    rows = fixtures.positions(spark, d)
+    trips = trajectory.finished_trips(rows).withColumn("logic_date", F.col("trip_end_time"))
+    return dashboards.median_and_p95(facts.trip_facts(trips), facts.dim_time(facts.dates_of(rows, "veiculo_ts", "veiculo_ts")), min_trips=1)
 
 
 @query

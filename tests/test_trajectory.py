@@ -141,6 +141,34 @@ def test_one_exchange(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
 
 
+def test_both_kinds_in_one_sort(spark, tmp_path):
+    path = str(tmp_path / "p")
+    series(spark, "f--l").unionByName(series(spark, "f--f", circular=True, vehicle=2)).write.parquet(path)
+    trips = trajectory.finished_trips(spark.read.parquet(path))
+    plan = trips._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and plan.count("FileScan") == 1
+    assert sorted((t.vehicle_id, t.is_circular) for t in trips.collect()) == [(1, False), (2, True)]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.sampled_from("flb--"), st.sampled_from("12")), min_size=1, max_size=14), min_size=8, max_size=12))
+def test_both_kinds_against_models(spark, many):
+    frames = None
+    for v, rows in enumerate(many):
+        df = series(spark, "".join(z for z, _ in rows), "".join(s for _, s in rows), v % 2 == 0, v)
+        frames = df if frames is None else frames.unionByName(df)
+    found = trajectory.detected(frames).collect()
+    for v, rows in enumerate(many):
+        zones, directions = "".join(z for z, _ in rows), "".join(s for _, s in rows)
+        expected = model_circular(zones, directions) if v % 2 == 0 else model_non_circular(zones)
+        mine = [r for r in found if r.veiculo_id == v]
+        assert index(mine) == sorted(expected), (zones, directions)
+        for r in mine if v % 2 else []:
+            a, b, way = index([r])[0]
+            told = {s for z, s in zip(zones[a + 1 : b], directions[a + 1 : b], strict=True) if z == "-"}
+            assert r.discrepancy == (len(told) == 1 and told != {str(way)})
+
+
 def test_metrics_of_nothing(spark):
     row = trajectory.extraction_metrics(series(spark, "f").limit(0)).first()
     assert row.positions == 0 and row.trips_total == 0
