@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RANK = {"PASS": 0, "WARN": 1, "FAIL": 2}
@@ -36,7 +36,8 @@ def freshness(positions: DataFrame, reference: Column, warn: float = 10, fail: f
 
 def recent_gaps(positions: DataFrame, reference: Column, warn: float = 5, fail: float = 15, window: int = 60) -> DataFrame:
     """Largest gap between distinct extraction times of the last minutes; fewer than two fail."""
-    recent = positions.where(minutes(F.col("extracao_ts"), reference) <= window).select("extracao_ts").distinct()
+    # Bounds on the column itself, so that they reach the scan; what is later than the reference is no part of the window.
+    recent = positions.where((F.col("extracao_ts") >= reference - F.expr(f"INTERVAL {window} MINUTES")) & (F.col("extracao_ts") <= reference)).select("extracao_ts").distinct()
     # Distinct minutes of one window: few, whatever the number of positions.
     gap = minutes(F.lag("extracao_ts").over(Window.orderBy("extracao_ts")), F.col("extracao_ts"))
     rows = recent.withColumn("gap", gap).agg(F.count("*").alias("distinct_extracao_ts"), F.round(F.max("gap"), 2).alias("max_gap_minutes"))
@@ -74,20 +75,34 @@ def acceptance(counts: DataFrame, passing: float = 1.0, warning: float = 0.98) -
     return rows.withColumn("status", F.when(clean, "PASS").when(F.col("acceptance_rate") >= warning, "WARN").otherwise("FAIL"))
 
 
+#: What a report's summary has besides what every one has; a check row may have them as columns.
+OPTIONAL = {"failure_phase": "string", "failure_message": "string", "items_failed": "long", "acceptance_rate": "double", "quality_report_path": "string"}
+
+
 def report(rows: DataFrame, pipeline: str, execution_id: Column, generated_at: Column, version: str = "v1") -> DataFrame:
-    """Check rows as report rows: summary and details, with the partition of local time."""
-    details = [c for c in rows.columns if c != "status"]
+    """Check rows as report rows: summary and details, with the partition of local time. OPTIONAL columns go to the summary, null where rows lack them."""
+    details = [c for c in rows.columns if c != "status" and c not in OPTIONAL]
+    rows = rows.withColumns({c: F.lit(None).cast(kind) for c, kind in OPTIONAL.items() if c not in rows.columns})
     at = F.from_utc_timestamp(generated_at, "America/Sao_Paulo")
     parts = [F.date_format(at, f).alias(n) for f, n in (("yyyy", "year"), ("MM", "month"), ("dd", "day"), ("HH", "hour"))]
-    summary = F.struct(F.lit(version).alias("contract_version"), F.lit(pipeline).alias("pipeline"), execution_id.alias("execution_id"), F.col("status"), generated_at.alias("generated_at_utc"))
+    summary = F.struct(F.lit(version).alias("contract_version"), F.lit(pipeline).alias("pipeline"), execution_id.alias("execution_id"), F.col("status"), *[F.col(c).cast(kind).alias(c) for c, kind in OPTIONAL.items()], generated_at.alias("generated_at_utc"))
     return rows.select(summary.alias("summary"), F.to_json(F.struct(*details)).alias("details"), F.lit(pipeline).alias("pipeline"), *parts)
 
 
+def failure(spark: SparkSession, phase: str, message: str) -> DataFrame:
+    """The check row of a run that broke off in a phase."""
+    return spark.createDataFrame([("FAIL", phase, message, 0)], "status string, failure_phase string, failure_message string, items_failed long")
+
+
 def correlation_ids(rows: DataFrame, by: str, column: str, most: int = 50) -> DataFrame:
     """Per group the first distinct values in order, how many there are, and whether some were cut off; a report's limit."""
-    ids = F.array_sort(F.collect_set(F.col(column).cast("string")))
-    out = rows.groupBy(by).agg(ids.alias("_ids"))
-    return out.select(by, F.slice("_ids", 1, most).alias("ids"), F.size("_ids").alias("total"), (F.size("_ids") > most).alias("truncated"))
+    known = rows.select(by, F.col(column).cast("string").alias("_id")).distinct()
+    totals = known.groupBy(by).agg(F.count("_id").alias("_total"))
+    # The rank keeps `most` values a group before they are shuffled.
+    first = known.where("_id IS NOT NULL").withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy("_id"))).where(F.col("_n") <= most)
+    ids = first.groupBy(by).agg(F.array_sort(F.collect_list("_id")).alias("ids")).withColumnRenamed(by, "_by")
+    out = totals.join(ids, F.col(by).eqNullSafe(F.col("_by")), "left")
+    return out.select(by, F.coalesce("ids", F.array().cast("array<string>")).alias("ids"), F.col("_total").cast("int").alias("total"), (F.col("_total") > most).alias("truncated"))
 
 
 def cumulative(summaries: DataFrame, items: int, ratio: float, run: int, last: int | None = None, since: Column | None = None) -> DataFrame:

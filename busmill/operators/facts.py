@@ -108,6 +108,23 @@ def marked(ledger: DataFrame, done: DataFrame, by: str = "filename") -> DataFram
     return ledger.join(seen, by, "left").withColumn("processed", F.col("processed") | F.coalesce("_done", F.lit(False))).drop("_done").select(*ledger.columns)
 
 
+def load_counts(derived: int, inserted: int) -> dict[str, int]:
+    """What a load reports: rows derived from its batch, new ones, and those that were there."""
+    return {"derived": derived, "inserted": inserted, "skipped": derived - inserted}
+
+
+def queue_metrics(requests: DataFrame, runs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One row: pending requests and logical dates, how many of the dates' runs are in each state (no_run where a date has none), and of the triggers in
+    each outcome. requests: logical_date; runs: logical_date, state; outcomes: outcome."""
+    dates = requests.where("logical_date IS NOT NULL").select("logical_date").distinct()
+    state = F.when(F.col("state").isNull(), "no_run").when(F.col("state").isin("queued", "running", "success", "failed"), F.col("state")).otherwise("other")
+    states = dates.join(runs.withColumn("_run", F.lit(True)), "logical_date", "left").select(F.when(F.col("_run"), F.coalesce(state, F.lit("other"))).otherwise("no_run").alias("state"))
+    states = states.agg(*[F.count_if(F.col("state") == s).alias(f"state_{s}") for s in ("no_run", "queued", "running", "success", "failed", "other")])
+    done = outcomes.agg(*[F.count_if(F.col("outcome") == s).alias(f"outcome_{s}") for s in ("triggered", "skipped_running", "skipped_existing", "failed")])
+    pending = requests.agg(F.count("*").alias("pending_requests_total"), F.count_distinct("logical_date").alias("pending_logical_dates_total"))
+    return pending.crossJoin(F.broadcast(states)).crossJoin(F.broadcast(done))  # one row each
+
+
 def queue_summary(requests: DataFrame) -> DataFrame:
     """Counts of requests and logical dates by state."""
     return requests.groupBy("state").agg(F.count("*").alias("requests"), F.count_distinct("logical_date").alias("logical_dates"))

@@ -44,6 +44,13 @@ def position_lineage(raw: StructType) -> list[Column]:
     return out
 
 
+_TIMES = ("stop_times.stop_id", "stop_times.stop_sequence")
+TRIP_DETAILS = [
+    Column("trip_id", ("stop_times.trip_id",), "calculated", "string"),
+    *[Column(f"{side}_stop_{part}", (*_TIMES, f"stops.stop_{part}"), "join", kind) for side in ("first", "last") for part, kind in (("id", "int"), ("name", "string"), ("lat", "double"), ("lon", "double"))],
+    Column("trip_linear_distance", ("first_stop_lat", "first_stop_lon", "last_stop_lat", "last_stop_lon"), "calculated", "double"),
+    Column("is_circular", ("first_stop_id", "last_stop_id"), "calculated", "boolean"),
+]
 FINISHED_TRIPS = [
     Column("trip_id", ("linha_lt", "direction"), "calculated", "line and direction"),
     Column("vehicle_id", ("veiculo_id",), "rename", "veiculo_id as vehicle_id"),
@@ -73,6 +80,27 @@ TRIP_FACTS = [
 ]
 
 
+def logical_type(kind: str | None) -> str:
+    """Spark's type name as the lineage reports have it; unknown for a column that isn't there."""
+    if kind is None:
+        return "unknown"
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return "int"
+    if kind in ("float", "double") or kind.startswith("decimal"):
+        return "float"
+    return "timestamp" if kind.startswith(("timestamp", "date")) else kind if kind == "boolean" else "string"
+
+
+def column_map(columns: list[Column], actual: DataFrame) -> DataFrame:
+    """One row: the map of each column's inputs, logical type and transformation, merged from one map a transformation; later ones win."""
+    kinds = dict(actual.dtypes)
+    fragments = []
+    for how in dict.fromkeys(c.type for c in columns):
+        entries = [x for c in columns if c.type == how for x in (F.lit(c.name), F.struct(F.array(*map(F.lit, c.inputs)).alias("inputs"), F.lit(logical_type(kinds.get(c.name))).alias("type"), F.lit(how).alias("transformation")))]
+        fragments.append(F.create_map(*entries))
+    return actual.sparkSession.range(1).select(F.map_concat(*fragments).alias("columns"))
+
+
 def as_table(spark: SparkSession, table: str, columns: list[Column]) -> DataFrame:
     return spark.createDataFrame([(table, c.name, list(c.inputs), c.type, c.transformation) for c in columns], SCHEMA)
 

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import terminal_distance_m, trip_id
+from ..schemas import POSITION_COLUMNS, QUARANTINE_COLUMNS
 
-#: API code, domain name.
+#: API code, domain name.
 RENAMED = [("c", "linha_lt"), ("cl", "linha_code"), ("sl", "linha_sentido"), ("lt0", "lt_destino"), ("lt1", "lt_origem"), ("p", "veiculo_id"), ("a", "veiculo_acessivel"), ("ta", "veiculo_ts"), ("py", "veiculo_lat"), ("px", "veiculo_long")]
 JOIN_MISS, NO_DISTANCE = "transform_error:trip_details_missing", "transform_error:distance_calculation"
 
@@ -44,6 +45,30 @@ def invalid(rows: DataFrame, failed_at: Column) -> DataFrame:
     return rows.where("invalid_reason IS NOT NULL").withColumn("validation_failed_at", failed_at)
 
 
+def trusted(rows: DataFrame) -> DataFrame:
+    """The columns of the trusted table alone."""
+    return rows.select(*POSITION_COLUMNS)
+
+
+def united_invalid(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """All that is rejected, by the transform and by the rules, with the columns of the quarantine; a column that a frame lacks is null."""
+    for other in others:
+        first = first.unionByName(other, allowMissingColumns=True)
+    return first.select(*QUARANTINE_COLUMNS)
+
+
+def issues(rows: DataFrame) -> DataFrame:
+    """kind, value, n: the vehicles and the trips of an enriched batch that are invalid, one row each."""
+    bad = rows.where("invalid_reason IS NOT NULL")
+    named = F.explode(F.array(F.struct(F.lit("invalid_vehicle").alias("kind"), F.col("veiculo_id").cast("string").alias("value")), F.struct(F.lit("invalid_trip").alias("kind"), F.col("trip_id").alias("value"))))
+    return bad.select(named.alias("x")).where("x.value IS NOT NULL").groupBy("x.kind", "x.value").agg(F.count("*").alias("n"))
+
+
+def expected(raw: DataFrame) -> DataFrame:
+    """One row: the vehicles that the snapshots say they hold, and their lines."""
+    return raw.agg(F.coalesce(F.sum("metadata.total_vehicles"), F.lit(0)).alias("expected_vehicles"), F.coalesce(F.sum(F.greatest(F.size("payload.l"), F.lit(0))), F.lit(0)).alias("total_lines_processed"))
+
+
 def reconciliation(raw: DataFrame) -> DataFrame:
     """Per snapshot: lines, the vehicles that they announce, and those that they list."""
     lines = F.coalesce("payload.l", F.array().cast(raw.schema["payload"].dataType["l"].dataType))

@@ -40,6 +40,31 @@ REGISTRY: dict[str, Callable[..., Column]] = {
 }
 
 
+#: Type names of suites to Spark's. Others are compared as they are.
+TYPES = {
+    "int": ("tinyint", "smallint", "int", "bigint"), "float": ("float", "double"), "str": ("string",), "bool": ("boolean",), "datetime": ("timestamp", "timestamp_ntz", "date"),
+}
+
+
+def kind(rule: Rule) -> str:
+    return rule.get("expectation_type") or rule["type"]
+
+
+def is_type(actual: str | None, wanted: str) -> bool:
+    """int64, Int64, float64, datetime64[ns] and the like are their families; a Spark name is itself alone."""
+    if actual == wanted:
+        return True
+    family = wanted.lower().partition("[")[0].rstrip("0123456789")
+    return actual in TYPES.get({"integer": "int", "double": "float", "string": "str", "object": "str", "boolean": "bool", "timestamp": "datetime"}.get(family, family), ())
+
+
+def load_suite(document: dict[str, Any]) -> tuple[list[Rule], dict[str, Any]]:
+    """(rules, parameters) of a suite's JSON document, with or without its name as the root."""
+    while "expectations" not in document and len(document) == 1:
+        document = next(iter(document.values()))
+    return document["expectations"], document.get("evaluation_parameters", {})
+
+
 def resolved(rule: Rule, parameters: dict[str, Any]) -> dict[str, Any]:
     """A rule's arguments with {"$PARAMETER": name} replaced."""
     return {k: parameters[v["$PARAMETER"]] if isinstance(v, dict) and "$PARAMETER" in v else v for k, v in rule.get("kwargs", {}).items()}
@@ -56,26 +81,49 @@ def _schema_failures(df: DataFrame, suite: list[Rule], parameters: dict[str, Any
     types, failed = dict(df.dtypes), []
     for rule in suite:
         args = resolved(rule, parameters)
-        if rule["type"] == TABLE_RULES[0] and types.get(args["column"]) != args["type_"]:
-            failed.append(f"{rule['type']}:{args['column']}")
-        if rule["type"] == TABLE_RULES[1] and set(types) != set(args["column_set"]):
-            failed.append(rule["type"])
+        if kind(rule) == TABLE_RULES[0] and not is_type(types.get(args["column"]), args["type_"]):
+            failed.append(f"{kind(rule)}:{args['column']}")
+        if kind(rule) == TABLE_RULES[1] and set(types) != set(args["column_set"]):
+            failed.append(kind(rule))
     return failed
 
 
+def runnable(df: DataFrame, suite: list[Rule], parameters: dict[str, Any]) -> tuple[list[Rule], list[str]]:
+    """The rules that can run, and why each other one can't: an unknown rule, a parameter or a column that isn't there."""
+    good, failed = [], []
+    for rule in suite:
+        name = kind(rule)
+        try:
+            args = resolved(rule, parameters)
+        except KeyError as missing:
+            failed.append(f"{name}:no parameter {missing.args[0]}")
+            continue
+        columns = [args["column"]] if "column" in args else args.get("column_list", [])
+        lost = [c for c in columns if c not in df.columns]
+        if name not in REGISTRY and name not in TABLE_RULES:
+            failed.append(f"{name}:unknown rule")
+        elif lost:
+            failed.append(f"{name}:no column {','.join(lost)}")
+        else:
+            good.append(rule)
+    return good, failed
+
+
 def reasons(df: DataFrame, suite: list[Rule], parameters: dict[str, Any] | None = None) -> DataFrame:
     """df with the array of the rules that each row breaks, as name:column."""
     marks = []
     for rule in suite:
-        if rule["type"] not in TABLE_RULES:
+        if kind(rule) not in TABLE_RULES:
             args = resolved(rule, parameters or {})
-            name = f"{rule['type']}:{args.get('column') or ','.join(args['column_list'])}"
-            marks.append(F.when(REGISTRY[rule["type"]](**args), name))
+            name = f"{kind(rule)}:{args.get('column') or ','.join(args['column_list'])}"
+            marks.append(F.when(REGISTRY[kind(rule)](**args), name))
     return df.withColumn("_reasons", F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>"))
 
 
 def validate(df: DataFrame, suite: list[Rule], failed_at: Column, parameters: dict[str, Any] | None = None) -> Validated:
-    """Table rules count as violated checks but reject no rows."""
+    """Table rules count as violated checks but reject no rows; rules that can't run count as exceptions."""
+    total = len(suite)
+    suite, exceptions = runnable(df, suite, parameters or {})
     rows = reasons(df, suite, parameters)
     bad = F.size("_reasons") > 0
     schema = _schema_failures(df, suite, parameters or {})
@@ -84,8 +132,9 @@ def validate(df: DataFrame, suite: list[Rule], failed_at: Column, parameters: di
     listed = counts.agg(F.array_sort(F.collect_list(F.struct("rule", "failures"))).alias("violation_reasons"), F.count("*").alias("row_rules_violated"))
     violated = F.col("row_rules_violated") + len(schema)
     summary = whole.crossJoin(F.broadcast(listed)).select(  # one row each
-        F.lit(len(suite)).cast("long").alias("total_checks"), (F.lit(len(suite)) - violated).alias("expectations_successful"), violated.alias("expectations_with_violations"), "rows_failed", "total_rows",
-        "violation_reasons", F.array(*[F.lit(x) for x in schema]).cast("array<string>").alias("schema_violations"),
+        F.lit(total).cast("long").alias("total_checks"), (F.lit(total - len(exceptions)) - violated).alias("expectations_successful"), violated.alias("expectations_with_violations"),
+        F.lit(len(exceptions)).cast("long").alias("expectations_failed_due_to_exceptions"), "rows_failed", "total_rows", "violation_reasons",
+        F.array(*[F.lit(x) for x in schema]).cast("array<string>").alias("schema_violations"), F.array(*[F.lit(x) for x in exceptions]).cast("array<string>").alias("exception_reasons"),
     )
     invalid = rows.where(bad).withColumns({"invalid_reason": F.array_join("_reasons", "; "), "validation_failed_at": failed_at}).drop("_reasons")
     return Validated(rows.where(~bad).drop("_reasons"), invalid, summary)

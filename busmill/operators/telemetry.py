@@ -34,10 +34,10 @@ def over_time(events: DataFrame, range_: str, step: str, by: list[str] | None =
     return rows.select(F.col("w.end").alias("tick"), *(by or []), "avg_value", "max_value", "sum_value", "last_value")
 
 
-def ratio(events: DataFrame, accepted: Column, total: Column, range_: str, step: str, below: float) -> DataFrame:
-    """Windows in which the accepted events' values are less than a share of all."""
+def ratio(events: DataFrame, accepted: Column, total: Column, range_: str, step: str, below: float, scale: float = 1.0) -> DataFrame:
+    """Windows in which the accepted events' values, in units of `scale`, are less than a share of all."""
     rows = events.groupBy(windows(events, range_, step).alias("w")).agg(F.sum(F.when(accepted, F.col("value"))).alias("a"), F.sum(F.when(total, F.col("value"))).alias("b"))
-    share = F.coalesce(F.col("a"), F.lit(0.0)) / F.nullif(F.col("b"), F.lit(0))
+    share = F.coalesce(F.col("a"), F.lit(0.0)) / F.nullif(F.col("b"), F.lit(0)) * scale
     return rows.select(F.col("w.end").alias("tick"), share.alias("ratio")).where(F.col("ratio") < below)
 
 

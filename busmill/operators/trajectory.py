@@ -111,9 +111,13 @@ def materialised(trips: DataFrame, most_kmh: float = 80.0) -> DataFrame:
     )
 
 
-def finished_trips(positions: DataFrame, radius: float = 100.0) -> DataFrame:
-    """Sanitized positions to the trips that count."""
-    return materialised(detected(sanitize(positions), radius)).where("left_out IS NULL").drop("left_out")
+def finished_trips(positions: DataFrame, radius: float = 100.0, hold_last: bool = False) -> DataFrame:
+    """Sanitized positions to the trips that count. hold_last: without the last row of each series, which a later row may make a spike."""
+    rows = with_spikes(positions)
+    if hold_last:
+        rows = rows.selectExpr("*", f"lead(true) OVER {SERIES} AS _followed").where("_followed").drop("_followed")
+    rows = rows.where(~F.col("spike")).select(*positions.columns)
+    return materialised(detected(rows, radius)).where("left_out IS NULL").drop("left_out")
 
 
 def extraction_metrics(positions: DataFrame, radius: float = 100.0) -> DataFrame:

@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.positions import latest_by_vehicle
-
 
 @dataclass
 class Filters:
@@ -124,14 +122,20 @@ def route_summary(facts: DataFrame, details: DataFrame, dim: DataFrame, route: s
     )
 
 
-def live_fleet(latest: DataFrame, details: DataFrame) -> DataFrame:
-    """One marker per vehicle with its terminals."""
+def of_line(latest: DataFrame, line: str | None = None, direction: int | None = None) -> DataFrame:
+    """The live panels' optional filters."""
+    rows = latest if line is None else latest.where(F.col("linha_lt") == line)
+    return rows if direction is None else rows.where(F.col("linha_sentido") == direction)
+
+
+def live_fleet(latest: DataFrame, details: DataFrame, line: str | None = None, direction: int | None = None) -> DataFrame:
+    """One marker per vehicle with its terminals; latest: as of positions.latest_by_vehicle."""
     names = details.select("trip_id", "first_stop_name", "last_stop_name", "is_circular")
-    return latest_by_vehicle(latest).drop("is_circular").join(names, "trip_id", "left").select("veiculo_id", "linha_lt", "linha_sentido", "veiculo_lat", "veiculo_long", "veiculo_ts", "first_stop_name", "last_stop_name", "is_circular")
+    return of_line(latest, line, direction).drop("is_circular").join(names, "trip_id", "left").select("veiculo_id", "linha_lt", "linha_sentido", "veiculo_lat", "veiculo_long", "veiculo_ts", "first_stop_name", "last_stop_name", "is_circular")
 
 
-def live_freshness(latest: DataFrame, as_of: Column) -> DataFrame:
-    newest = latest.groupBy("veiculo_id").agg(F.max("veiculo_ts").alias("ts")).agg(F.count("*").alias("active_vehicle_count"), F.max("ts").alias("latest_snapshot_ts"))
+def live_freshness(latest: DataFrame, as_of: Column, line: str | None = None, direction: int | None = None) -> DataFrame:
+    newest = of_line(latest, line, direction).groupBy("veiculo_id").agg(F.max("veiculo_ts").alias("ts")).agg(F.count("*").alias("active_vehicle_count"), F.max("ts").alias("latest_snapshot_ts"))
     age = F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(F.col("latest_snapshot_ts").cast("timestamp"))
     return newest.withColumn("snapshot_age_seconds", age)
 

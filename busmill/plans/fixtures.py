@@ -27,14 +27,15 @@ def positions(spark: SparkSession, sf_dir: str, near: bool = False) -> DataFrame
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").where("s_suppkey < 8").selectExpr("s_suppkey AS stop_id", "s_name AS stop_name", "cast(-23.9 + (s_suppkey % 70) * 0.01 AS double) AS stop_lat", "cast(-46.9 + (s_suppkey % 60) * 0.01 AS double) AS stop_lon")
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS stop_id", "s_name AS stop_name", "cast(-23.9 + (s_suppkey % 70) * 0.01 AS double) AS stop_lat", "cast(-46.9 + (s_suppkey % 60) * 0.01 AS double) AS stop_lon")
 
 
 def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.min(F.expr("l_suppkey % 8")).alias("stop_id"))
+        # Every supplier is a stop; an order in five goes round to the stop where it began.
+        .agg(F.min(F.expr("CASE WHEN l_orderkey % 10 < 2 THEN 1 + l_orderkey % 7 ELSE l_suppkey END")).alias("stop_id"))
         .selectExpr("concat(cast(l_orderkey div 2 AS string), '-10-', cast(l_orderkey % 2 AS string)) AS trip_id", "l_linenumber AS stop_sequence", "stop_id")
     )
 

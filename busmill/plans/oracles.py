@@ -16,8 +16,8 @@ def _pos(near: bool = False) -> str:
   CAST({last} AS DOUBLE) AS distance_to_last_stop, CAST(CASE WHEN user_id % 37 = 0 THEN 0 ELSE 1000 + 10 * (user_id % 50) END AS DOUBLE) AS trip_linear_distance, event_id FROM ev)"""
 
 
-DETAILS = """stops AS (SELECT s_suppkey AS stop_id, s_name AS stop_name, CAST(-23.9 + (s_suppkey % 70) * 0.01 AS DOUBLE) AS lat, CAST(-46.9 + (s_suppkey % 60) * 0.01 AS DOUBLE) AS lon FROM supplier WHERE s_suppkey < 8),
-st AS (SELECT CAST(l_orderkey // 2 AS VARCHAR) || '-10-' || CAST(l_orderkey % 2 AS VARCHAR) AS trip_id, l_linenumber AS n, min(l_suppkey % 8) AS stop_id FROM lineitem GROUP BY l_orderkey, l_linenumber),
+DETAILS = """stops AS (SELECT s_suppkey AS stop_id, s_name AS stop_name, CAST(-23.9 + (s_suppkey % 70) * 0.01 AS DOUBLE) AS lat, CAST(-46.9 + (s_suppkey % 60) * 0.01 AS DOUBLE) AS lon FROM supplier),
+st AS (SELECT CAST(l_orderkey // 2 AS VARCHAR) || '-10-' || CAST(l_orderkey % 2 AS VARCHAR) AS trip_id, l_linenumber AS n, min(CASE WHEN l_orderkey % 10 < 2 THEN 1 + l_orderkey % 7 ELSE l_suppkey END) AS stop_id FROM lineitem GROUP BY l_orderkey, l_linenumber),
 rk AS (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY n) AS a, row_number() OVER (PARTITION BY trip_id ORDER BY n DESC) AS b FROM st JOIN stops USING (stop_id)),
 en AS (SELECT trip_id, max(CASE WHEN a = 1 THEN stop_id END) AS first_stop_id, max(CASE WHEN a = 1 THEN stop_name END) AS first_stop_name, max(CASE WHEN a = 1 THEN lat END) AS first_stop_lat, max(CASE WHEN a = 1 THEN lon END) AS first_stop_lon,
   max(CASE WHEN b = 1 THEN stop_id END) AS last_stop_id, max(CASE WHEN b = 1 THEN stop_name END) AS last_stop_name, max(CASE WHEN b = 1 THEN lat END) AS last_stop_lat, max(CASE WHEN b = 1 THEN lon END) AS last_stop_lon FROM rk GROUP BY trip_id),
@@ -111,7 +111,7 @@ enr AS (SELECT *, CASE WHEN known IS NULL THEN 'transform_error:trip_details_mis
 RULES = """ru AS (SELECT *, list_filter([CASE WHEN l_shipdate IS NULL THEN 'expect_column_values_to_not_be_null:l_shipdate' END, CASE WHEN l_quantity < 2 OR l_quantity > 45 THEN 'expect_column_values_to_be_between:l_quantity' END, CASE WHEN l_discount > 0.09 THEN 'expect_column_values_to_be_between:l_discount' END,
   CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'expect_column_values_to_be_in_set:l_returnflag' END], lambda r: r IS NOT NULL) AS reasons FROM lineitem)"""
 SUMS = """su AS (SELECT o_orderpriority AS pipeline, CASE o_orderstatus WHEN 'F' THEN 'FAIL' WHEN 'P' THEN 'WARN' ELSE 'PASS' END AS status, o_custkey % 20 AS items_failed, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 1 - (o_orderkey % 50) / 1000 END AS acceptance_rate, o_orderdate AS received_at, o_orderkey AS seq FROM orders)"""
-RAWS = "raws AS (SELECT date_trunc('hour', veiculo_ts) AS hour, * FROM pos)"
+RAWS = "raws AS (SELECT date_trunc('minute', veiculo_ts) AS taken, veiculo_id % 16 AS slice, * FROM pos)"
 FLEET = f"lat AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY veiculo_id ORDER BY veiculo_ts DESC) AS n, linha_lt || CASE linha_sentido WHEN 1 THEN '-0' WHEN 2 THEN '-1' END AS trip_id FROM pos) WHERE n = 1)"
 
 
@@ -138,14 +138,18 @@ ORACLE_SQL: dict[str, str] = {
     "nearest_quality_split": f"WITH {ENR} SELECT linha_lt, invalid_reason, count(*) AS n FROM enr GROUP BY ALL",
     "transform_metrics": f"""WITH {ENR} SELECT count(*) AS total_vehicles, count(*) FILTER (invalid_reason IS NULL) AS valid_vehicles, count(*) FILTER (invalid_reason IS NOT NULL) AS invalid_vehicles, count(DISTINCT linha_lt) AS total_lines, round(count(*) FILTER (invalid_reason IS NULL) / count(*) * 100, 2) AS quality_score,
   count(DISTINCT trip_id) FILTER (invalid_reason IS NOT NULL) AS invalid_trips, count(veiculo_id) FILTER (invalid_reason IS NOT NULL) AS invalid_vehicle_ids, count(DISTINCT linha_lt) FILTER (invalid_reason IS NOT NULL) AS lines_with_invalid, count(*) FILTER (invalid_reason = 'transform_error:distance_calculation') AS distance_errors FROM enr""",
+    "transform_issues": f"""WITH {ENR}, x AS (SELECT 'invalid_vehicle' AS kind, CAST(veiculo_id AS VARCHAR) AS value FROM enr WHERE invalid_reason IS NOT NULL UNION ALL SELECT 'invalid_trip', trip_id FROM enr WHERE invalid_reason IS NOT NULL)
+  SELECT kind, value, count(*) AS n FROM x WHERE value IS NOT NULL GROUP BY ALL""",
     "trip_details": f"WITH {DETAILS} SELECT * REPLACE (round(first_stop_lat, 6) AS first_stop_lat, round(first_stop_lon, 6) AS first_stop_lon, round(last_stop_lat, 6) AS last_stop_lat, round(last_stop_lon, 6) AS last_stop_lon) FROM det",
     "trip_details_refined": f"WITH {DETAILS}, x AS (SELECT *, is_circular AND trip_id LIKE '%-0' AS z, is_circular AND trip_id LIKE '%-1' AS o FROM det) SELECT trip_id, "
     + ", ".join(f"CASE WHEN NOT {f} THEN {'round(' * (p in ('lat', 'lon'))}{s}_stop_{p}{', 6)' * (p in ('lat', 'lon'))} END AS {s}_stop_{p}" if p != "name" else f"CASE WHEN {f} THEN 'Parada intermediaria' ELSE {s}_stop_name END AS {s}_stop_name" for s, f in (("first", "o"), ("last", "z")) for p in ("id", "name", "lat", "lon"))
     + ", trip_linear_distance, is_circular FROM x",
-    "flatten_snapshot": f"WITH {_pos()}, {RAWS} SELECT hour AS extracao_ts, linha_lt, linha_sentido, veiculo_id, veiculo_ts, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, linha_lt || '-' || CASE linha_sentido WHEN 1 THEN '0' ELSE '1' END AS trip_id FROM raws",
-    "payload_reconciliation": f"WITH {_pos()}, {RAWS} SELECT strftime(hour, '%Y-%m-%dT%H:00:00') AS extracted_at, CAST(count(DISTINCT (linha_lt, linha_sentido)) AS INTEGER) AS lines, CAST(count(*) AS INTEGER) AS announced, CAST(count(*) AS INTEGER) AS listed FROM raws GROUP BY hour",
+    "flatten_snapshot": f"WITH {_pos()}, {RAWS} SELECT taken AS extracao_ts, linha_lt, linha_sentido, veiculo_id, veiculo_ts, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, linha_lt || '-' || CASE linha_sentido WHEN 1 THEN '0' ELSE '1' END AS trip_id FROM raws",
+    "payload_reconciliation": f"WITH {_pos()}, {RAWS} SELECT strftime(taken, '%Y-%m-%dT%H:%M:00') AS extracted_at, count(DISTINCT (slice, linha_lt, linha_sentido)) AS lines, count(*) AS announced, count(*) AS listed FROM raws GROUP BY taken",
     "rules_valid": f"WITH {RULES} SELECT * EXCLUDE (reasons) FROM ru WHERE len(reasons) = 0",
     "rules_invalid": f"WITH {RULES} SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_returnflag, array_to_string(reasons, '; ') AS invalid_reason FROM ru WHERE len(reasons) > 0",
+    "suite_exceptions": f"""WITH {RULES}, c AS (SELECT count(*) AS n FROM ru WHERE l_quantity < 2 OR l_quantity > 45) SELECT CAST(5 AS BIGINT) AS total_checks, CAST(3 - CASE WHEN c.n > 0 THEN 1 ELSE 0 END AS BIGINT) AS expectations_successful, CAST(CASE WHEN c.n > 0 THEN 1 ELSE 0 END AS BIGINT) AS expectations_with_violations,
+  CAST(2 AS BIGINT) AS expectations_failed_due_to_exceptions, c.n AS rows_failed, (SELECT count(*) FROM ru) AS total_rows, 'expect_column_values_to_not_be_null:no column l_missing; expect_column_values_to_be_between:no parameter absent' AS exceptions FROM c""",
     "rules_summary": f"""WITH {RULES}, c AS (SELECT r, count(*) AS n FROM (SELECT unnest(reasons) AS r FROM ru) GROUP BY r), v AS (SELECT count(*) + 1 AS n, string_agg(r || '=' || n, '; ' ORDER BY r) AS reasons FROM c)
   SELECT CAST(6 AS BIGINT) AS total_checks, 6 - v.n AS expectations_successful, v.n AS expectations_with_violations, (SELECT count(*) FROM ru WHERE len(ru.reasons) > 0) AS rows_failed, (SELECT count(*) FROM ru) AS total_rows, v.reasons FROM v""",
     "acceptance_policy": f"WITH {RULES}, r AS (SELECT count(*) FILTER (len(reasons) = 0) / count(*) AS x FROM ru) SELECT round(x, 6) AS acceptance_rate, CASE WHEN x >= 0.98 THEN 'WARN' ELSE 'FAIL' END AS status FROM r",
@@ -167,6 +171,10 @@ ORACLE_SQL: dict[str, str] = {
     "uncovered_dim_keys": f"WITH {FACTS}, h AS (SELECT time_key FROM dim WHERE hour_of_day % 5 <> 0 OR day % 2 = 0) SELECT trip_id, vehicle_id, started_at, started_at_time_dim_key, ended_at_time_dim_key FROM fac WHERE NOT EXISTS (SELECT 1 FROM h WHERE time_key = started_at_time_dim_key) OR NOT EXISTS (SELECT 1 FROM h WHERE time_key = ended_at_time_dim_key)",
     "retention_keep": f"WITH {FACTS} SELECT route_id, count(*) AS n, min(started_at) AS oldest FROM fac WHERE started_at >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY GROUP BY route_id",
     "pending_ledger": "SELECT 'posicoes_onibus-' || o_orderkey || '.json' AS filename, o_orderdate AS created_at FROM orders WHERE NOT (o_orderkey % 3 <> 0 AND o_orderstatus <> 'P')",
+    "queue_metrics": """WITH q AS (SELECT date_trunc('day', o_orderdate) AS d, o_orderkey AS k, o_orderstatus AS s FROM orders), p AS (SELECT * FROM q WHERE s = 'P'), r AS (SELECT d, CASE s WHEN 'F' THEN 'failed' ELSE 'success' END AS state FROM q WHERE s <> 'P' AND k % 3 = 0),
+  t AS (SELECT x.d, state FROM (SELECT DISTINCT d FROM p) x LEFT JOIN r ON r.d = x.d)
+  SELECT (SELECT count(*) FROM p) AS pending_requests_total, (SELECT count(DISTINCT d) FROM p) AS pending_logical_dates_total, count(*) FILTER (state IS NULL) AS state_no_run, CAST(0 AS BIGINT) AS state_queued, CAST(0 AS BIGINT) AS state_running, count(*) FILTER (state = 'success') AS state_success,
+  count(*) FILTER (state = 'failed') AS state_failed, CAST(0 AS BIGINT) AS state_other, (SELECT count(*) FROM q WHERE k % 4 = 0) AS outcome_triggered, (SELECT count(*) FROM q WHERE k % 4 = 1) AS outcome_skipped_running, (SELECT count(*) FROM q WHERE k % 4 = 2) AS outcome_skipped_existing, (SELECT count(*) FROM q WHERE k % 4 = 3) AS outcome_failed FROM t""",
     "queue_summary": "SELECT o_orderstatus AS state, count(*) AS requests, count(DISTINCT date_trunc('day', o_orderdate)) AS logical_dates FROM orders GROUP BY 1",
     "kpis_today": f"WITH {FACTS} SELECT count(*) AS trips_completed_today, count(DISTINCT route_id) AS active_routes_today, count(DISTINCT vehicle_id) AS active_vehicles_today FROM fac JOIN dim ON ended_at_time_dim_key = time_key WHERE date_actual = DATE '{AS_OF}'",
     "latest_batch": f"WITH {FACTS} SELECT max(logic_date) AS latest_batch_ts, count(*) FILTER (logic_date = (SELECT max(logic_date) FROM fac)) AS latest_batch_trip_count FROM fac",
@@ -185,6 +193,8 @@ ORACLE_SQL: dict[str, str] = {
     "reliability_by_route": f"WITH {FACTS} SELECT route_id, is_circular, round(stddev_samp(duration_seconds) / nullif(avg(duration_seconds), 0), 6) AS reliability_index, count(*) AS trip_count FROM fac GROUP BY ALL",
     "latest_positions": f"WITH {_pos()}, {FLEET} SELECT veiculo_ts, veiculo_id, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, linha_lt, linha_sentido, trip_id FROM lat",
     "live_fleet": f"WITH {_pos()}, {FLEET}, {DETAILS} SELECT veiculo_id, linha_lt, linha_sentido, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, veiculo_ts, first_stop_name, last_stop_name, det.is_circular FROM lat LEFT JOIN det ON det.trip_id = lat.trip_id",
+    "live_fleet_of_line": f"WITH {_pos()}, {FLEET}, {DETAILS} SELECT veiculo_id, linha_lt, linha_sentido, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, veiculo_ts, first_stop_name, last_stop_name, det.is_circular FROM lat LEFT JOIN det ON det.trip_id = lat.trip_id WHERE linha_lt = '3-10' AND linha_sentido = 1",
+    "live_freshness_of_line": f"WITH {_pos()}, {FLEET} SELECT count(*) AS active_vehicle_count, max(veiculo_ts) AS latest_snapshot_ts, CAST(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(veiculo_ts))) AS BIGINT) AS snapshot_age_seconds FROM lat WHERE linha_lt = '3-10'",
     "live_freshness": f"WITH {_pos()}, {FLEET} SELECT count(*) AS active_vehicle_count, max(veiculo_ts) AS latest_snapshot_ts, CAST(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(veiculo_ts))) AS BIGINT) AS snapshot_age_seconds FROM lat",
     "trip_monitor": f"WITH {FACTS} SELECT route_id, CASE WHEN hour_of_day < 6 THEN 'night' WHEN hour_of_day < 12 THEN 'morning' WHEN hour_of_day < 18 THEN 'afternoon' ELSE 'evening' END AS period, count(*) AS trips, min(started_at) AS first_start, max(ended_at) AS last_end, round(avg(duration_seconds), 6) AS avg_duration_seconds FROM sta WHERE started_at >= TIMESTAMP '2024-01-20' GROUP BY ALL",
     "vehicle_inventory": f"WITH {_pos()} SELECT linha_lt, veiculo_id, count(*) AS n, min(veiculo_ts) AS first_ts, max(veiculo_ts) AS last_ts, min(linha_sentido) AS min_sentido, max(linha_sentido) AS max_sentido FROM pos GROUP BY ALL",

@@ -131,6 +131,11 @@ def transform_metrics(spark: SparkSession, d: str) -> DataFrame:
     return positions.metrics(_enriched(spark, d))
 
 
+@query
+def transform_issues(spark: SparkSession, d: str) -> DataFrame:
+    return positions.issues(_enriched(spark, d))
+
+
 @query
 def trip_details(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_details(spark, d), "first_stop_lat", "first_stop_lon", "last_stop_lat", "last_stop_lon", places=6)
@@ -142,13 +147,13 @@ def trip_details_refined(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, d: str) -> DataFrame:
-    """Positions as nested snapshots, one an hour, through JSON text."""
-    rows = fixtures.positions(spark, d).withColumn("hour", F.date_format("veiculo_ts", "yyyy-MM-dd'T'HH:00:00"))
+    """Positions as nested snapshots through JSON text: one for each minute and slice of the fleet, so a document stays as large as a fleet's part."""
+    rows = fixtures.positions(spark, d).withColumns({"taken": F.date_format("veiculo_ts", "yyyy-MM-dd'T'HH:mm:00"), "slice": F.col("veiculo_id") % 16})
     vehicle = F.struct(F.col("veiculo_id").cast("int").alias("p"), F.lit(True).alias("a"), F.date_format("veiculo_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ta"), F.col("veiculo_lat").alias("py"), F.col("veiculo_long").alias("px"))
-    lines = rows.groupBy("hour", "linha_lt", "linha_sentido").agg(F.collect_list(vehicle).alias("vs"))
+    lines = rows.groupBy("taken", "slice", "linha_lt", "linha_sentido").agg(F.collect_list(vehicle).alias("vs"))
     line = F.struct(F.col("linha_lt").alias("c"), F.lit(1).alias("cl"), F.col("linha_sentido").alias("sl"), F.lit("a").alias("lt0"), F.lit("b").alias("lt1"), F.size("vs").alias("qv"), "vs")
-    docs = lines.groupBy("hour").agg(F.collect_list(line).alias("l"), F.sum(F.size("vs")).alias("n"))
-    doc = F.struct(F.struct(F.col("hour").alias("extracted_at"), F.lit("api").alias("source"), F.col("n").alias("total_vehicles")).alias("metadata"), F.struct(F.substring("hour", 12, 5).alias("hr"), "l").alias("payload"))
+    docs = lines.groupBy("taken", "slice").agg(F.collect_list(line).alias("l"), F.sum(F.size("vs")).alias("n"))
+    doc = F.struct(F.struct(F.col("taken").alias("extracted_at"), F.lit("api").alias("source"), F.col("n").alias("total_vehicles")).alias("metadata"), F.struct(F.substring("taken", 12, 5).alias("hr"), "l").alias("payload"))
     return docs.select(F.from_json(F.to_json(doc), RAW).alias("r")).select("r.*")
 
 
@@ -161,7 +166,8 @@ def flatten_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def payload_reconciliation(spark: SparkSession, d: str) -> DataFrame:
-    return positions.reconciliation(_raw(spark, d))
+    parts = positions.reconciliation(_raw(spark, d))
+    return parts.groupBy("extracted_at").agg(*[F.sum(c).alias(c) for c in ("lines", "announced", "listed")])
 
 
 def _validated(spark: SparkSession, d: str) -> rules.Validated:
@@ -178,6 +184,27 @@ def rules_invalid(spark: SparkSession, d: str) -> DataFrame:
     return _validated(spark, d).invalid.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "invalid_reason")
 
 
+@query
+def suite_exceptions(spark: SparkSession, d: str) -> DataFrame:
+    """A suite as the platform writes it, with rules that can't run."""
+    document = {
+        "lineitem": {
+            "expectation_suite_name": "lineitem",
+            "evaluation_parameters": {"least": 2, "most": 45},
+            "expectations": [
+                {"expectation_type": "expect_column_values_to_be_of_type", "kwargs": {"column": "l_orderkey", "type_": "int"}},
+                {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "l_missing"}},
+                {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "l_quantity", "min_value": {"$PARAMETER": "least"}, "max_value": {"$PARAMETER": "most"}}},
+                {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "l_discount", "max_value": {"$PARAMETER": "absent"}}},
+                {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "l_orderkey"}},
+            ],
+        }
+    }
+    suite, parameters = rules.load_suite(document)
+    rows = rules.validate(fixtures.table(spark, d, "lineitem"), suite, F.lit(AS_OF).cast("date"), parameters).summary
+    return rows.select("total_checks", "expectations_successful", "expectations_with_violations", "expectations_failed_due_to_exceptions", "rows_failed", "total_rows", F.array_join("exception_reasons", "; ").alias("exceptions"))
+
+
 @query
 def rules_summary(spark: SparkSession, d: str) -> DataFrame:
     rows = _validated(spark, d).summary
@@ -280,6 +307,15 @@ def queue_summary(spark: SparkSession, d: str) -> DataFrame:
     return facts.queue_summary(fixtures.table(spark, d, "orders").select(F.col("o_orderstatus").alias("state"), F.date_trunc("day", "o_orderdate").alias("logical_date")))
 
 
+@query
+def queue_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as requests, runs and triggers."""
+    orders = fixtures.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.date_trunc("day", "o_orderdate").alias("logical_date"))
+    runs = orders.where("o_orderstatus <> 'P' AND o_orderkey % 3 = 0").select("logical_date", F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success").alias("state"))
+    names = F.array(*[F.lit(x) for x in ("triggered", "skipped_running", "skipped_existing", "failed")])
+    return facts.queue_metrics(orders.where("o_orderstatus = 'P'"), runs, orders.select(F.get(names, (F.col("o_orderkey") % 4).cast("int")).alias("outcome")))
+
+
 @query
 def kpis_today(spark: SparkSession, d: str) -> DataFrame:
     return dashboards.kpis(_facts(spark, d), _dim(spark, d), AS_OF)
@@ -356,6 +392,16 @@ def live_fleet(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(dashboards.live_fleet(_latest(spark, d), _details(spark, d)), "veiculo_lat", "veiculo_long")
 
 
+@query
+def live_fleet_of_line(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(dashboards.live_fleet(_latest(spark, d), _details(spark, d), "3-10", 1), "veiculo_lat", "veiculo_long")
+
+
+@query
+def live_freshness_of_line(spark: SparkSession, d: str) -> DataFrame:
+    return dashboards.live_freshness(_latest(spark, d), F.lit("2024-01-31 00:00:00").cast("timestamp"), "3-10")
+
+
 @query
 def live_freshness(spark: SparkSession, d: str) -> DataFrame:
     return dashboards.live_freshness(_latest(spark, d), F.lit("2024-01-31 00:00:00").cast("timestamp"))

@@ -4,12 +4,13 @@ import json
 from datetime import UTC, datetime
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from busmill.functions import columns
 from busmill.operators import checks, facts, gtfs, lineage, positions, rules, telemetry, trajectory
 from busmill.plans import fixtures
-from busmill.schemas import EVENT, FINISHED_KEY, RAW
+from busmill.schemas import EVENT, FINISHED_KEY, POSITION_COLUMNS, RAW
 from busmill.sources import files
 from busmill.streaming import ingest
 from conftest import DATA
@@ -164,14 +165,162 @@ def test_stream_of_snapshots(spark, tmp_path):
 
 
 def test_stream_of_trips_equals_batch(spark, tmp_path):
+    """Rows come in time order; nothing is written that a batch run wouldn't give, and nothing is lost once the series are closed."""
     rows = fixtures.positions(spark, DATA)
-    for k in range(3):
-        rows.where(F.pmod(F.dayofmonth("veiculo_ts"), F.lit(3)) == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    ingest.trips_stream(stream, f"{tmp_path}/trips", f"{tmp_path}/ck", history=f"{tmp_path}/h").trigger(availableNow=True).start().awaitTermination()
-    found = spark.read.parquet(f"{tmp_path}/trips")
-    expected = trajectory.finished_trips(rows)
-    assert expected.select(*FINISHED_KEY).exceptAll(found.select(*FINISHED_KEY)).count() == 0
+    for k, (first, last) in enumerate((("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2024-03-01"))):
+        rows.where(f"veiculo_ts >= '{first}' AND veiculo_ts < '{last}'").coalesce(1).write.parquet(f"{tmp_path}/in/part={k}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    ingest.trips_stream(stream, f"{tmp_path}/trips", f"{tmp_path}/ck", f"{tmp_path}/h").trigger(availableNow=True).start().awaitTermination()
+    expected = trajectory.finished_trips(rows).select(*FINISHED_KEY)
+    assert spark.read.parquet(f"{tmp_path}/trips").select(*FINISHED_KEY).exceptAll(expected).count() == 0
+    assert ingest.close_trips(spark, rows.schema, f"{tmp_path}/trips", f"{tmp_path}/h") > 0
+    found = spark.read.parquet(f"{tmp_path}/trips").select(*FINISHED_KEY)
+    assert expected.exceptAll(found).count() == 0 and found.exceptAll(expected).count() == 0
+
+
+SUITE = {"positions": {"evaluation_parameters": {"least": -23.45}, "expectations": [{"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "veiculo_lat", "max_value": {"$PARAMETER": "least"}}}, {"expectation_type": "expect_column_values_to_be_of_type", "kwargs": {"column": "veiculo_id", "type_": "int"}}, {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "nowhere"}}]}}
+
+
+def gated(spark, tmp_path):
+    suite, parameters = rules.load_suite(SUITE)
+    return {"suite": suite, "parameters": parameters, "reports": f"{tmp_path}/reports", "rejected": f"{tmp_path}/rejected"}
+
+
+def test_stream_with_gates(spark, tmp_path):
+    doc = json.loads(json.dumps(DOC))
+    doc["payload"]["l"][0]["vs"].append({"p": 9, "a": True, "ta": "2026-05-20T02:29:30", "py": -23.4, "px": -46.6, "sv": None, "is": None})
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw/a.json").write_text(json.dumps(doc))
+    (tmp_path / "raw/b.json").write_text('{"metadata": {}, "payload": {"l": []}}')
+    seen = []
+    steps = [lambda rows, n: seen.append(("first", rows.count())), lambda rows, n: seen.append(("second", n))]
+    docs = ingest.document_stream(spark, str(tmp_path / "raw"))
+    ingest.to_positions(docs, lambda: details(spark), f"{tmp_path}/good", f"{tmp_path}/bad", f"{tmp_path}/ck", steps, **gated(spark, tmp_path)).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [("first", 1), ("second", 0)]
+    good, bad = spark.read.parquet(f"{tmp_path}/good"), spark.read.parquet(f"{tmp_path}/bad")
+    parts = ["year", "month", "day", "hour", "batch"]
+    assert good.columns == [*POSITION_COLUMNS, *parts] and bad.columns == [*POSITION_COLUMNS, "invalid_reason", "validation_failed_at", *parts]
+    assert {r.veiculo_id: r.invalid_reason for r in bad.collect()} == {8: positions.NO_DISTANCE, 9: "expect_column_values_to_be_between:veiculo_lat"}
+    report = spark.read.json(f"{tmp_path}/reports").first()
+    told = json.loads(report.details)
+    assert (report.summary.status, report.summary.items_failed, told["documents_rejected"], told["expected_vehicles"], told["expectations_failed_due_to_exceptions"]) == ("FAIL", 3, 1, 2, 1)
+    assert "metadata.extracted_at:string_required" in spark.read.json(f"{tmp_path}/rejected").first().errors
+
+
+def test_backfill_and_latest(spark, tmp_path):
+    for minute in (30, 31, 32):
+        doc = json.loads(json.dumps(DOC))
+        doc["metadata"]["extracted_at"] = f"2026-05-20T02:{minute}:00"
+        folder = tmp_path / "raw/year=2026/month=05/day=19"
+        folder.mkdir(exist_ok=True, parents=True)
+        (folder / f"posicoes_onibus-2026051923{minute}.json").write_text(json.dumps(doc))
+    at = datetime(2026, 5, 20, 2, 30, tzinfo=UTC)
+    gate = ingest.Gate(f"{tmp_path}/good", f"{tmp_path}/bad")
+    ingest.backfill(spark, f"{tmp_path}/raw", details(spark), gate, at, at.replace(minute=40))
+    assert sorted(str(r.extracao_ts) for r in spark.read.parquet(gate.trusted).collect()) == ["2026-05-20 02:30:00", "2026-05-20 02:32:00"]
+    latest = files.latest_snapshot(spark, gate.trusted, at.replace(hour=3, minute=5))
+    assert [str(r.extracao_ts) for r in latest.collect()] == ["2026-05-20 02:32:00"]
+    assert files.latest_snapshot(spark, gate.trusted, at.replace(hour=5)) is None
+
+
+def test_steps_after_positions(spark, tmp_path):
+    """Trips of the last hours, then their facts and hours, each by date; a second run adds nothing."""
+    on_one_day = lambda c: F.to_timestamp(F.concat(F.lit("2024-01-10 "), F.date_format(c, "HH:mm:ss.SSSSSS")))
+    rows = fixtures.positions(spark, DATA).withColumns({"veiculo_ts": on_one_day("veiculo_ts"), "extracao_ts": on_one_day("extracao_ts"), "veiculo_id": F.col("veiculo_id") % 20})
+    files.write_positions(rows, f"{tmp_path}/p")
+    last = rows.where("extracao_ts <= '2024-01-10 15:00:00'")
+    steps = [ingest.recompute_trips(spark, f"{tmp_path}/p", f"{tmp_path}/trips", hours=8), ingest.load_facts(spark, f"{tmp_path}/trips", f"{tmp_path}/facts", f"{tmp_path}/dim")]
+    for _ in range(2):
+        for step in steps:
+            step(last, 0)
+    trips, made = spark.read.parquet(f"{tmp_path}/trips"), spark.read.parquet(f"{tmp_path}/facts")
+    recent = files.recent_positions(spark, f"{tmp_path}/p", datetime(2024, 1, 10, 15, tzinfo=UTC), 8)
+    assert trips.count() == trajectory.finished_trips(recent).count() > 0 and {"date", "hour"} <= set(trips.columns)
+    assert made.count() == trips.count() and "date" in made.columns
+    assert spark.read.parquet(f"{tmp_path}/dim").count() == 24
+    assert facts.load_counts(5, 3) == {"derived": 5, "inserted": 3, "skipped": 2}
+
+
+def test_append_reads_the_dates_of_the_batch(spark, tmp_path):
+    trips, path = fixtures.finished_trips(spark, DATA), str(tmp_path / "t")
+    first = trips.where("trip_start_time < '2024-01-15'")
+    assert files.append_absent(first, path, FINISHED_KEY, by="trip_start_time", hourly=True) == first.count()
+    assert files.append_absent(trips, path, FINISHED_KEY, by="trip_start_time", hourly=True) == trips.count() - first.count()
+    assert files.append_absent(trips, path, FINISHED_KEY, by="trip_start_time", hourly=True) == 0
+    assert len(facts.drop_expired(spark, path, "date", datetime(2024, 2, 10), 20)) > 0
+
+
+def test_sinks_and_listings(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    files.write_jdbc(spark.range(5), url, "numbers", replace=True)
+    files.write_jdbc(spark.range(5, 7), url, "numbers")
+    assert files.read_jdbc(spark, url, "numbers").count() == 7
+    files.write_jdbc(spark.range(2), url, "numbers", replace=True)
+    assert files.read_jdbc(spark, url, "numbers").count() == 2
+    raw = files.read_snapshots(spark, land(tmp_path / "raw"))
+    files.write_snapshots(raw.select("metadata", "payload"), f"{tmp_path}/kept")
+    assert [r.path.endswith(".json.gz") for r in files.listing(spark, f"{tmp_path}/kept", "part-*").collect()] == [True]
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z/a.json.zst").write_bytes(zstandard.compress(json.dumps(DOC).encode()))
+    (tmp_path / "z/b.json.zst").write_bytes(b"no")
+    docs = files.with_errors(files.read_zstd_documents(spark, f"{tmp_path}/z"))
+    assert {r.file: r.errors[:1] for r in docs.collect()} == {"a.json.zst": [], "b.json.zst": ["not_json"]}
+    assert files.parsed_documents(docs.where("value IS NOT NULL")).first().metadata.total_vehicles == 2
+    back = spark.read.schema(RAW).json(f"{tmp_path}/kept").first()
+    assert back.metadata.total_vehicles == 2 and (tmp_path / "kept/year=2026/month=05/day=19").exists()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS saved LOCATION '{tmp_path}/saved'")
+    files.save_table(spark.range(3), "saved.numbers")
+    files.save_table(spark.range(4), "saved.numbers")
+    assert spark.table("saved.numbers").count() == 4
+    spark.sql("DROP DATABASE saved CASCADE")
+
+
+def test_staging(spark, tmp_path):
+    (tmp_path / "stops.txt").write_text("stop_id,stop_name,stop_desc,stop_lat,stop_lon\n1,A,,0,0\n")
+    (tmp_path / "trips.txt").write_text("route_id,service_id,trip_id,trip_headsign,direction_id,shape_id\na,b,c,d,not a number,e\n")
+    staged, errors = files.stage_gtfs(spark, str(tmp_path), f"{tmp_path}/staging", ["stops", "trips"])
+    assert set(staged) == {"stops"} and set(errors) == {"trips"}
+    moved, lost = files.relocate(spark, staged | {"routes": f"{tmp_path}/staging/none"}, f"{tmp_path}/trusted")
+    assert set(moved) == {"stops"} and set(lost) == {"routes"} and spark.read.parquet(moved["stops"]).count() == 1
+    (tmp_path / "bad.txt").write_bytes(b"route_id\n\xff\n")
+    (tmp_path / "good.txt").write_text("route_id\n\ufffd\n")
+    assert {r.file: r.error for r in gtfs.file_errors(files.gtfs_lines(spark, str(tmp_path))).collect()} == {"bad.txt": "not_utf8"}
+
+
+def test_suites(spark):
+    suite, parameters = rules.load_suite(SUITE)
+    assert len(suite) == 3 and parameters == {"least": -23.45}
+    assert rules.is_type("bigint", "int64") and rules.is_type("double", "float") and rules.is_type("timestamp", "datetime64[ns]") and not rules.is_type("string", "int") and not rules.is_type("int", "bigint")
+    df = spark.createDataFrame([(1, -23.0), (2, -24.0)], "veiculo_id long, veiculo_lat double")
+    row = rules.validate(df, suite, F.lit(0), parameters).summary.first()
+    assert (row.total_checks, row.expectations_successful, row.expectations_with_violations, row.expectations_failed_due_to_exceptions, row.exception_reasons) == (3, 1, 1, 1, ["expect_column_values_to_not_be_null:no column nowhere"])
+
+
+def test_failure_report(spark, tmp_path):
+    rows = checks.report(checks.failure(spark, "transform", "no details"), "positions", F.lit("e1"), F.lit("2026-05-20 02:30:00").cast("timestamp"))
+    row = rows.first().summary
+    assert (row.status, row.failure_phase, row.failure_message, row.items_failed, row.acceptance_rate) == ("FAIL", "transform", "no details", 0, None)
+
+
+def test_declared_lineage(spark):
+    rows = gtfs.trip_details(fixtures.stop_times(spark, DATA), fixtures.stops(spark, DATA))
+    assert lineage.drift(lineage.TRIP_DETAILS, rows.drop("first_stop_name")).first().change == "removed"
+    entry = lineage.column_map(lineage.TRIP_DETAILS, rows).first()["columns"]["first_stop_lat"]
+    assert (entry.type, entry.transformation, entry.inputs[-1]) == ("float", "join", "stops.stop_lat")
+    assert lineage.as_table(spark, "trip_details", lineage.TRIP_DETAILS).count() == len(rows.columns)
+
+
+def test_phases():
+    assert telemetry.phase_rows([{"batchId": 3, "durationMs": {"addBatch": 1500}}]) == [("3", "addBatch", 1.5)]
+
+
+def test_order_by_deviation(spark):
+    """Panels in order: greatest deviation first, none last."""
+    from busmill.plans import queries
+
+    found = [r.deviation_pct for r in queries.today_vs_baseline(spark, DATA).collect()]
+    known = [x for x in found if x is not None]
+    assert known == sorted(known, reverse=True) and found == known + [None] * (len(found) - len(known))
 
 
 def test_rate_stream(spark, tmp_path):
