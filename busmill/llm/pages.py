@@ -7,14 +7,17 @@ class. A class on enough pages is valid if it holds a section, or if it is neste
 occur equally often on every page that has them. Texts that are merely frequent have neither and are no template. (A text's section
 is on all pages that have the text, so the class of that section has enough pages too.)
 
-The sections of the valid classes are the host's template. The main slot is the template's article, or else its main part, or
-else its body; in it the parts that are boilerplate by tag or name are cut out, and the texts of the valid classes, whatever part they
-are in. What remains of a page in that slot is its text. A page whose article or main part holds template texts alone keeps them.
+The sections of the valid classes are the host's template, nested by place. Its slots hold what differs from page to page, and the main slot is where most of that
+is: from the page down, the section, once on every page that has it, that holds more than half of the characters that are no texts of valid classes, as
+long as there is one. Articles and main parts within it are preferred to the rest of it. In the main slot the parts that are boilerplate by tag or
+name are cut out, and the texts of the valid classes, whatever part they are in. What remains of a page in that slot is its text. A page that lacks
+the slot is read by itself, and so is one whose host has no section below the body that holds most; a page whose slot holds template texts alone keeps them.
 
 Texts are shuffled as hashes. Templates of a measured, small size are sent to the pages; beyond it
 pages meet their host's template salted, so one host with most of the pages does no harm.
 
-Null and empty pages give the empty text. Pages cut off anywhere are read as far as they go. Pages without a host share one
+Null and empty pages give the empty text. Pages cut off anywhere are read as far as they go. A very long page is one row, read once by one task. Of sections
+with equal shares the first by place holds. Pages without a host share one
 template. Repeated rows get equal results. Extra columns are not read. An empty table gives no rows.
 """
 
@@ -43,7 +46,7 @@ TOKEN = re.compile(
 NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img input label".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILER = frozenset("nav header footer aside form head title menu dialog audio video object canvas".split())
+BOILER = frozenset("nav header footer aside form head title menu dialog".split())
 #: Whole class names, ids and roles of parts that are no text of the page; pieces of a name say nothing ("has-sidebar", "search-results").
 BOILER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertisements sponsored cookie cookies cookie-notice cookie-banner cookie-bar cookie-consent consent-banner popup modal"
@@ -141,55 +144,112 @@ class Slot:
         return self.known[place]
 
 
+def held_below(found: list[tuple[str, str, str]]) -> Counter:
+    """For each section the characters of the texts in it and below, without those in parts that are boilerplate."""
+    size: Counter = Counter()
+    whole = Slot(("",))
+    for kind, place, text in found:
+        if kind == "t" and text and place in whole:
+            while True:
+                size[place] += len(text)
+                if not place:
+                    break
+                place = place.rpartition("/")[0]
+    return size
+
+
 def tokens(pages: DataFrame) -> DataFrame:
-    """host, place (of a section), text (its key), pages, vector, fixed: the number of the different pages that hold a token, the hash
-    of how often each does, and whether all do so equally often. The section "" is on every page."""
+    """host, place (of a section), text (its key), at (its place), pages, vector, fixed, once, size: the number of the different pages that hold a token, the hash
+    of how often each does, whether all do so equally often, and never more than once; the characters in a section and below, or of a text, on all of them.
+    The section "" is on every page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[tuple, int] = {}
+            held: dict[tuple, tuple[int, int, str | None]] = {}
             for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not page:
                     continue
                 found = [(kind, place, clean(text) if kind == "t" else "") for kind, place, text in read(page)]
                 slot = Slot(roots_in(found))
                 main = text_key("", "\n".join(text for kind, place, text in found if text and place in slot))
+                below = held_below(found)
                 counts = Counter((place, None) if kind == "<" else (None, text_key(place, text)) for kind, place, text in found if kind == "<" or text)
                 counts["", None] = 1
+                texts = {text_key(place, text): (len(text), place) for kind, place, text in found if text}
                 for (place, text), n in counts.items():
+                    size, at = texts[text] if place is None else (below[place], None)
                     key = host, main, place, text
-                    held[key] = max(n, held.get(key, 0))
+                    before = held.get(key, (0, 0, at))
+                    held[key] = max(n, before[0]), max(size * n if place is None else size, before[1]), at
             if held:
-                cols = [*zip(*held, strict=True), held.values()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["host", "page", "place", "text", "n"])
+                cols = [*zip(*held, strict=True), *zip(*held.values(), strict=True)]
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["host", "page", "place", "text", "n", "size", "at"])
 
-    rows = pages.select("host", "html").mapInArrow(run, "host string, page long, place string, text long, n long")
+    rows = pages.select("host", "html").mapInArrow(run, "host string, page long, place string, text long, n long, size long, at string")
     # Copies of a page that differ outside the slot count as one with all that they have.
-    once = rows.groupBy("host", "place", "text", "page").agg(F.max("n").alias("n"))
+    once = rows.groupBy("host", "place", "text", "page").agg(F.max("n").alias("n"), F.max("size").alias("size"), F.min("at").alias("at"))
     vector = F.sum(F.xxhash64("page", "n").cast("decimal(20,0)"))
-    return once.groupBy("host", "place", "text").agg(F.count("*").alias("pages"), vector.alias("vector"), (F.min("n") == F.max("n")).alias("fixed"))
+    counts = [F.count("*").alias("pages"), vector.alias("vector"), (F.min("n") == F.max("n")).alias("fixed"), (F.max("n") == 1).alias("once"), F.sum("size").alias("size"), F.min("at").alias("at")]
+    return once.groupBy("host", "place", "text").agg(*counts)
+
+
+def main_slot(sections: list[dict], texts: list[dict]) -> tuple[str, ...]:
+    """The places of a template's main slot. sections: place, once, size; texts: at, size; of the valid classes."""
+    own = {x["place"]: x["size"] for x in sections}
+    for x in texts:
+        place = x["at"]
+        while place:
+            own[place] = own.get(place, 0) - x["size"]
+            place = place.rpartition("/")[0]
+        own[""] = own.get("", 0) - x["size"]
+    below: dict[str, list[str]] = {}
+    for x in sections:
+        parent, _, step = x["place"].rpartition("/")
+        if x["place"] and x["once"] and step.split(" ")[0] in BARRIER and not boilerplate(step):
+            below.setdefault(parent, []).append(x["place"])
+    here = ""
+    while not any(is_a(here.rpartition("/")[2], tag) for tag in ("article", "main")):
+        best = max(sorted(below.get(here, [])), key=own.__getitem__, default=None)
+        if best is None or 2 * own[best] <= own[here]:
+            break
+        here = best
+    inner = main_places([x["place"] for x in sections if x["place"] == here or x["place"].startswith(here + "/")])
+    return inner if inner != ("",) else (here,)
 
 
 def templates(pages: DataFrame, support: float = 0.5, fewest: int = 3) -> DataFrame:
-    """host, places, texts: the sections of the host's valid classes, and the keys of their texts.
+    """host, roots, texts: the main slot of the host's template, and the keys of the texts of its valid classes.
 
     A class's pages are at least `support` of the host's different ones; texts need `fewest` pages too. So sections of one in
     `support` of the pages bound the number of places; texts are bounded likewise."""
     held = stored(tokens(pages).where(F.col("place").isNotNull() | (F.col("pages") >= fewest)), work_dir(pages.sparkSession), "tokens")
     sizes = held.where("place = ''").select(F.col("host").alias("of"), F.col("pages").alias("host_pages"))
     common = held.join(sizes, F.col("host").eqNullSafe(F.col("of"))).where(F.col("pages") >= support * F.col("host_pages"))
-    classes = common.groupBy("host", "pages", "vector").agg(F.collect_list("place").alias("places"), F.collect_list("text").alias("texts"), F.bool_and("fixed").alias("fixed"))
-    valid = classes.where((F.size("places") > 0) | F.col("fixed"))
-    return valid.groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"), F.flatten(F.collect_list("texts")).alias("texts"))
+    section, text = F.when(F.col("place").isNotNull(), F.struct("place", "once", "size")), F.when(F.col("place").isNull(), F.struct("text", "at", "size"))
+    classes = common.groupBy("host", "pages", "vector").agg(F.collect_list(section).alias("sections"), F.collect_list(text).alias("texts"), F.bool_and("fixed").alias("fixed"))
+    valid = classes.where((F.size("sections") > 0) | F.col("fixed"))
+    rows = valid.groupBy("host").agg(F.flatten(F.collect_list("sections")).alias("sections"), F.flatten(F.collect_list("texts")).alias("texts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            roots = [list(main_slot(*x)) for x in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
+            texts = [[x["text"] for x in t] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(roots, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.int64()))], ["host", "roots", "texts"])
+
+    return rows.mapInArrow(run, "host string, roots array<string>, texts array<long>")
+
+
+def _bare(roots: tuple[str, ...]) -> bool:
+    return all(r.rpartition("/")[2].split(" ")[0] in ("", "html", "body") for r in roots)
 
 
-def text_of(page: str, places: list[str], texts: frozenset[int]) -> str:
+def text_of(page: str, roots: tuple[str, ...], texts: frozenset[int]) -> str:
     """The blocks of a page's main slot."""
     read_page = list(read(page))
-    roots = main_places(places)
-    if not any(p.startswith(roots) for _, p, _ in read_page):
+    if _bare(roots) or not any(p == r or p.startswith((r + "/", r + " ")) for _, p, _ in read_page for r in roots):
         roots = roots_in(read_page)
-    bare = all(r.rpartition("/")[2].split(" ")[0] in ("", "body") for r in roots)
+    bare = _bare(roots)
     slot = Slot(roots)
 
     def blocks(cut: frozenset[int]) -> str:
@@ -210,7 +270,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """pages: page_id, url, html. Gives page_id, url, text, n_chars."""
     pages = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", F.expr("lower(regexp_extract(url, '^[^:/?#]*:?//([^/?#]*)', 1))"))
     known = stored(templates(pages), work_dir(pages.sparkSession), "templates")
-    size = known.agg(F.sum(64 + F.length(F.concat_ws(" ", "host", F.concat_ws(" ", "places"))) + 8 * F.size("texts"))).first()[0] or 0
+    size = known.agg(F.sum(64 + F.length(F.concat_ws(" ", "host", F.concat_ws(" ", "roots"))) + 8 * F.size("texts"))).first()[0] or 0
     known = known.withColumnRenamed("host", "of")
     same = F.col("host").eqNullSafe(F.col("of"))
     if size <= SMALL:
@@ -218,11 +278,11 @@ def extract(pages: DataFrame) -> DataFrame:
     else:
         salted = pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
         joined = salted.join(known.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), same & (F.col("salt") == F.col("part")), "left")
-    joined = joined.select("page_id", "url", "html", "places", "texts")
+    joined = joined.select("page_id", "url", "html", "roots", "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [text_of(page or "", places or [], frozenset(texts or ())) for page, places, texts in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
+            out = [text_of(page or "", tuple(roots or ("",)), frozenset(texts or ())) for page, roots, texts in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     schema = pages.select("page_id", "url", F.lit("").cast("string").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
