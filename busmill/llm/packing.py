@@ -1,14 +1,15 @@
 """Packing of documents into training sequences by the sum-of-squares rule.
 
-Each task packs the documents of its own input partition as they come, so nothing is shuffled and no task
-needs another's state. A document longer than a window fills whole windows; its rest, like any shorter
-document, is one item. `SumOfSquares` keeps, in a level array, how many open windows have each fill level, and
-places an item of size s where the sum of the squared counts grows least. At the end of a partition the open
-windows that are left are joined and cut into full windows; what then remains, less than one window, is cut
-at powers of two, which need no padding.
-
-Nulls and empty texts give one piece of the end token alone. Repeated rows are packed as often as they occur.
-Extra columns are not read. An empty table gives no rows.
+Each task packs the documents of its own input partition as they come, so no task needs another's state. A document longer
+than a window fills whole windows; its rest, like any shorter document, is one item. `SumOfSquares` keeps, in a level array, how many open
+windows have each fill level, and places an item of size s where the sum of the squared counts grows least.
+
+What is in open windows at the end of a partition is loose, some hundreds of windows however large the partition. Loose items of many
+partitions are packed again by the same rule, about GATHER tokens a task. Only what is still open then is joined and cut into full windows; what remains of
+a task after that, less than one window, is cut at powers of two, which need no padding.
+
+Nulls and empty texts give one piece of the end token alone. A very long text is tokenized whole, in memory, by one task. Repeated rows are packed as often as they
+occur; equal levels go to the fullest window. Extra columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lean, table
+from .common import lean, stored, table, work_dir
 
-WINDOW, END = 2048, 1
+WINDOW, END, GATHER = 2048, 1, 20_000_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -117,16 +118,22 @@ class SumOfSquares:
             yield from self.open[level]
 
 
-def packed(docs: Iterator[tuple[int, np.ndarray]], window: int = WINDOW) -> Iterator[list[tuple[int, int, np.ndarray, int]]]:
-    """Sequences of pieces (document, start, ids, tokens of the document), each of a window or a power of two tokens."""
-    state = SumOfSquares(window)
-    for doc, ids in docs:
-        n, full = len(ids), len(ids) // window * window
+Piece = tuple[int, int, np.ndarray, int]
+
+
+def closed(items: Iterator[Piece], state: SumOfSquares) -> Iterator[list[Piece]]:
+    """The full windows, as they close, of items (document, start, ids, tokens of the document)."""
+    window = state.window
+    for doc, start, ids, n in items:
+        full = len(ids) // window * window
         for at in range(0, full, window):
-            yield [(doc, at, ids[at : at + window], n)]
-        if full < n and (done := state.put((doc, full, ids[full:], n), n - full)):
+            yield [(doc, start + at, ids[at : at + window], n)]
+        if full < len(ids) and (done := state.put((doc, start + full, ids[full:], n), len(ids) - full)):
             yield done
-    pieces = [p for members in state.rest() for p in members]
+
+
+def cut(pieces: list[Piece], window: int) -> Iterator[list[Piece]]:
+    """Sequences of a window or a power of two tokens out of what is left."""
     left = sum(len(p[2]) for p in pieces)
     while left:
         need = want = window if left >= window else 1 << (left.bit_length() - 1)
@@ -142,7 +149,43 @@ def packed(docs: Iterator[tuple[int, np.ndarray]], window: int = WINDOW) -> Iter
         yield out
 
 
-def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WINDOW, end: int = END) -> DataFrame:
+def packed(docs: Iterator[tuple[int, np.ndarray]], window: int = WINDOW) -> Iterator[list[Piece]]:
+    """Sequences of pieces, each of a window or a power of two tokens, of documents that one task packs alone."""
+    state = SumOfSquares(window)
+    yield from closed(((doc, 0, ids, len(ids)) for doc, ids in docs), state)
+    yield from cut([p for members in state.rest() for p in members], window)
+
+
+_FIELDS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+_KINDS = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
+
+
+def _batches(sequences: Iterator[list[Piece]], first: int) -> Iterator[pa.RecordBatch]:
+    """The sequences' pieces as rows, numbered from `first`."""
+    rows: list[tuple] = []
+    size = 0
+    for k, sequence in enumerate(sequences):
+        offset = 0
+        for doc, start, ids, n in sequence:
+            rows.append((doc, start, len(ids), ids.tobytes(), n, first + k, offset))
+            offset += len(ids)
+        size += offset
+        if size > 500_000:
+            yield _batch(rows)
+            rows, size = [], 0
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)], _FIELDS)
+
+
+#: Sequence ids below are those of closed windows by input partition; loose pieces have LOOSE; ids from AGAIN are those of the second pass.
+LOOSE, AGAIN = -1, 1 << 62
+
+
+def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WINDOW, end: int = END, gather: int = GATHER) -> DataFrame:
     """One row per piece: document, tokens before it, length, its ids (little-endian 32-bit), the document's tokens with the
     end token, and its sequence and offset there. tokenizer: the vocabulary file's path on the executors, or what gives it."""
 
@@ -150,34 +193,39 @@ def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WIND
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer() if callable(tokenizer) else tokenizer)
         last = np.array([end], "<u4").tobytes()
-        first = TaskContext.get().partitionId() << 36
+        state = SumOfSquares(window)
 
-        def tokens() -> Iterator[tuple[int, np.ndarray]]:
+        def tokens() -> Iterator[Piece]:
             for batch in batches:
                 for doc, text in zip(*batch.columns, strict=True):
-                    yield doc.as_py(), np.frombuffer(words.ids(text.as_py() or "") + last, "<u4")
-
-        rows: list[tuple] = []
-        size = 0
-        for k, sequence in enumerate(packed(tokens(), window)):
-            offset = 0
-            for doc, start, ids, n in sequence:
-                rows.append((doc, start, len(ids), ids.tobytes(), n, first + k, offset))
-                offset += len(ids)
-            size += offset
-            if size > 2_000_000:
-                yield batch_of(rows)
-                rows, size = [], 0
-        if rows:
-            yield batch_of(rows)
+                    ids = np.frombuffer(words.ids(text.as_py() or "") + last, "<u4")
+                    yield doc.as_py(), 0, ids, len(ids)
+
+        yield from _batches(closed(tokens(), state), TaskContext.get().partitionId() << 36)
+        for loose in _batches(state.rest(), 0):
+            at = loose.schema.get_field_index("sequence_id")
+            yield loose.set_column(at, "sequence_id", pa.array(np.full(len(loose), LOOSE)))
         words.forget()
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = SumOfSquares(window)
+
+        def pieces() -> Iterator[Piece]:
+            for batch in batches:
+                for doc, start, ids, n in zip(*(batch.column(k) for k in (0, 1, 3, 4)), strict=True):
+                    yield doc.as_py(), start.as_py(), np.frombuffer(ids.as_buffer(), "<u4"), n.as_py()
+
+        def sequences() -> Iterator[list[Piece]]:
+            yield from closed(pieces(), state)
+            yield from cut([p for members in state.rest() for p in members], window)
+
+        yield from _batches(sequences(), AGAIN + (TaskContext.get().partitionId() << 36))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    first = stored(rows.mapInArrow(run, SCHEMA), work_dir(docs.sparkSession), "packed", compression="zstd")
+    loose = first.where(F.col("sequence_id") == LOOSE)
+    tasks = 1 + int((loose.agg(F.sum("length")).first()[0] or 0) // gather)
+    return first.where(F.col("sequence_id") != LOOSE).unionByName(loose.repartition(tasks, F.xxhash64("doc_id", "start")).mapInArrow(again, SCHEMA))
 
 
 def vocabulary() -> str:
