@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join, with DataFrame functions alone.
 
-A line of at least `least` characters is dropped if an earlier line, by document and then by place, is equal to it or at most
-`tau` edits (insert, delete or replace a character) away. Shorter lines stay. What is earlier is judged on the input, so a line that is
-dropped itself still counts.
+A line is dropped if an earlier line, by document and then by place, is equal to it, however short it is, or, where both have `least` characters
+and more, at most `tau` edits (insert, delete or replace a character) away. Lines of white space alone part paragraphs and stay. What is earlier is judged on the
+input, so a line that is dropped itself still counts.
 
 Each line is cut into tau + 1 segments; of two lines within tau edits, one segment of the shorter stands whole in the longer, and
 at few places: of the i-th segment, i edits at most can be before it and the others after it. So the longer line probes, for each
@@ -11,7 +11,8 @@ class and its number. Parity sketches of neighbouring characters, which tau edit
 out as they are joined, so a large group of lines with one segment in common doesn't become all its pairs; the others are
 verified by Spark's banded edit distance, which stops beyond tau.
 
-Equal lines are one line before they are compared. Null texts are kept as they are; empty texts have one empty line.
+Equal lines are one line before they are compared, in each task first, so a line that is everywhere is no large group. Lines are known by 64-bit hashes of text
+and length. A very long text is one row; its lines are spread. Ties don't occur, since each line has one place. Null texts are kept as they are; empty texts have one empty line.
 Rows that are equal in id and text are treated alike, each keeping what the first keeps. Lines are parted by line feeds, and the
 line feed of a dropped line goes with it. Extra columns are kept. An empty table gives no rows.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import partitions, stored, table, work_dir
 
 TAU, LEAST = 2, 24
+VISIBLE = r"[^\x20\x09-\x0D]"
 
 
 def _probes(line: Column, size: Column, tau: int) -> tuple[list[Column], list[Column]]:
@@ -44,10 +46,10 @@ def _probes(line: Column, size: Column, tau: int) -> tuple[list[Column], list[Co
     return own, others
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id, text_key, at, line, size, h for the lines of at least so many characters."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, at, line, size, h for the lines that aren't white space alone."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", F.length("text")).alias("text_key"), F.posexplode(F.split(F.col("text"), "\n", -1)).alias("at", "line"))
-    return rows.withColumn("size", F.length("line")).where(F.col("size") >= least).withColumn("h", F.xxhash64("line", "size"))
+    return rows.withColumn("size", F.length("line")).where(F.col("line").rlike(VISIBLE)).withColumn("h", F.xxhash64("line", "size"))
 
 
 def _sketch(line: Column) -> Column:
@@ -62,16 +64,17 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataF
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     own, others = _probes(F.col("line"), F.col("size"), tau)
-    lines = stored(_lines(docs, max(least, tau + 1)).select("doc_id", "text_key", "at", "h", F.array(*own).alias("own"), F.array(*others).alias("others")), where, "lines")
+    long = F.col("size") >= max(least, tau + 1)
+    lines = stored(_lines(docs).select("doc_id", "text_key", "at", "h", F.when(long, F.array(*own)).alias("own"), F.when(long, F.array(*others)).alias("others")), where, "lines")
     order = F.struct("doc_id", "text_key", "at")
     first = stored(lines.groupBy("h").agg(F.min(order).alias("first")), where, "first")
     tagged = F.expr("concat(transform(own, k -> struct(k AS key, true AS segment)), transform(others, k -> struct(k AS key, false AS segment)))")
-    keys = lines.select("h", F.explode(tagged).alias("x")).select("x.key", "h", "x.segment").repartition(partitions(spark), "key")
+    keys = lines.where("own IS NOT NULL").select("h", F.explode(tagged).alias("x")).select("x.key", "h", "x.segment").repartition(partitions(spark), "key")
     shared = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.bool_or("segment").alias("any")).where("low < high AND any").select("key")
     met = stored(keys.join(shared, "key").distinct(), where, "met")
     # Sort-merge at every size: neither side has a bound.
     wanted = met.select("h").distinct().hint("merge")
-    texts = stored(_lines(docs, max(least, tau + 1)).select("h", "line").join(wanted, "h", "left_semi").dropDuplicates(["h"]).withColumn("sketch", _sketch(F.col("line"))), where, "texts")
+    texts = stored(_lines(docs).where(long).select("h", "line").dropDuplicates(["h"]).join(wanted, "h", "left_semi").withColumn("sketch", _sketch(F.col("line"))), where, "texts")
     drawn = met.join(texts.select("h", "sketch"), "h")
     left, right = drawn.where("segment").select("key", F.col("h").alias("a"), F.col("sketch").alias("x")), drawn.select("key", F.col("h").alias("b"), F.col("sketch").alias("y"))
     # An edit changes four pairs of neighbouring characters at most.
@@ -99,7 +102,8 @@ def dedup_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFram
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*names).join(gone.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text", F.length("text")) == F.col("gone_key")), "left")
     parts = F.split(F.col("text").cast("string"), "\n", -1)
-    left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("dropped", i)), "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped"))
+    left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
     text = F.when(F.col("dropped").isNull(), F.col("text").cast("string")).otherwise(left)
     counts = [F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped")]
     return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in names], *counts)
@@ -110,14 +114,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-ORACLE = f"""
+ORACLE = rf"""
 WITH l AS MATERIALIZED (SELECT doc_id, i - 1 AS place, s[i] AS line, length(s[i]) AS size FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL))),
-f AS MATERIALIZED (SELECT line, size, min((doc_id, place)) AS first FROM l WHERE size >= {LEAST} GROUP BY ALL),
-p AS (SELECT a.line AS a, b.line AS b, a.first AS x, b.first AS y FROM f a JOIN f b ON b.size BETWEEN a.size AND a.size + {TAU} AND a.line <> b.line
+f AS MATERIALIZED (SELECT line, size, min((doc_id, place)) AS first FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
+p AS (SELECT a.line AS a, b.line AS b, a.first AS x, b.first AS y FROM f a JOIN f b ON a.size >= {LEAST} AND b.size BETWEEN a.size AND a.size + {TAU} AND a.line <> b.line
   AND (starts_with(b.line, left(a.line, a.size // 3)) OR right(b.line, a.size // 3) = right(a.line, a.size // 3) OR contains(b.line, substr(a.line, 1 + a.size // 3, a.size - 2 * (a.size // 3))))),
 c AS (SELECT DISTINCT CASE WHEN x < y THEN b ELSE a END AS line FROM p WHERE levenshtein(a, b) <= {TAU}),
 k AS (SELECT first FROM f WHERE line NOT IN (SELECT line FROM c)),
-g AS (SELECT l.doc_id, l.place, l.line, l.size < {LEAST} OR k.first IS NOT NULL AS kept FROM l LEFT JOIN k ON k.first = (l.doc_id, l.place)),
+g AS (SELECT l.doc_id, l.place, l.line, NOT regexp_matches(l.line, '[^\x20\x09-\x0D]') OR k.first IS NOT NULL AS kept FROM l LEFT JOIN k ON k.first = (l.doc_id, l.place)),
 t AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (kept), '') AS text FROM g GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(t.text) AS kept_sha256 FROM documents d LEFT JOIN t USING (doc_id)
 """
