@@ -11,6 +11,8 @@ item in a row has no seed and isn't found.
 The benchmark is taken in blocks of at most `most` words, and one block at a time is sent to the executors; so its size is bounded
 whatever the benchmark's. Passages, not texts, are shuffled.
 
+A very long text is read whole; its passages are no longer than some six times their item. Of equal scores the first place holds.
+
 Words are as in the license scan: letters and digits, and everything beyond ASCII, with A-Z in lower case. Null and empty texts
 and items never match. An item of fewer than GRAM words is one seed. Repeated rows and ids give one pair, with the best score. Extra columns are not read. Empty
 tables give no rows.
@@ -30,6 +32,7 @@ from .common import lowered, prefix_hashes, slices, span_hashes, spans, stored,
 from .jaccard import gram_hashes
 
 GRAM, SCORE = 4, 0.4
+CELLS = 1 << 19
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 
@@ -40,6 +43,14 @@ def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return span_hashes(prefix_hashes(lowered(data)), start, end), np.searchsorted(start, off)
 
 
+def windows(lowest: int, highest: int, size: int) -> list[tuple[int, int]]:
+    """Ranges of diagonals that cover those of a passage. An alignment that counts has gaps of less than 1.2 times the item's words, so its diagonals
+    lie within 2 * size of each other, and so in one window whole; a text that repeats an item without end is many passages, each of bounded length."""
+    if highest - lowest <= 4 * size:
+        return [(lowest, highest)]
+    return [(w, w + 4 * size) for w in range(lowest, highest - 2 * size + 1, 2 * size)]
+
+
 def slack(size: int) -> int:
     """How far the diagonals of one passage may lie apart."""
     return 4 + size // 4
@@ -111,9 +122,10 @@ def passages(docs: DataFrame, items: Items, least: float) -> DataFrame:
                     cut = np.append(np.flatnonzero(np.append(True, ~near)), len(place)) if len(place) else [0]
                     for a, b in zip(cut[:-1], cut[1:], strict=True):
                         d, i = doc[a], item[a]
-                        begin, end = max(first[d], diagonal[a] - slack(size[i])), min(first[d + 1], diagonal[b - 1] + size[i] + slack(size[i]))
-                        if may_reach(ordered[i], words[begin:end], least):
-                            out.append((lo + d, i, begin - first[d], words[begin:end].tobytes()))
+                        for low, high in windows(int(diagonal[a]), int(diagonal[b - 1]), int(size[i])):
+                            begin, end = max(first[d], low - slack(size[i])), min(first[d + 1], high + size[i] + slack(size[i]))
+                            if may_reach(ordered[i], words[begin:end], least):
+                                out.append((lo + d, i, begin - first[d], words[begin:end].tobytes()))
             if out:
                 row, item, start, held = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, pa.int32()), pa.array(start, pa.int64()), pa.array(held, pa.binary())], ["doc_id", "item", "start", "words"])
@@ -166,8 +178,10 @@ def aligned(found: DataFrame, items: Items, least: float) -> DataFrame:
                 by.setdefault(i, []).append(row)
             out = []
             for i, rows in by.items():
-                for lo in range(0, len(rows), 64):
-                    part = sorted(rows, key=lambda r: len(texts[r]))[lo : lo + 64]
+                rows.sort(key=lambda r: -len(texts[r]))
+                while rows:
+                    together = max(1, min(64, CELLS // max(1, len(texts[rows[0]]))))  # they are padded to the longest
+                    part, rows = rows[:together], rows[together:]
                     for r, (score, a, b) in zip(part, align(words[i], [texts[r] for r in part]), strict=True):
                         if score >= least:
                             out.append((doc[r], ids[i], score, start[r] + a, start[r] + b))
