@@ -65,11 +65,11 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataF
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     own, others = _probes(F.col("line"), F.col("size"), tau)
     long = F.col("size") >= max(least, tau + 1)
-    lines = stored(_lines(docs).select("doc_id", "text_key", "at", "h", F.when(long, F.array(*own)).alias("own"), F.when(long, F.array(*others)).alias("others")), where, "lines")
+    lines = stored(_lines(docs).select("doc_id", "text_key", "at", "h", long.alias("long"), F.array(*own).alias("own"), F.array(*others).alias("others")), where, "lines")
     order = F.struct("doc_id", "text_key", "at")
     first = stored(lines.groupBy("h").agg(F.min(order).alias("first")), where, "first")
     tagged = F.expr("concat(transform(own, k -> struct(k AS key, true AS segment)), transform(others, k -> struct(k AS key, false AS segment)))")
-    keys = lines.where("own IS NOT NULL").select("h", F.explode(tagged).alias("x")).select("x.key", "h", "x.segment").repartition(partitions(spark), "key")
+    keys = lines.where("long").select("h", F.explode(tagged).alias("x")).select("x.key", "h", "x.segment").repartition(partitions(spark), "key")
     shared = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.bool_or("segment").alias("any")).where("low < high AND any").select("key")
     met = stored(keys.join(shared, "key").distinct(), where, "met")
     # Sort-merge at every size: neither side has a bound.
@@ -101,7 +101,9 @@ def dedup_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFram
     gone = repeated_lines(docs, tau, least).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "dropped")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*names).join(gone.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text", F.length("text")) == F.col("gone_key")), "left")
-    parts = F.split(F.col("text").cast("string"), "\n", -1)
+    # As a column of its own, lest it be split anew for each line.
+    parts = F.col("_parts")
+    rows = rows.withColumn("_parts", F.split(F.col("text").cast("string"), "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped"))
     left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
     text = F.when(F.col("dropped").isNull(), F.col("text").cast("string")).otherwise(left)
