@@ -45,7 +45,7 @@ class WordTokenizer:
     #: Of an entry: two objects and their places in the dictionary.
     ENTRY = 200
 
-    def __init__(self, path: str, most: int = 40_000_000):
+    def __init__(self, path: str, most: int = 96_000_000):
         from tokenizers import Tokenizer
 
         self.whole, self.most, self.known, self.held = Tokenizer.from_file(path), most, {}, 0
@@ -80,7 +80,7 @@ class WordTokenizer:
 
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker; its words are forgotten at the end of a task."""
+    """One for each Python worker, whose tasks share the words that it keeps."""
     return WordTokenizer(path)
 
 
@@ -205,7 +205,6 @@ def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WIND
         for loose in _batches(state.rest(), 0):
             at = loose.schema.get_field_index("sequence_id")
             yield loose.set_column(at, "sequence_id", pa.array(np.full(len(loose), LOOSE)))
-        words.forget()
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = SumOfSquares(window)
