@@ -80,20 +80,56 @@ def test_repeats_on_documents(spark):
     assert found == {r.doc_id: (n, hashlib.sha256(kept).hexdigest(), spans) for r, (n, kept, spans) in zip(rows, expected, strict=True)}
 
 
-def test_buckets_of_a_hot_head():
-    """Different strings with one head are spread over turns and buckets, equal ones meet."""
+def test_suffixes_of_a_bucket():
+    """Sorting a bucket finds the same ties as comparing the strings."""
+    rng = np.random.default_rng(5)
+    core = rng.integers(97, 123, repeats.CORE)
+    text = [np.concatenate([rng.integers(97, 99, rng.integers(0, 9)), np.full(rng.integers(0, 60), 61), core, np.full(rng.integers(0, 60), 62), rng.integers(97, 99, rng.integers(0, 9))]).astype(np.uint8) for _ in range(60)]
+    text += [text[0], text[0], text[1]]
+    at = [bytes(t).index(bytes(core.astype(np.uint8))) for t in text]
+    sizes = np.array([(min(a, repeats.EDGE), min(len(t) - a - repeats.CORE, repeats.EDGE)) for a, t in zip(at, text, strict=True)], np.uint8)
+    entries = np.concatenate([repeats.entries_of(t, np.array([a]), np.array([7], np.uint64), z[None]) for t, a, z in zip(text, at, sizes, strict=True)])
+    found = repeats.sorted_suffixes(entries, np.arange(len(text)) == 5)
+    strings = [{d: bytes(t[a - d : a - d + repeats.LENGTH]) for d in range(repeats.PERIOD) if a >= d and len(t) >= a - d + repeats.LENGTH} for t, a in zip(text, at, strict=True)]
+    seen = Counter((d, x) for s in strings for d, x in s.items()) + Counter((d, x) for d, x in strings[5].items())
+    assert [{d for d in range(64) if int(f) >> d & 1} for f in found] == [{d for d, x in s.items() if seen[d, x] > 1} for s in strings]
+
+
+def test_buckets_of_a_hot_rank():
+    """Different strings over samples of one rank are spread over buckets, equal ones meet."""
     rng = np.random.default_rng(12)
     ruler = np.full(repeats.LENGTH - 1, 61, np.uint8)
     text = [np.concatenate([ruler, rng.integers(97, 123, 270).astype(np.uint8)]) for _ in range(20)]
-    lengths = np.full(20, 270)
-    n, again, votes = repeats.window_votes(1, np.concatenate(text), lengths, 3, 16, None)
-    size = {bucket: len(value) // 8 for bucket, _, value, _ in votes}
-    assert n == 20 * 270 and len(size) == 48 and max(size.values()) < n / 24
-    _, _, other = repeats.window_votes(2, text[7], lengths[:1], 3, 16, None)
-    held = {(b, v) for b, _, value, _ in votes for v in np.frombuffer(value, np.uint64)}
-    assert all((b, v) in held for b, _, value, _ in other for v in np.frombuffer(value, np.uint64))
-    one = [v for t in range(3) for v in repeats.window_votes(2, text[7], lengths[:1], 3, 16, t)[2]]
-    assert one == other
+
+    def votes(block, texts):
+        off = np.append(0, np.cumsum([len(t) for t in texts]))
+        data = np.concatenate(texts)
+        at, rank = repeats.ranks(data, off)
+        piece = repeats.piece_of(block, data, off, at, rank)
+        piece = repeats._piece([x[0] for x in piece.select(["block", "at", "local", "rank", "sizes", "text"]).columns])
+        hot = np.unique(repeats.dealt(piece[3], 3, 4)[1]), 16
+        return [v for t in range(3) for v in repeats.suffix_votes(block, piece, 3, 4, hot, t)[1]]
+
+    many, one = votes(1, text), votes(2, text[7:8])
+    size = {bucket: len(value) // 8 for bucket, _, value, _ in many}
+    assert max(size) < 0 and len(size) > 1000 and max(size.values()) < sum(size.values()) / 100
+    held = {(b, v) for b, _, value, _ in many for v in np.frombuffer(value, np.uint64)}
+    assert one and all((b, v) in held for b, _, value, _ in one for v in np.frombuffer(value, np.uint64))
+
+
+@pytest.mark.parametrize("many", [8, 0])
+def test_repeats_of_long_documents(spark, monkeypatch, many):
+    """Documents beyond a block and beyond a slice, a ruler before unlike texts, runs of just 399 and 400 bytes; all buckets dealt out again, or none."""
+    monkeypatch.setattr(repeats, "MANY", many)
+    monkeypatch.setattr(repeats, "BUCKET", 100_000)
+    rng = random.Random(9)
+    passage = prose(rng, 200)
+    long, longer = prose(rng, 100_000), prose(rng, 400_000)
+    assert len(long) > repeats.BLOCK and len(longer) > 4 * repeats.BLOCK
+    pieces = [prose(rng, 70)[:n].ljust(n, "z") for n in (399, 400, 401)]
+    texts = [long + passage, longer[:1_000_000] + passage + longer[1_000_000:], "=" * 450, *("=" * 420 + prose(rng, 60) for _ in range(30)), *("q" + p + "v" for p in pieces), *("w" + p for p in pieces), *("a" + passage[i : i + 600] + str(i) for i in range(0, 400, 37))]
+    found = {r.doc_id: (r.n_bytes, bytes(r.kept), len(r.starts)) for r in repeats.repeats(frame(spark, texts)).collect()}
+    assert found == dict(enumerate(brute_repeats(texts)))
 
 
 # 2
