@@ -9,7 +9,8 @@ at few places: of the i-th segment, i edits at most can be before it and the oth
 shorter length that is near enough, only those substrings. Segments and probes meet by the hash of the substring, its length
 class and its number. Parity sketches of neighbouring characters, which tau edits can change in few bits, rule most meetings
 out as they are joined, so a large group of lines with one segment in common doesn't become all its pairs; the others are
-verified by Spark's banded edit distance, which stops beyond tau.
+verified by a banded bit-parallel edit distance: of its table only the 2 tau + 1 diagonals next to the main one are kept, as the bits of one
+word for each number of edits up to tau, and a character of the line moves them all at once. It stops when no word has a bit left.
 
 Equal lines are one line before they are compared, in each task first, so a line that is everywhere is no large group. Lines are known by 64-bit hashes of text
 and length. A very long text is one row; its lines are spread. Ties don't occur, since each line has one place. Null texts are kept as they are; empty texts have one empty line.
@@ -19,6 +20,8 @@ line feed of a dropped line goes with it. Extra columns are kept. An empty table
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,46 @@ def _sketch(line: Column) -> Column:
     return F.aggregate(pairs, F.lit(0).cast("long"), lambda bits, i: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
 
 
+def _points(line: Column) -> Column:
+    """The line's code points."""
+    return F.transform(F.split(line, ""), F.ascii)
+
+
+def within(s: Column, t: Column, tau: int) -> Column:
+    """Whether s and t, arrays of code points, are at most tau edits apart.
+
+    After j characters of t, bit r of word e tells whether they are at most e edits from the first j + r - tau characters of s. An equal
+    character keeps a bit; a replaced one takes it to the next word, one more in t takes it there a bit lower, and one more in s a bit higher."""
+    if not 0 <= tau <= 31:
+        raise ValueError("tau must be from 0 to 31, so that the diagonals fit a word")
+    width = 2 * tau + 1
+    shift = lambda way, bits, n: F.call_function(f"shift{way}", bits, n if isinstance(n, Column) else F.lit(n))
+    start = [((1 << (e + 1)) - 1) << tau for e in range(tau + 1)]
+
+    def equal(j: Column) -> Column:
+        bits = [F.when(F.get(s, j + (r - tau)) == F.get(t, j), F.lit(1 << r).cast("long")).otherwise(F.lit(0).cast("long")) for r in range(width)]
+        return reduce(Column.bitwiseOR, bits)
+
+    def moved(words: Column, same: Column) -> Column:
+        out: list[Column] = []
+        for e in range(tau + 1):
+            now = F.get(words, F.lit(e)).bitwiseAND(same)
+            if e:
+                fewer = F.get(words, F.lit(e - 1))
+                now = now.bitwiseOR(fewer).bitwiseOR(shift("right", fewer, 1)).bitwiseOR(shift("left", out[-1], 1))
+            out.append(now.bitwiseAND(F.lit((1 << width) - 1).cast("long")))
+        return F.array(*out)
+
+    def step(words: Column, j: Column) -> Column:
+        # The inner array of one holds what is equal, lest it be worked out again for each word.
+        return F.when(F.get(words, F.lit(tau)) == 0, words).otherwise(F.aggregate(F.array(equal(j)), words, moved))
+
+    places = F.when(F.size(t) > 0, F.sequence(F.lit(0), F.size(t) - 1)).otherwise(F.array().cast("array<int>"))
+    words = F.aggregate(places, F.array(*[F.lit(x).cast("long") for x in start]), step)
+    apart = F.size(s) - F.size(t)
+    return F.when(F.abs(apart) <= tau, shift("right", F.get(words, F.lit(tau)), apart + tau).bitwiseAND(F.lit(1).cast("long")) == 1).otherwise(False)
+
+
 def repeated_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataFrame:
     """doc_id, text_key, dropped (places): the lines of docs (doc_id, text) that an earlier line makes needless."""
     spark, where = docs.sparkSession, work_dir(docs.sparkSession)
@@ -74,16 +117,16 @@ def repeated_lines(docs: DataFrame, tau: int = TAU, least: int = LEAST) -> DataF
     met = stored(keys.join(shared, "key").distinct(), where, "met")
     # Sort-merge at every size: neither side has a bound.
     wanted = met.select("h").distinct().hint("merge")
-    texts = stored(_lines(docs).where(long).select("h", "line").dropDuplicates(["h"]).join(wanted, "h", "left_semi").withColumn("sketch", _sketch(F.col("line"))), where, "texts")
+    texts = stored(_lines(docs).where(long).select("h", "line").dropDuplicates(["h"]).join(wanted, "h", "left_semi").select("h", _points(F.col("line")).alias("points"), _sketch(F.col("line")).alias("sketch")), where, "texts")
     drawn = met.join(texts.select("h", "sketch"), "h")
     left, right = drawn.where("segment").select("key", F.col("h").alias("a"), F.col("sketch").alias("x")), drawn.select("key", F.col("h").alias("b"), F.col("sketch").alias("y"))
     # An edit changes four pairs of neighbouring characters at most.
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= 4 * tau)
     pairs = stored(left.join(right, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), where, "pairs")
     linked = (
-        pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("s")), "a")
-        .join(texts.select(F.col("h").alias("b"), F.col("line").alias("t")), "b")
-        .where(F.levenshtein("s", "t", tau).between(0, tau))
+        pairs.join(texts.select(F.col("h").alias("a"), F.col("points").alias("s")), "a")
+        .join(texts.select(F.col("h").alias("b"), F.col("points").alias("t")), "b")
+        .where(within(F.col("s"), F.col("t"), tau))
         .select("a", "b")
     )
     dated = linked.join(first.select(F.col("h").alias("a"), F.col("first").alias("x")), "a").join(first.select(F.col("h").alias("b"), F.col("first").alias("y")), "b")

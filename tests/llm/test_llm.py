@@ -285,6 +285,33 @@ def test_lines(spark):
     assert found == dict(enumerate(brute_lines(texts)))
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("tau", [0, 1, 2, 4])
+def test_band(spark, tau):
+    """The bit-parallel band against the whole table of edit distances."""
+    rng = random.Random(tau)
+    pairs = [("", ""), ("", "a"), ("ab", ""), ("a\U0001f600b" * 9, "a\U0001f601b" + "a\U0001f600b" * 8), ("x" * 3000, "x" * 3001)]
+    for _ in range(400):
+        a = "".join(rng.choice("abé\U0001f600") for _ in range(rng.randrange(30)))
+        b = list(a)
+        for _ in range(rng.randrange(7)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice(["", "a", "b"])
+        pairs.append((a, "".join(b)))
+    rows = spark.createDataFrame(pairs, "s string, t string").select("s", "t", lines._points(F.col("s")).alias("x"), lines._points(F.col("t")).alias("y"))
+    found = [(r.s, r.t, r.w) for r in rows.select("s", "t", lines.within(F.col("x"), F.col("y"), tau).alias("w")).collect()]
+    assert [w for _, _, w in found] == [abs(len(s) - len(t)) <= tau and (len(s) > 999 or edits(s, t) <= tau) for s, t, _ in found]
+    assert {w for _, _, w in found} == {True, False}
+
+
 def test_lines_native(spark):
     plan = lines.op4_line_dedup(spark, DATA)._jdf.queryExecution().executedPlan().toString()
     plan += licenses.op5_license_scan(spark, DATA)._jdf.queryExecution().executedPlan().toString()
