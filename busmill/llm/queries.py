@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, licenses, lines, topk
+from . import infill, jaccard, licenses, lines, topk
 from .decontaminate import op8_decontamination
+from .infill import op11_fill_in_middle
 from .jaccard import op2_near_duplicates
 from .language import op10_language_id
 from .licenses import op5_license_scan
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -36,4 +38,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": lines.ORACLE,
     "op5_license_scan": licenses.ORACLE,
     "op9_top_k": topk.ORACLE,
+    "op11_fill_in_middle": infill.ORACLE,
 }
