@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import infill, jaccard, licenses, lines, topk
+from . import infill, jaccard, licenses, lines, phrases, topk
 from .decontaminate import op8_decontamination
 from .infill import op11_fill_in_middle
 from .jaccard import op2_near_duplicates
@@ -15,6 +15,7 @@ from .licenses import op5_license_scan
 from .lines import op4_line_dedup
 from .packing import op7_pack_sequences
 from .pages import op6_main_text
+from .phrases import op13_collocations
 from .quality import op3_quality
 from .repeats import op1_repeated_bytes
 from .topk import op9_top_k
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -39,4 +41,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_license_scan": licenses.ORACLE,
     "op9_top_k": topk.ORACLE,
     "op11_fill_in_middle": infill.ORACLE,
+    "op13_collocations": phrases.ORACLE,
 }
