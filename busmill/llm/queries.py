@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import infill, jaccard, licenses, lines, phrases, topk
+from . import infill, jaccard, licenses, lines, phrases, subtrees, topk
 from .decontaminate import op8_decontamination
 from .infill import op11_fill_in_middle
 from .jaccard import op2_near_duplicates
@@ -18,6 +18,7 @@ from .pages import op6_main_text
 from .phrases import op13_collocations
 from .quality import op3_quality
 from .repeats import op1_repeated_bytes
+from .subtrees import op12_repeated_words
 from .topk import op9_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_repeated_words": op12_repeated_words,
     "op13_collocations": op13_collocations,
 }
 
@@ -41,5 +43,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_license_scan": licenses.ORACLE,
     "op9_top_k": topk.ORACLE,
     "op11_fill_in_middle": infill.ORACLE,
+    "op12_repeated_words": subtrees.ORACLE,
     "op13_collocations": phrases.ORACLE,
 }
