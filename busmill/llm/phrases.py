@@ -32,10 +32,9 @@ from pyspark.sql import functions as F
 from .common import U64, dropped, lean, lowered, mixed, prefix_hashes, slices, span_hashes, spans, stored, table, work_dir
 
 LEAST, WORDS, FIRST = 100, 5, 2000
-SHARDS, BLOCK, CELLS = 3, 1 << 21, 1 << 26
+SHARDS, BLOCK, CELLS = 3, 1 << 23, 1 << 26
 ENDS = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 BLANKS = ENDS | np.isin(np.arange(256), [0x20, 0x09])
-PAGE = 1 << 13
 
 SCHEMA = "block long, tokens binary, width int, hashes binary, words array<string>, langs array<string>, lang_of binary, lang_n array<long>, shard int"
 NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
@@ -90,7 +89,7 @@ class Reached:
         return np.where((a > 0) & (b > 0), np.maximum(a, b), 0)
 
 
-def phrases_of(tokens: np.ndarray, hashes: np.ndarray, reached: Reached, most: int = WORDS) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def phrases_of(tokens: np.ndarray, hashes: np.ndarray, reached: Reached, most: int = WORDS) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each length: places, hashes and first active steps of the phrases whose subphrases have reached the threshold, and when they did themselves."""
     word = np.append(U64(0), hashes)
     since = np.append(0, reached(hashes)).astype(np.uint8)
@@ -107,7 +106,17 @@ def phrases_of(tokens: np.ndarray, hashes: np.ndarray, reached: Reached, most: i
             full = mixed(full * U64(0x9E3779B97F4A7C15) + word[tokens[at + k - 1]])
             when[:] = 0
             when[at] = reached(full)
-        yield k, at, full, began
+        yield k, at, full, began, when[at]
+
+
+def distinct(k: int, tokens: np.ndarray, at: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The position among `at` of one of each distinct phrase, and how many there are of it."""
+    if k == 1:  # words have numbers already
+        one = np.zeros(int(tokens.max(initial=0)) + 1, np.int64)
+        one[tokens[at]] = np.arange(len(at))
+        n = np.bincount(tokens[at], minlength=len(one))
+        return one[n > 0], n[n > 0]
+    return np.unique(full, return_index=True, return_counts=True)[1:]
 
 
 def row_of(row: tuple) -> tuple[np.ndarray, np.ndarray]:
@@ -122,54 +131,48 @@ def scan(rows: DataFrame, step: int, cells, shards: int, most: int = WORDS) -> D
         reached = Reached(cells.value)
         for batch in batches:
             for row in zip(*batch.columns, strict=True):
-                for k, _, full, began in phrases_of(*row_of(row), reached, most):
-                    found, n = np.unique(full[(began <= step) & (step < began.astype(np.int64) + shards)], return_counts=True)
-                    if len(found):
-                        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(np.full(len(found), k, np.int8)), pa.array(n.astype(np.int64))], ["h", "k", "n"])
+                tokens, hashes = row_of(row)
+                for k, at, full, began, _ in phrases_of(tokens, hashes, reached, most):
+                    ok = (began <= step) & (step < began.astype(np.int64) + shards)
+                    at, full = at[ok], full[ok]
+                    one, n = distinct(k, tokens, at, full)
+                    if len(one):
+                        yield pa.RecordBatch.from_arrays([pa.array(full[one].view(np.int64)), pa.array(np.full(len(one), k, np.int8)), pa.array(n.astype(np.int64))], ["h", "k", "n"])
 
-    return rows.select("tokens", "width", "hashes").mapInArrow(lean(run), "h long, k byte, n long").groupBy("h", "k").agg(F.sum("n").alias("n"))
+    return rows.select("tokens", "width", "hashes").mapInArrow(lean(run), "h long, k byte, n long").groupBy("h").agg(F.sum("n").alias("n"), F.max("k").alias("k"))
 
 
-def pages(ready: DataFrame, cells: int) -> DataFrame:
-    """page, bits: the cells of ready phrases, as bits of pages; in all of at most cells / 8 bytes."""
+def cells_of(ready: DataFrame, cells: int, most: int) -> DataFrame:
+    """word, bits, opens: the cells of ready phrases as bits of 64-bit words, at most cells / 64 rows, and whether a phrase among them can activate another."""
     low = F.col("h").bitwiseAND(cells - 1)
     cell = F.explode(F.array(low, F.shiftrightunsigned("h", 32).bitwiseAND(cells - 1))).alias("cell")
-
-    def bits(rows: pa.Table) -> pa.Table:
-        own = np.zeros(PAGE, bool)
-        own[rows["cell"].to_numpy() % PAGE] = True
-        return pa.table({"page": rows["page"][:1], "bits": pa.array([np.packbits(own).tobytes()], pa.binary())})
-
-    # Distinct cells first: a page never has more rows than cells.
-    rows = ready.select(cell).distinct().select("cell", F.floor(F.col("cell") / PAGE).cast("long").alias("page"))
-    return rows.groupBy("page").applyInArrow(bits, "page long, bits binary")
+    return ready.select("k", cell).groupBy(F.expr("cell div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 AS int))")).alias("bits"), F.bool_or(F.col("k") < most).alias("opens"))
 
 
 def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int = LEAST, most: int = WORDS, shards: int = SHARDS, cells: int = CELLS) -> np.ndarray:
     """Scans until every phrase that became active has completed its cycle; the cells of the phrases that reached `least`. n: words in all."""
     # At most n / least phrases of each length can reach it, and each takes two cells; eight times as many, up to the bound.
-    size = max(PAGE, min(cells, 1 << math.ceil(math.log2(16 * most * n / least + 1))))
+    size = max(64, min(cells, 1 << math.ceil(math.log2(16 * most * n / least + 1))))
     reached, votes, newest, step = np.zeros(size, np.uint8), [], -1, 0
     while step < shards or newest >= step - shards:
         shared = spark.sparkContext.broadcast(reached)
         votes.append(stored(scan(rows.where(F.col("shard") == step % shards), step, shared, shards, most), where, f"votes-{step}", compression="zstd"))
         shared.unpersist()
-        # A phrase is counted within one cycle, so the tables of the last cycle tell what it has so far.
-        cycle = None
-        for k, v in enumerate(votes[-shards:]):
-            v = v.withColumn("old", F.lit(0).cast("long") if k == len(votes[-shards:]) - 1 else F.col("n"))
-            cycle = v if cycle is None else cycle.unionByName(v)
-        ready = cycle.groupBy("h", "k").agg(F.sum("n").alias("n"), F.sum("old").alias("old")).where(f"n >= {least} AND old < {least}")
-        ready = stored(ready.select("h", "k"), where, f"ready-{step}")
-        if len(votes) >= shards:
-            dropped(spark, f"{where}/votes-{step - shards + 1}")
-        for page, bits in pages(ready, size).toLocalIterator():
-            own = reached[page * PAGE : (page + 1) * PAGE]
-            own[np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool) & (own == 0)] = step + 1
+        # A phrase is counted within one cycle, so the tables of the last cycle tell what it has so far; `old` is what it had before this step.
+        cycle = votes[-1].withColumn("old", F.lit(0).cast("long"))
+        for v in votes[-shards:-1]:
+            cycle = cycle.unionByName(v.withColumn("old", F.col("n")))
+        ready = cycle.groupBy("h").agg(F.sum("n").alias("n"), F.sum("old").alias("old"), F.max("k").alias("k")).where(f"n >= {least} AND old < {least}")
+        found = cells_of(ready, size, most).toArrow()
+        own = reached.reshape(-1, 64)[found["word"].to_numpy()]
+        bits = np.unpackbits(found["bits"].to_numpy().view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+        own[bits & (own == 0)] = step + 1
+        reached.reshape(-1, 64)[found["word"].to_numpy()] = own
         # Phrases of full length activate no other.
-        if not ready.where(F.col("k") < most).isEmpty():
+        if found["opens"].to_numpy().any():
             newest = step
-        dropped(spark, f"{where}/ready-{step}")
+        if len(votes) >= shards:
+            dropped(spark, f"{where}/votes-{step - shards + 1}")
         step += 1
     for k in range(max(0, step - shards + 1), step):
         dropped(spark, f"{where}/votes-{k}")
@@ -192,12 +195,12 @@ def frequent(docs: DataFrame, least: int = LEAST, most: int = WORDS, shards: int
             for *row, words, langs, of in zip(*batch.columns, strict=True):
                 tokens, hashes = row_of(row)
                 words, langs, of = words.as_py(), langs.as_py(), np.frombuffer(of.as_buffer(), np.uint16)
-                for k, at, full, _ in phrases_of(tokens, hashes, reached, most):
-                    ok = np.flatnonzero(reached(full))
-                    _, first, n = np.unique(full[ok], return_index=True, return_counts=True)
-                    if not len(first):
+                for k, at, full, _, now in phrases_of(tokens, hashes, reached, most):
+                    at, full = at[now > 0], full[now > 0]
+                    one, n = distinct(k, tokens, at, full)
+                    if not len(one):
                         continue
-                    ids = tokens[at[ok[first]][:, None] + np.arange(k)].astype(np.int64) - 1
+                    ids = tokens[at[one][:, None] + np.arange(k)].astype(np.int64) - 1
                     texts = [" ".join([words[x] for x in row]) for row in ids.tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array([langs[x] for x in of[ids[:, 0]]]), pa.array(texts), pa.array(np.full(len(n), k, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "k", "n"])
 

@@ -82,7 +82,7 @@ def test_an_active_phrase_takes_its_subphrases():
     cells = np.zeros(1 << 13, np.uint8)
     for h, step in ((hashes[0], 2), (hashes[1], 3)):
         cells[[int(h) & 8191, int(h) >> 32 & 8191]] = step
-    told = [(k, at.tolist(), began.tolist()) for k, at, _, began in phrases.phrases_of(tokens, hashes, phrases.Reached(cells))]
+    told = [(k, at.tolist(), began.tolist()) for k, at, _, began, _ in phrases.phrases_of(tokens, hashes, phrases.Reached(cells))]
     assert told[:2] == [(1, [0, 1, 2, 4, 5], [0] * 5), (2, [0, 4], [3, 3])] and all(not at for _, at, _ in told[2:])
 
 
