@@ -40,7 +40,9 @@ class WordTokenizer:
 
     OTHER = re.compile("[^\x00-į]|<\\|")
     LETTER, NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-į", "0-9\xb2\xb3\xb9\xbc-\xbe"
-    WORD = re.compile(f"[{LETTER}]+|'(?:[stmd]|re|ve|ll)|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
+    #: The splitter's white space, which isn't Python's: that takes U+001C to U+001F, too.
+    SPACE = "\t-\r \x85\xa0"
+    WORD = re.compile(f"[{LETTER}]+|'(?:[stmd]|re|ve|ll)|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+")
 
     #: Of an entry: two objects and their places in the dictionary.
     ENTRY = 200
@@ -55,7 +57,7 @@ class WordTokenizer:
         self.letters = {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
     def encode(self, word: str) -> bytes:
-        if not word.isascii():
+        if not (word.isascii() and word.isprintable()):  # control characters have letters of their own, too
             word = "".join(map(self.letters.__getitem__, word.encode()))
         return np.array([t.id for t in self.whole.model.tokenize(word)], "<u4").tobytes()
 
@@ -207,6 +209,7 @@ def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WIND
             yield loose.set_column(at, "sequence_id", pa.array(np.full(len(loose), LOOSE)))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Packs what a shuffle brings in the order of documents, so that a task that is run again gives the same."""
         state = SumOfSquares(window)
 
         def pieces() -> Iterator[Piece]:
@@ -224,7 +227,7 @@ def pack(docs: DataFrame, tokenizer: str | Callable[[], str], window: int = WIND
     first = stored(rows.mapInArrow(run, SCHEMA), work_dir(docs.sparkSession), "packed", compression="zstd")
     loose = first.where(F.col("sequence_id") == LOOSE)
     tasks = 1 + int((loose.agg(F.sum("length")).first()[0] or 0) // gather)
-    return first.where(F.col("sequence_id") != LOOSE).unionByName(loose.repartition(tasks, F.xxhash64("doc_id", "start")).mapInArrow(again, SCHEMA))
+    return first.where(F.col("sequence_id") != LOOSE).unionByName(loose.repartition(tasks, F.xxhash64("doc_id", "start")).sortWithinPartitions("doc_id", "start", "ids").mapInArrow(again, SCHEMA))
 
 
 def vocabulary() -> str:
