@@ -16,16 +16,14 @@ def _pos(near: bool = False) -> str:
   CAST({last} AS DOUBLE) AS distance_to_last_stop, CAST(CASE WHEN user_id % 37 = 0 THEN 0 ELSE 1000 + 10 * (user_id % 50) END AS DOUBLE) AS trip_linear_distance, event_id FROM ev)"""
 
 
-DETAILS = """stops AS (SELECT s_suppkey AS stop_id, s_name AS stop_name, CAST(-23.9 + (s_suppkey % 70) * 0.01 AS DOUBLE) AS lat, CAST(-46.9 + (s_suppkey % 60) * 0.01 AS DOUBLE) AS lon FROM supplier),
-st AS (SELECT CAST(l_orderkey // 2 AS VARCHAR) || '-10-' || CAST(l_orderkey % 2 AS VARCHAR) AS trip_id, l_linenumber AS n, min(CASE WHEN l_orderkey % 10 < 2 THEN 1 + l_orderkey % 7 ELSE l_suppkey END) AS stop_id FROM lineitem GROUP BY l_orderkey, l_linenumber),
-rk AS (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY n) AS a, row_number() OVER (PARTITION BY trip_id ORDER BY n DESC) AS b FROM st JOIN stops USING (stop_id)),
-en AS (SELECT trip_id, max(CASE WHEN a = 1 THEN stop_id END) AS first_stop_id, max(CASE WHEN a = 1 THEN stop_name END) AS first_stop_name, max(CASE WHEN a = 1 THEN lat END) AS first_stop_lat, max(CASE WHEN a = 1 THEN lon END) AS first_stop_lon,
-  max(CASE WHEN b = 1 THEN stop_id END) AS last_stop_id, max(CASE WHEN b = 1 THEN stop_name END) AS last_stop_name, max(CASE WHEN b = 1 THEN lat END) AS last_stop_lat, max(CASE WHEN b = 1 THEN lon END) AS last_stop_lon FROM rk GROUP BY trip_id),
-ba AS (SELECT *, round(sqrt((first_stop_lat - last_stop_lat) ** 2 + (first_stop_lon - last_stop_lon) ** 2) * 106428) AS trip_linear_distance, first_stop_id = last_stop_id AS is_circular FROM en),
-"""
-_COLS = [f"{side}_stop_{part}" for side in ("first", "last") for part in ("id", "name", "lat", "lon")] + ["trip_linear_distance", "is_circular"]
-DETAILS = DETAILS + "no AS (SELECT b.trip_id, " + ", ".join(f"coalesce(r.{c}, b.{c}) AS {c}" for c in _COLS) + """ FROM ba b LEFT JOIN ba r ON b.trip_id LIKE '%-1' AND r.trip_id = regexp_replace(b.trip_id, '-1$', '-0')),
-det AS (SELECT * FROM no UNION ALL SELECT regexp_replace(trip_id, '-0$', '-1') AS trip_id, """ + ", ".join(_COLS) + " FROM no t WHERE trip_id LIKE '%-0' AND NOT EXISTS (SELECT 1 FROM no u WHERE u.trip_id = regexp_replace(t.trip_id, '-0$', '-1')))"
+#: The dimension by its rule: a trip's two directions are one group; each end is the stop struct with the least or greatest sequence; the second direction shows the first one's.
+_STOP = "{'id': s_suppkey, 'name': s_name, 'lat': CAST(-23.9 + (s_suppkey % 70) * 0.01 AS DOUBLE), 'lon': CAST(-46.9 + (s_suppkey % 60) * 0.01 AS DOUBLE)}"
+_SIDES = ", ".join(f"{f}(stop, n) FILTER (WHERE way = {way}) AS {name}{way}" for f, name in (("arg_min", "a"), ("arg_max", "z")) for way in (0, 1))
+_ENDS = ", ".join(f"{end}.{part} AS {side}_stop_{part}" for end, side in (("a", "first"), ("z", "last")) for part in ("id", "name", "lat", "lon"))
+DETAILS = f"""calls AS (SELECT l_orderkey // 2 AS pair, l_orderkey % 2 AS way, l_linenumber AS n, min(CASE WHEN l_orderkey % 10 < 2 THEN 1 + l_orderkey % 7 ELSE l_suppkey END) AS halt FROM lineitem GROUP BY ALL),
+pairs AS (SELECT pair, {_SIDES} FROM (SELECT pair, way, n, {_STOP} AS stop FROM calls JOIN supplier ON s_suppkey = halt) GROUP BY pair),
+ways AS (SELECT pair || '-10-' || way AS trip_id, coalesce(a0, a1) AS a, coalesce(z0, z1) AS z FROM pairs, (VALUES (0), (1)) AS v(way) WHERE way = 1 OR a0 IS NOT NULL),
+det AS (SELECT trip_id, {_ENDS}, round(sqrt((a.lat - z.lat) ** 2 + (a.lon - z.lon) ** 2) * 106428) AS trip_linear_distance, a.id = z.id AS is_circular FROM ways)"""
 
 
 def _hav(a: str, b: str, c: str, d: str) -> str:
