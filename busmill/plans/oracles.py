@@ -129,6 +129,7 @@ ORACLE_SQL: dict[str, str] = {
     "trips_noncircular_overlap": f"WITH {_pos(True)}, {SAN}, {NON}, {_materialised('non')} SELECT {TRIP} FROM mat WHERE left_out IS NULL",
     "trips_circular": f"WITH {_pos()}, {SAN}, {CIR}, {_materialised('cir')} SELECT {TRIP} FROM mat WHERE left_out IS NULL",
     "trips_all_with_discrepancy": f"WITH {BOTH} SELECT {TRIP}, discrepancy, left_out FROM mat",
+    "trips_segmented": f"WITH {BOTH} SELECT {TRIP}, discrepancy, left_out FROM mat",
     "extraction_metrics": f"WITH {BOTH}, {METRICS} SELECT * FROM met",
     "p50_p95_route_from_positions": f"WITH {BOTH}, src AS (SELECT *, trip_end_time AS logic_date FROM mat WHERE left_out IS NULL), {_facts('src')} {PANEL} 1",
     "sanitize_spikes": f"WITH {_pos()}, {SAN} SELECT linha_lt, veiculo_id, veiculo_ts, round(speed_in, 2) AS speed_in, round(speed_out, 2) AS speed_out, round(speed_across, 2) AS speed_across FROM s4 WHERE spike",

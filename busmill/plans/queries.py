@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import checks, facts, gtfs, positions, rules, telemetry, trajectory
+from ..operators import checks, facts, gtfs, positions, rules, segments, telemetry, trajectory
 from ..schemas import RAW
 from . import dashboards, fixtures
 from .fixtures import AS_OF
@@ -90,6 +90,13 @@ def trips_all_with_discrepancy(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(rows.select(*TRIP, "discrepancy", "left_out"), "distance_meters", "avg_speed_kmh")
 
 
+@query
+def trips_segmented(spark: SparkSession, d: str) -> DataFrame:
+    """The same trips by the segmented scan, which sorts a day of a series at a time."""
+    rows = trajectory.materialised(segments.trips(fixtures.positions(spark, d)))
+    return _rounded(rows.select(*TRIP, "discrepancy", "left_out"), "distance_meters", "avg_speed_kmh")
+
+
 @query
 def extraction_metrics(spark: SparkSession, d: str) -> DataFrame:
     return trajectory.extraction_metrics(fixtures.positions(spark, d))
