@@ -100,10 +100,15 @@ def detected(positions: DataFrame, radius: float = 100.0) -> DataFrame:
 def materialised(trips: DataFrame, most_kmh: float = 80.0) -> DataFrame:
     """Detected trips with duration, distance and speed, and why one is left out, if it is: its group has a non-circular trip without
     a distance (group_failed), or it is too fast (too_fast)."""
-    seconds = F.floor(elapsed_s(F.col("start_ts"), F.col("end_ts"))).cast("int")
     bad = ~F.col("is_circular") & F.coalesce(F.col("distance_meters") == 0, F.lit(True))
+    return materialised_rows(trips, F.max(bad).over(_whole()), most_kmh)
+
+
+def materialised_rows(trips: DataFrame, failed: Column, most_kmh: float = 80.0) -> DataFrame:
+    """As `materialised`, where `failed` tells whether a trip's group has failed."""
+    seconds = F.floor(elapsed_s(F.col("start_ts"), F.col("end_ts"))).cast("int")
     speed = F.when(F.col("duration_seconds") > 0, F.col("distance_meters") / F.col("duration_seconds") * 3.6).otherwise(0.0)
-    rows = trips.withColumn("duration_seconds", seconds).withColumn("_failed", F.max(bad).over(_whole())).withColumn("avg_speed_kmh", speed)
+    rows = trips.withColumn("duration_seconds", seconds).withColumn("_failed", failed).withColumn("avg_speed_kmh", speed)
     reason = F.when(F.col("_failed"), "group_failed").when(F.col("avg_speed_kmh") > most_kmh, "too_fast")
     return rows.select(
         trip_id(F.col("linha_lt"), F.col("direction")).alias("trip_id"), "linha_lt", F.col("veiculo_id").alias("vehicle_id"), F.col("start_ts").alias("trip_start_time"), F.col("end_ts").alias("trip_end_time"),
