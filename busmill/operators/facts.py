@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,6 +97,25 @@ def drop_expired(spark, path: str, column: str, as_of: datetime, keep_days: int)
     return sorted(gone)
 
 
+def drop_expired_hours(spark, path: str, as_of: datetime, keep_hours: int) -> list[str]:
+    """Deletes the partitions date=yyyy-MM-dd/hour=h below path whose last moment is keep_hours or more before as_of, which is a time of the partitions' own
+    zone, and dates that are left empty. Gives them as yyyy-MM-dd/h."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    named = lambda of, column: [(s.getPath(), s.getPath().getName().partition("=")[2]) for s in fs.listStatus(of) if s.getPath().getName().startswith(f"{column}=")]
+    gone = []
+    for day, date in named(folder, "date"):
+        hours = named(day, "hour")
+        old = [(p, h) for p, h in hours if h.isdigit() and datetime.fromisoformat(date) + timedelta(hours=int(h) + 1 + keep_hours) <= as_of]
+        for place, hour in old:
+            fs.delete(place, True)
+            gone.append((date, int(hour)))
+        if old and len(old) == len(hours):
+            fs.delete(day, True)
+    return [f"{date}/{hour}" for date, hour in sorted(gone)]
+
+
 def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Requests that no processed ledger row has, oldest first."""
     return files.join(ledger.where("processed").select("filename").distinct(), "filename", "left_anti").orderBy("created_at", "filename")

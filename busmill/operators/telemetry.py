@@ -5,8 +5,15 @@ The functions that take windows work on batch and streaming frames alike; a stre
 
 from __future__ import annotations
 
+import json
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 LINE = r"^[^{]*(\{.*\})\s*$"
 
@@ -70,3 +77,48 @@ def listing(events: DataFrame, names: list[str], pattern: str | None = None, col
 def phase_rows(progress: list[dict]) -> list[tuple[str, str, float]]:
     """(batch, phase, seconds) out of StreamingQueryProgress dictionaries."""
     return [(str(p["batchId"]), phase, ms / 1000) for p in progress for phase, ms in sorted(p.get("durationMs", {}).items())]
+
+
+PHASES = "execution string, phase string, seconds double, status string"
+
+
+class Phases:
+    """The phases of a run, one after another: `with phases(name)` times one. Those that aren't reached are skipped."""
+
+    def __init__(self, names: list[str]):
+        self.told = dict.fromkeys(names, (0.0, "skipped"))
+        self.failed: str | None = None
+
+    @contextmanager
+    def __call__(self, name: str) -> Iterator[None]:
+        began, status = time.monotonic(), "failed"
+        try:
+            yield
+            status = "ok"
+        finally:
+            self.told[name] = time.monotonic() - began, status
+            self.failed = name if status == "failed" else self.failed
+
+    def rows(self, execution: str) -> list[tuple[str, str, float, str]]:
+        return [(execution, phase, seconds, status) for phase, (seconds, status) in self.told.items()]
+
+
+class PhaseListener(StreamingQueryListener):
+    """Gives `sink` rows of PHASES for the phases of each batch of the session's streams, and one when a query breaks."""
+
+    def __init__(self, sink: Callable[[list[tuple[str, str, float, str]]], None]):
+        self.sink = sink
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        progress = json.loads(event.progress.json)
+        self.sink([(f"{progress['id']}-{batch}", phase, seconds, "ok") for batch, phase, seconds in phase_rows([progress])])
+
+    def onQueryIdle(self, event: Any) -> None:
+        pass
+
+    def onQueryTerminated(self, event: Any) -> None:
+        if event.exception:
+            self.sink([(str(event.id), "query", 0.0, "failed")])

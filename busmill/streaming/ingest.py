@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import checks, facts, positions, rules, telemetry, trajectory
 from ..schemas import FACT_KEY, FINISHED_KEY, RAW
-from ..sources import files
+from ..sources import files, loads
 
 
 def snapshot_stream(spark: SparkSession, path: str, per_batch: int = 30) -> DataFrame:
@@ -32,7 +32,8 @@ def document_stream(spark: SparkSession, path: str, per_batch: int = 30) -> Data
 @dataclass
 class Gate:
     """What a batch is judged by and where its parts go. suite, parameters: as of rules.load_suite; without a suite the transform alone rejects rows.
-    reports, rejected: folders for the report of each batch and for documents without the declared structure; neither is written where it's None."""
+    reports, rejected, phases: folders for the report of each batch, for documents without the declared structure and for the seconds and status of each phase;
+    what is None isn't written. A batch that is replayed replaces its own rows there. One that breaks leaves a report that tells phase and message."""
 
     trusted: str
     quarantine: str
@@ -40,43 +41,62 @@ class Gate:
     parameters: dict[str, Any] = field(default_factory=dict)
     reports: str | None = None
     rejected: str | None = None
+    phases: str | None = None
 
 
-Step = Callable[[DataFrame, int], None]
+Step = Callable[[DataFrame, int | str], None]
 
 
-def transform_batch(raw: DataFrame, details: DataFrame, gate: Gate, number: int, after: Sequence[Step] = ()) -> None:
+def transform_batch(raw: DataFrame, details: DataFrame, gate: Gate, number: int | str, after: Sequence[Step] = ()) -> None:
     """One batch of documents (file, value) or of parsed snapshots: checked, flattened, enriched, validated and written, and reported.
 
     Rows that the transform and those that the suite rejects go to the quarantine together. The steps of `after` get the trusted rows in order, as downstream
-    runs are triggered: trips, then facts, or the live snapshot."""
-    spark, now = raw.sparkSession, F.current_timestamp()
-    bad_documents = 0
-    if "value" in raw.columns:
-        judged = files.with_errors(raw).persist()
-        bad = judged.where(F.size("errors") > 0)
-        bad_documents = bad.count()
-        if gate.rejected and bad_documents:
-            bad.withColumn("rejected_at", now).write.mode("append").json(gate.rejected)
-        raw = files.parsed_documents(judged.where(F.size("errors") == 0))
-    out = positions.enriched(positions.normalise(positions.flatten(raw)), details).persist()
-    judged_rows = rules.validate(positions.trusted(positions.valid(out)), gate.suite, now, gate.parameters)
-    good = judged_rows.valid.persist()
+    runs are triggered: trips, then facts, or the live snapshot. number names the batch; the same one again leaves what is written as it is."""
+    spark, now, execution = raw.sparkSession, F.current_timestamp(), f"batch-{number}"
+    phases = telemetry.Phases(["documents", "positions", "report", *(f"after-{k}" for k in range(len(after)))])
+    held: list[DataFrame] = []
     try:
-        files.write_positions(good, gate.trusted)
-        files.write_positions(positions.united_invalid(positions.invalid(out, now), judged_rows.invalid), gate.quarantine)
+        with phases("documents"):
+            bad_documents = 0
+            if "value" in raw.columns:
+                judged = files.with_errors(raw).persist()
+                held.append(judged)
+                bad = judged.where(F.size("errors") > 0)
+                bad_documents = bad.count()
+                if gate.rejected and bad_documents:
+                    loads.replace_batch(bad.withColumn("rejected_at", now), gate.rejected, number)
+                raw = files.parsed_documents(judged.where(F.size("errors") == 0))
+        with phases("positions"):
+            out = positions.enriched(positions.normalise(positions.flatten(raw)), details).persist()
+            held.append(out)
+            judged_rows = rules.validate(positions.trusted(positions.valid(out)), gate.suite, now, gate.parameters)
+            good = judged_rows.valid.persist()
+            held.append(good)
+            files.write_positions(good, gate.trusted)
+            files.write_positions(positions.united_invalid(positions.invalid(out, now), judged_rows.invalid), gate.quarantine)
+        with phases("report"):
+            if gate.reports:
+                counts = out.agg(F.count("*").alias("total_rows"), F.count_if(F.col("invalid_reason").isNotNull()).alias("_transform")).crossJoin(positions.expected(raw)).crossJoin(judged_rows.summary.drop("total_rows").withColumnRenamed("rows_failed", "_rules"))  # one row each
+                counts = counts.withColumn("rows_failed", F.col("_transform") + F.col("_rules")).withColumn("items_failed", F.col("rows_failed") + bad_documents).withColumn("documents_rejected", F.lit(bad_documents))
+                judged_batch = checks.acceptance(counts.drop("_transform", "_rules")).withColumn("quality_report_path", F.lit(gate.reports))
+                _report(judged_batch, execution, gate.reports, number)
+        for k, step in enumerate(after):
+            with phases(f"after-{k}"):
+                step(good, number)
+    except Exception as error:
         if gate.reports:
-            counts = out.agg(F.count("*").alias("total_rows"), F.count_if(F.col("invalid_reason").isNotNull()).alias("_transform")).crossJoin(positions.expected(raw)).crossJoin(judged_rows.summary.drop("total_rows").withColumnRenamed("rows_failed", "_rules"))  # one row each
-            counts = counts.withColumn("rows_failed", F.col("_transform") + F.col("_rules")).withColumn("items_failed", F.col("rows_failed") + bad_documents).withColumn("documents_rejected", F.lit(bad_documents))
-            judged_batch = checks.acceptance(counts.drop("_transform", "_rules")).withColumn("quality_report_path", F.lit(gate.reports))
-            files.write_reports(checks.report(judged_batch, "positions", F.lit(f"batch-{number}"), now), gate.reports)
-        for step in after:
-            step(good, number)
+            _report(checks.failure(spark, phases.failed, str(error).splitlines()[0] if str(error) else type(error).__name__), execution, gate.reports, number)
+        raise
     finally:
-        for rows in (good, out):
+        if gate.phases:
+            rows = spark.createDataFrame(phases.rows(execution), telemetry.PHASES)
+            loads.replace_batch(rows.withColumn("ts", now), gate.phases, number)
+        for rows in held[::-1]:
             rows.unpersist()
-        if "value" in raw.columns:
-            judged.unpersist()
+
+
+def _report(rows: DataFrame, execution: str, path: str, number: int | str) -> None:
+    loads.replace_batch(checks.report(rows, "positions", F.lit(execution), F.current_timestamp()), path, number, ["pipeline", "year", "month", "day", "hour"])
 
 
 def to_positions(raw: DataFrame, details: Callable[[], DataFrame], trusted: str, quarantine: str, checkpoint: str, after: Step | Sequence[Step] | None = None, **gate: Any) -> DataStreamWriter:
@@ -87,35 +107,39 @@ def to_positions(raw: DataFrame, details: Callable[[], DataFrame], trusted: str,
 
 
 def backfill(spark: SparkSession, path: str, details: DataFrame, gate: Gate, start: datetime, end: datetime, step_minutes: int = 2, after: Sequence[Step] = ()) -> None:
-    """All snapshots of a range of logical times, as one batch."""
-    transform_batch(files.snapshots_between(spark, path, start, end, step_minutes).select("metadata", "payload"), details, gate, 0, after)
+    """All snapshots of a range of logical times, as one batch, which is named by the range."""
+    name = f"{start:%Y%m%d%H%M}-{end:%Y%m%d%H%M}"
+    transform_batch(files.snapshots_between(spark, path, start, end, step_minutes).select("metadata", "payload"), details, gate, name, after)
 
 
-def recompute_trips(spark: SparkSession, trusted: str, target: str, hours: int = 3, radius: float = 100.0) -> Step:
-    """An `after` step: trips of the last hours before the batch's newest time, appended if absent. The start gate applies at each window's opening."""
+def recompute_trips(spark: SparkSession, trusted: str, target: str, hours: int = 3, radius: float = 100.0, late_trips: str = "drop") -> Step:
+    """An `after` step: trips of the last hours before the batch's newest time. Those that end after everything saved are added; late_trips="keep" goes by
+    the key alone. The start gate applies at each window's opening."""
 
-    def step(batch: DataFrame, number: int) -> None:
+    def step(batch: DataFrame, number: int | str) -> None:
         newest: datetime | None = batch.agg(F.max("extracao_ts")).first()[0]
         if newest is not None:
             rows = files.recent_positions(spark, trusted, newest.astimezone(), hours)
             trips = trajectory.finished_trips(rows, radius).withColumn("logic_date", F.lit(newest).cast("timestamp_ntz"))
-            files.append_absent(trips, target, FINISHED_KEY, by="trip_start_time", hourly=True)
+            loads.append_batch(trips, target, FINISHED_KEY, number, by="trip_start_time", hourly=True, end="trip_end_time", late=late_trips)
 
     return step
 
 
 def load_facts(spark: SparkSession, trips: str, target: str, dim: str) -> Step:
-    """An `after` step that follows one for trips: the facts of trips that the table lacks, by date, and the hours that the dimension lacks."""
+    """An `after` step that follows one for trips: the facts of the trips of this batch, by date, and the hours that the dimension lacks."""
 
-    def step(batch: DataFrame, number: int) -> None:
+    def step(batch: DataFrame, number: int | str) -> None:
         try:
-            found = spark.read.parquet(trips).drop("date", "hour")
+            found = spark.read.parquet(trips)
         except AnalysisException as error:
             if error.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):  # no trip so far
                 return
             raise
+        # The batch is a partition, so time doesn't grow with what was saved before.
+        found = found.where(F.col("batch") == str(number)).drop("date", "hour", "batch")
         made = facts.trip_facts(found).drop("duration").where("direction IS NOT NULL")
-        files.append_absent(made, target, FACT_KEY, by="started_at")
+        loads.append_batch(made, target, FACT_KEY, number, by="started_at")
         files.append_absent(facts.provision(found), dim, ["time_key"])
 
     return step
