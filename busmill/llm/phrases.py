@@ -10,8 +10,8 @@ looked up in. The cells are of bounded size however large the corpus, and err on
 earlier, and then others are counted that needn't be; with more phrases than cells scans prune less and give the same. Counts are
 kept by 64-bit hashes of phrases, salted by language, each step's as a table; what is reached is told by the tables of the last cycle.
 
-`frequent` then reads the blocks once more and counts the texts of the phrases that reached the threshold, so phrases whose hashes meet are told apart.
-`collocations` scores them by joins on (language, phrase).
+With its count each hash keeps one of the blocks that it is in. `named` reads the texts of the phrases that reached the threshold from these blocks alone, with the
+hashes of their parts, and `scored` joins the parts' counts to them. Two phrases of one language whose hashes meet would be counted as one.
 
 Null texts have no words; a null language is `und`. A very long text is a block of its own. Repeated rows count as often as they occur. Ties are settled by
 count and phrase. Extra columns are not read. An empty table gives no rows.
@@ -33,6 +33,8 @@ from .common import U64, dropped, lean, lowered, mixed, prefix_hashes, slices, s
 
 LEAST, WORDS, FIRST = 100, 5, 2000
 SHARDS, BLOCK, CELLS = 3, 1 << 23, 1 << 26
+#: A phrase's hash is that of its words but the last, times this, and the last one's, mixed.
+RATIO = 0x9E3779B97F4A7C15
 ENDS = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 BLANKS = ENDS | np.isin(np.arange(256), [0x20, 0x09])
 
@@ -70,7 +72,8 @@ def blocks(docs: DataFrame, shards: int = SHARDS, size: int = BLOCK) -> DataFram
         part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(1), size):
-                row = ((part << 32) + k, *block_of(data, off, batch.column(0).slice(lo, hi - lo).to_pylist()), (part + k) % shards)
+                # A partition has less than 2**20 blocks, and there are less than 2**27 partitions.
+                row = ((part << 20) + k, *block_of(data, off, batch.column(0).slice(lo, hi - lo).to_pylist()), (part + k) % shards)
                 yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, KINDS, strict=True)], NAMES)
                 k += 1
 
@@ -103,7 +106,7 @@ def phrases_of(tokens: np.ndarray, hashes: np.ndarray, reached: Reached, most: i
             ok = np.flatnonzero((when[at] > 0) & (when[at + 1] > 0))
             at, full = at[ok], full[ok]
             began = np.maximum(when[at], when[at + 1])
-            full = mixed(full * U64(0x9E3779B97F4A7C15) + word[tokens[at + k - 1]])
+            full = mixed(full * U64(RATIO) + word[tokens[at + k - 1]])
             when[:] = 0
             when[at] = reached(full)
         yield k, at, full, began, when[at]
@@ -124,22 +127,32 @@ def row_of(row: tuple) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(tokens.as_buffer(), np.uint16 if width.as_py() == 2 else np.uint32), np.frombuffer(hashes.as_buffer(), np.uint64)
 
 
+#: A place is a block below some bits of a hash, so the least place of a phrase is any of its blocks.
+PLACE = 48
+
+
 def scan(rows: DataFrame, step: int, cells, shards: int, most: int = WORDS) -> DataFrame:
-    """h, k, n: the active phrases of one shard's blocks."""
+    """h, k, n, place: the active phrases of one shard's blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = Reached(cells.value)
         for batch in batches:
-            for row in zip(*batch.columns, strict=True):
-                tokens, hashes = row_of(row)
+            for number, *row in zip(*batch.columns, strict=True):
+                (tokens, hashes), number = row_of(row), U64(number.as_py())
                 for k, at, full, began, _ in phrases_of(tokens, hashes, reached, most):
                     ok = (began <= step) & (step < began.astype(np.int64) + shards)
                     at, full = at[ok], full[ok]
                     one, n = distinct(k, tokens, at, full)
                     if len(one):
-                        yield pa.RecordBatch.from_arrays([pa.array(full[one].view(np.int64)), pa.array(np.full(len(one), k, np.int8)), pa.array(n.astype(np.int64))], ["h", "k", "n"])
+                        full = full[one]
+                        place = (mixed(full + number) >> U64(PLACE + 1)) << U64(PLACE) | number
+                        yield pa.RecordBatch.from_arrays([pa.array(full.view(np.int64)), pa.array(np.full(len(one), k, np.int8)), pa.array(n.astype(np.int64)), pa.array(place.view(np.int64))], ["h", "k", "n", "place"])
+
+    return summed(rows.select("block", "tokens", "width", "hashes").mapInArrow(lean(run), "h long, k byte, n long, place long"))
+
 
-    return rows.select("tokens", "width", "hashes").mapInArrow(lean(run), "h long, k byte, n long").groupBy("h").agg(F.sum("n").alias("n"), F.max("k").alias("k"))
+def summed(votes: DataFrame) -> DataFrame:
+    return votes.groupBy("h").agg(F.sum("n").alias("n"), F.max("k").alias("k"), F.min("place").alias("place"))
 
 
 def cells_of(ready: DataFrame, cells: int, most: int) -> DataFrame:
@@ -149,8 +162,8 @@ def cells_of(ready: DataFrame, cells: int, most: int) -> DataFrame:
     return ready.select("k", cell).groupBy(F.expr("cell div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 AS int))")).alias("bits"), F.bool_or(F.col("k") < most).alias("opens"))
 
 
-def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int = LEAST, most: int = WORDS, shards: int = SHARDS, cells: int = CELLS) -> np.ndarray:
-    """Scans until every phrase that became active has completed its cycle; the cells of the phrases that reached `least`. n: words in all."""
+def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int = LEAST, most: int = WORDS, shards: int = SHARDS, cells: int = CELLS) -> tuple[DataFrame, np.ndarray]:
+    """Scans until every phrase that became active has completed its cycle: h, k, a, block of the phrases that reached `least`, and their cells. n: words in all."""
     # At most n / least phrases of each length can reach it, and each takes two cells; eight times as many, up to the bound.
     size = max(64, min(cells, 1 << math.ceil(math.log2(16 * most * n / least + 1))))
     reached, votes, newest, step = np.zeros(size, np.uint8), [], -1, 0
@@ -159,9 +172,9 @@ def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int
         votes.append(stored(scan(rows.where(F.col("shard") == step % shards), step, shared, shards, most), where, f"votes-{step}", compression="zstd"))
         shared.unpersist()
         # A phrase is counted within one cycle, so the tables of the last cycle tell what it has so far; `old` is what it had before this step.
-        cycle = votes[-1].withColumn("old", F.lit(0).cast("long"))
+        cycle = votes[-1].select("h", "k", "n", F.lit(0).cast("long").alias("old"))
         for v in votes[-shards:-1]:
-            cycle = cycle.unionByName(v.withColumn("old", F.col("n")))
+            cycle = cycle.unionByName(v.select("h", "k", "n", F.col("n").alias("old")))
         ready = cycle.groupBy("h").agg(F.sum("n").alias("n"), F.sum("old").alias("old"), F.max("k").alias("k")).where(f"n >= {least} AND old < {least}")
         found = cells_of(ready, size, most).toArrow()
         own = reached.reshape(-1, 64)[found["word"].to_numpy()]
@@ -171,65 +184,96 @@ def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int
         # Phrases of full length activate no other.
         if found["opens"].to_numpy().any():
             newest = step
-        if len(votes) >= shards:
-            dropped(spark, f"{where}/votes-{step - shards + 1}")
         step += 1
-    for k in range(max(0, step - shards + 1), step):
+    everything = votes[0]
+    for v in votes[1:]:
+        everything = everything.unionByName(v)
+    block = F.col("place").bitwiseAND((1 << PLACE) - 1).alias("block")
+    found = stored(summed(everything).where(F.col("n") >= least).select("h", "k", F.col("n").alias("a"), block), where, "found", compression="zstd")
+    for k in range(step):
         dropped(spark, f"{where}/votes-{k}")
-    return reached
+    return found, reached
 
 
-def frequent(docs: DataFrame, least: int = LEAST, most: int = WORDS, shards: int = SHARDS, size: int = BLOCK, cells: int = CELLS) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, k, a) of every phrase of at most `most` words that occurs `least` times in a language, and (lang, n) of the words in all."""
-    spark, where = docs.sparkSession, work_dir(docs.sparkSession)
-    made = blocks(docs, shards, size)
-    made.write.partitionBy("shard").option("compression", "zstd").parquet(f"{where}/blocks")
-    rows = spark.read.schema(made.schema).parquet(f"{where}/blocks")
-    sizes = stored(rows.select(F.explode(F.arrays_zip("langs", "lang_n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.lang_n").alias("n")), where, "sizes")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    shared = spark.sparkContext.broadcast(counted(spark, where, rows, total, least, most, shards, cells))
+def parts_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of phrases, a row of word hashes each: the hashes of their first 1, 2, ... words and of what follows these, up to the last cut."""
+    k = words.shape[1]
+    left, right = np.empty((len(words), k - 1), np.uint64), np.empty((len(words), k - 1), np.uint64)
+    for out, starts in ((left, np.zeros(k - 1, int)), (right, np.arange(1, k))):
+        for cut, start in enumerate(starts):
+            full = words[:, start]
+            for j in range(start + 1, k if start else cut + 1):
+                full = mixed(full * U64(RATIO) + words[:, j])
+            out[:, cut] = full
+    return left, right
+
+
+NAMED = "h long, lang string, phrase string, k int, left array<long>, right array<long>"
+
+
+def named(rows: DataFrame, found: DataFrame, reached: np.ndarray, most: int = WORDS) -> DataFrame:
+    """The found phrases of two words and more, each read from one block: language, text, and the hashes of both parts of each cut."""
+    shared = rows.sparkSession.sparkContext.broadcast(reached)
+    wanted = found.where("k > 1").groupBy("block").agg(F.collect_list("h").alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = Reached(shared.value)
+        cells = Reached(shared.value)
         for batch in batches:
-            for *row, words, langs, of in zip(*batch.columns, strict=True):
-                tokens, hashes = row_of(row)
+            for *row, words, langs, of, wanted in zip(*batch.columns, strict=True):
+                (tokens, hashes), wanted = row_of(row), wanted.values.to_numpy().view(np.uint64)
                 words, langs, of = words.as_py(), langs.as_py(), np.frombuffer(of.as_buffer(), np.uint16)
-                for k, at, full, _, now in phrases_of(tokens, hashes, reached, most):
-                    at, full = at[now > 0], full[now > 0]
-                    one, n = distinct(k, tokens, at, full)
-                    if not len(one):
+                for k, at, full, _, _ in phrases_of(tokens, hashes, cells, most):
+                    if k == 1:
+                        continue
+                    full, first = np.unique(full, return_index=True)
+                    mine = np.isin(full, wanted)
+                    full, ids = full[mine], tokens[at[first[mine]][:, None] + np.arange(k)].astype(np.int64) - 1
+                    if not len(full):
                         continue
-                    ids = tokens[at[one][:, None] + np.arange(k)].astype(np.int64) - 1
                     texts = [" ".join([words[x] for x in row]) for row in ids.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array([langs[x] for x in of[ids[:, 0]]]), pa.array(texts), pa.array(np.full(len(n), k, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "k", "n"])
+                    ends = pa.array(np.arange(len(full) + 1, dtype=np.int32) * (k - 1))
+                    parts = [pa.ListArray.from_arrays(ends, pa.array(p.ravel().view(np.int64))) for p in parts_of(hashes[ids])]
+                    yield pa.RecordBatch.from_arrays([pa.array(full.view(np.int64)), pa.array([langs[x] for x in of[ids[:, 0]]]), pa.array(texts), pa.array(np.full(len(full), k, np.int32)), *parts], [f.split()[0] for f in NAMED.split(", ")])
 
-    texts = rows.select("tokens", "width", "hashes", "words", "langs", "lang_of").mapInArrow(lean(run), "lang string, phrase string, k int, n long")
-    out = stored(texts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a")).where(F.col("a") >= least), where, "frequent")
-    shared.unpersist()
+    columns = ["tokens", "width", "hashes", "words", "langs", "lang_of"]
+    return rows.join(wanted, "block").select(*columns, "wanted").mapInArrow(lean(run), NAMED)
+
+
+def frequent(docs: DataFrame, least: int = LEAST, most: int = WORDS, shards: int = SHARDS, size: int = BLOCK, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(h, k, a) of every phrase of at most `most` words that occurs `least` times in a language, with their texts as of `named`, and (lang, n) of the words in all."""
+    spark, where = docs.sparkSession, work_dir(docs.sparkSession)
+    made = blocks(docs, shards, size)
+    made.write.partitionBy("shard").option("compression", "zstd").parquet(f"{where}/blocks")
+    rows = spark.read.schema(made.schema).parquet(f"{where}/blocks")
+    sizes = stored(rows.select(F.explode(F.arrays_zip("langs", "lang_n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.lang_n").alias("n")), where, "sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    found, reached = counted(spark, where, rows, total, least, most, shards, cells)
+    texts = stored(named(rows, found, reached, most), where, "texts", compression="zstd")
     dropped(spark, f"{where}/blocks")
-    return out, sizes
+    return found.select("h", "k", "a"), texts, sizes
+
+
+def scored(found: DataFrame, texts: DataFrame, sizes: DataFrame, share: int = 100) -> DataFrame:
+    """As of `collocations`, out of the counts and texts of `frequent`."""
+    counts = found.select("h", "a")
+    long = texts.join(counts, "h")
+    # A longer phrase is in no more places than the phrases between, so those with one word more tell: without its last word, and without its first.
+    parts = F.array(F.element_at("left", -1), F.element_at("right", 1))
+    held = long.where("k > 2").select(F.explode(parts).alias("h"), "a").groupBy("h").agg(F.max("a").alias("held"))
+    kept = long.join(held, "h", "left").where(f"held IS NULL OR 100 * held < {share} * a").select("lang", "phrase", "a", F.posexplode(F.arrays_zip("left", "right")).alias("cut", "x"))
+    part = lambda name, count: counts.select(F.col("h").alias(name), F.col("a").alias(count))
+    cuts = kept.select("lang", "phrase", "a", "cut", "x.left", "x.right").join(part("left", "l"), "left").join(part("right", "r"), "right").join(sizes, "lang")
+    # Products of counts pass 64 bits; decimals of 38 digits hold them.
+    score = F.expr("(cast(1000 * a AS decimal(19, 0)) * cast(n AS decimal(19, 0))) div (cast(l AS decimal(19, 0)) * cast(r AS decimal(19, 0)))")
+    best = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("x"))
+    return best.select("lang", "phrase", "a", "x.l", "x.r", "n", "x.score")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, most: int = WORDS, share: int = 100, **how: int) -> DataFrame:
     """lang, phrase, a, l, r, n, score of the phrases of two words and more that no longer one holds in `share` of a hundred places.
 
     l and r are those of the cut with the lowest score, the first of equals."""
-    found, sizes = frequent(docs, least, most, **how)
-    long = found.where("k > 1")
-    words = F.split("phrase", " ")
-    # A longer phrase is in no more places than the phrases between, so those with one word more tell.
-    parts = F.array(F.array_join(F.slice(words, F.lit(1), F.col("k") - 1), " "), F.array_join(F.slice(words, F.lit(2), F.col("k") - 1), " "))
-    held = long.where("k > 2").select("lang", F.explode(parts).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("held"))
-    kept = long.join(held, ["lang", "phrase"], "left").where(f"held IS NULL OR 100 * held < {share} * a").drop("held")
-    cut = F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut")
-    cuts = kept.select("lang", "phrase", "a", "k", cut).select("*", F.array_join(F.slice(words, F.lit(1), F.col("cut")), " ").alias("left"), F.array_join(F.slice(words, F.col("cut") + 1, F.col("k") - F.col("cut")), " ").alias("right"))
-    part = lambda name, count: found.select("lang", F.col("phrase").alias(name), F.col("a").alias(count))
-    cuts = cuts.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"]).join(sizes, "lang")
-    # Products of counts pass 64 bits; decimals of 38 digits hold them.
-    score = F.expr("(cast(1000 * a AS decimal(19, 0)) * cast(n AS decimal(19, 0))) div (cast(l AS decimal(19, 0)) * cast(r AS decimal(19, 0)))")
-    best = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("x"))
-    return best.select("lang", "phrase", "a", "x.l", "x.r", "n", "x.score")
+    return scored(*frequent(docs, least, most, **how), share)
 
 
 def ranked(scored: DataFrame, first: int = FIRST) -> DataFrame:

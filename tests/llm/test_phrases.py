@@ -68,11 +68,11 @@ def test_first_of_each_language_and_share(spark):
     assert found(spark, docs, 5, share=60) == plainly(docs, 5, share=60)
 
 
-def test_products_beyond_64_bits(spark, monkeypatch):
+def test_products_beyond_64_bits(spark):
     """The arithmetic alone, on counts as of a very large corpus."""
-    big = [("en", "a", 1, 10**13), ("en", "b", 1, 3 * 10**12), ("en", "a b", 2, 10**12 + 1)]
-    monkeypatch.setattr(phrases, "frequent", lambda *a, **b: (spark.createDataFrame(big, "lang string, phrase string, k int, a long"), spark.createDataFrame([("en", 10**14 + 7)], "lang string, n long")))
-    row = phrases.collocations(None).first()
+    found = spark.createDataFrame([(1, 1, 10**13), (2, 1, 3 * 10**12), (3, 2, 10**12 + 1)], "h long, k int, a long")
+    texts = spark.createDataFrame([(3, "en", "a b", 2, [1], [2])], phrases.NAMED)
+    row = phrases.scored(found, texts, spark.createDataFrame([("en", 10**14 + 7)], "lang string, n long")).first()
     assert row.score == 1000 * (10**12 + 1) * (10**14 + 7) // (10**13 * 3 * 10**12)
 
 
@@ -86,8 +86,16 @@ def test_an_active_phrase_takes_its_subphrases():
     assert told[:2] == [(1, [0, 1, 2, 4, 5], [0] * 5), (2, [0, 4], [3, 3])] and all(not at for _, at, _ in told[2:])
 
 
+def test_parts_have_the_hashes_of_phrases():
+    """The parts of a cut are found under the hashes that they were counted by."""
+    tokens, hashes = np.array([1, 2, 3, 4], np.uint16), np.array([11, 22, 33, 44], np.uint64)
+    full = {(k, int(i)): int(h) for k, at, fulls, _, _ in phrases.phrases_of(tokens, hashes, phrases.Reached(np.ones(64, np.uint8))) for i, h in zip(at, fulls, strict=True)}
+    left, right = phrases.parts_of(hashes[None])
+    assert left[0].tolist() == [full[k, 0] for k in (1, 2, 3)] and right[0].tolist() == [full[4 - k, k] for k in (1, 2, 3)]
+
+
 def test_no_documents(spark):
     assert found(spark, [("en", "a")], 100) == [] and found(spark, [(None, None)], 1) == []
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert phrases.ranked(phrases.collocations(none)).count() == 0
-    assert phrases.frequent(none)[1].select(F.count("*")).first()[0] == 0
+    assert phrases.frequent(none)[2].select(F.count("*")).first()[0] == 0
