@@ -127,6 +127,8 @@ def row_of(row: tuple) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(tokens.as_buffer(), np.uint16 if width.as_py() == 2 else np.uint32), np.frombuffer(hashes.as_buffer(), np.uint64)
 
 
+#: So many hashes are broadcast at most, 8 bytes each; more are joined by a shuffle.
+STRONG = 1 << 22
 #: A place is a block below some bits of a hash, so the least place of a phrase is any of its blocks.
 PLACE = 48
 
@@ -148,10 +150,7 @@ def scan(rows: DataFrame, step: int, cells, shards: int, most: int = WORDS) -> D
                         place = (mixed(full + number) >> U64(PLACE + 1)) << U64(PLACE) | number
                         yield pa.RecordBatch.from_arrays([pa.array(full.view(np.int64)), pa.array(np.full(len(one), k, np.int8)), pa.array(n.astype(np.int64)), pa.array(place.view(np.int64))], ["h", "k", "n", "place"])
 
-    return summed(rows.select("block", "tokens", "width", "hashes").mapInArrow(lean(run), "h long, k byte, n long, place long"))
-
-
-def summed(votes: DataFrame) -> DataFrame:
+    votes = rows.select("block", "tokens", "width", "hashes").mapInArrow(lean(run), "h long, k byte, n long, place long")
     return votes.groupBy("h").agg(F.sum("n").alias("n"), F.max("k").alias("k"), F.min("place").alias("place"))
 
 
@@ -166,16 +165,21 @@ def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int
     """Scans until every phrase that became active has completed its cycle: h, k, a, block of the phrases that reached `least`, and their cells. n: words in all."""
     # At most n / least phrases of each length can reach it, and each takes two cells; eight times as many, up to the bound.
     size = max(64, min(cells, 1 << math.ceil(math.log2(16 * most * n / least + 1))))
-    reached, votes, newest, step = np.zeros(size, np.uint8), [], -1, 0
+    reached, votes, seen, newest, step = np.zeros(size, np.uint8), [], [], -1, 0
     while step < shards or newest >= step - shards:
         shared = spark.sparkContext.broadcast(reached)
         votes.append(stored(scan(rows.where(F.col("shard") == step % shards), step, shared, shards, most), where, f"votes-{step}", compression="zstd"))
         shared.unpersist()
         # A phrase is counted within one cycle, so the tables of the last cycle tell what it has so far; `old` is what it had before this step.
-        cycle = votes[-1].select("h", "k", "n", F.lit(0).cast("long").alias("old"))
+        cycle = votes[-1].withColumn("old", F.lit(0).cast("long"))
         for v in votes[-shards:-1]:
-            cycle = cycle.unionByName(v.select("h", "k", "n", F.col("n").alias("old")))
-        ready = cycle.groupBy("h").agg(F.sum("n").alias("n"), F.sum("old").alias("old"), F.max("k").alias("k")).where(f"n >= {least} AND old < {least}")
+            cycle = cycle.unionByName(v.withColumn("old", F.col("n")))
+        # Of those that reached the threshold in it, one table at least has a share of the count; the others needn't be shuffled.
+        strong = stored(cycle.where(F.col("n") >= math.ceil(least / shards)).select("h").distinct(), where, f"strong-{step}")
+        few = strong.count() <= STRONG
+        totals = cycle.join(F.broadcast(strong) if few else strong, "h", "left_semi").groupBy("h").agg(F.sum("n").alias("n"), F.sum("old").alias("old"), F.max("k").alias("k"), F.min("place").alias("place"))
+        seen.append(stored(totals.where(F.col("n") >= least), where, f"seen-{step}", compression="zstd"))
+        ready = seen[-1].where(F.col("old") < least)
         found = cells_of(ready, size, most).toArrow()
         own = reached.reshape(-1, 64)[found["word"].to_numpy()]
         bits = np.unpackbits(found["bits"].to_numpy().view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
@@ -184,14 +188,20 @@ def counted(spark: SparkSession, where: str, rows: DataFrame, n: int, least: int
         # Phrases of full length activate no other.
         if found["opens"].to_numpy().any():
             newest = step
+        dropped(spark, f"{where}/strong-{step}")
+        if len(votes) >= shards:
+            dropped(spark, f"{where}/votes-{step - shards + 1}")
         step += 1
-    everything = votes[0]
-    for v in votes[1:]:
+    for k in range(max(0, step - shards + 1), step):
+        dropped(spark, f"{where}/votes-{k}")
+    # One cycle holds all steps in which a phrase was counted; every other holds fewer.
+    everything = seen[0]
+    for v in seen[1:]:
         everything = everything.unionByName(v)
-    block = F.col("place").bitwiseAND((1 << PLACE) - 1).alias("block")
-    found = stored(summed(everything).where(F.col("n") >= least).select("h", "k", F.col("n").alias("a"), block), where, "found", compression="zstd")
+    whole = everything.groupBy("h").agg(F.max("n").alias("a"), F.max("k").alias("k"), F.min("place").alias("place"))
+    found = stored(whole.select("h", "k", "a", F.col("place").bitwiseAND((1 << PLACE) - 1).alias("block")), where, "found", compression="zstd")
     for k in range(step):
-        dropped(spark, f"{where}/votes-{k}")
+        dropped(spark, f"{where}/seen-{k}")
     return found, reached
 
 

@@ -54,6 +54,12 @@ def corpus(rng):
     return [*docs, *(("en", t) for t in odd(rng)), ("fr", "la la la la la la la la"), ("fr", None), (None, "a,b;c:d!e?f\rg\x0bh\x0ci"), ("en", docs[0][1])]
 
 
+def test_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "STRONG", 0)
+    docs = corpus(random.Random(15))
+    assert found(spark, docs, 6, shards=2, size=2000) == plainly(docs, 6)
+
+
 @pytest.mark.parametrize("how", [{}, {"shards": 1, "size": 500}, {"shards": 5, "size": 500}, {"shards": 2, "size": 3000, "cells": 1 << 13}])
 def test_collocations(spark, how):
     """Whatever activates a phrase early or late, every one is counted through one whole cycle."""
