@@ -224,7 +224,10 @@ NAMED = "h long, lang string, phrase string, k int, left array<long>, right arra
 def named(rows: DataFrame, found: DataFrame, reached: np.ndarray, most: int = WORDS) -> DataFrame:
     """The found phrases of two words and more, each read from one block: language, text, and the hashes of both parts of each cut."""
     shared = rows.sparkSession.sparkContext.broadcast(reached)
-    wanted = found.where("k > 1").groupBy("block").agg(F.collect_list("h").alias("wanted"))
+    long = found.where("k > 1")
+    wanted = long.groupBy("block").agg(F.collect_list("h").alias("wanted"))
+    # Blocks are large and stay where they are, as long as there aren't too many phrases for that.
+    wanted = F.broadcast(wanted) if long.count() <= STRONG else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = Reached(shared.value)
