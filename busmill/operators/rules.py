@@ -6,12 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Rule = dict[str, Any]
 #: Rules that look at the table, not at its rows.
 TABLE_RULES = ("expect_column_values_to_be_of_type", "expect_table_columns_to_match_set")
+#: Rules that look at other rows too.
+UNIQUE = ("expect_column_values_to_be_unique", "expect_compound_columns_to_be_unique")
 
 
 def _between(column: str, min_value: Any = None, max_value: Any = None) -> Column:
@@ -24,10 +26,8 @@ def _between(column: str, min_value: Any = None, max_value: Any = None) -> Colum
 
 
 def _repeated(*columns: str) -> Column:
-    whole = F.lit(True)
-    for c in columns:
-        whole = whole & F.col(c).isNotNull()
-    return whole & (F.count("*").over(Window.partitionBy(*columns)) > 1)
+    """The mark that `with_repeats` gives to rows of a repeated key."""
+    return F.col(f"`_repeated {','.join(columns)}`")
 
 
 #: Rule name to a Column that is true where a row breaks it. Users add their own.
@@ -77,6 +77,62 @@ class Validated:
     summary: DataFrame
 
 
+#: Bits that tell which keys may be repeated, in 64-bit words: the bound of what `with_repeats` broadcasts, 4 MB.
+CELLS = 1 << 22
+
+
+def _whole(columns: list[str]) -> Column:
+    """Keys that hold a null repeat nothing."""
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).isNotNull()
+    return whole
+
+
+def with_repeats(df: DataFrame, keys: list[list[str]], cells: int = CELLS) -> DataFrame:
+    """df with a mark for each key, `_repeated a,b`: whether another row has the same values in these columns.
+
+    Keys are counted with sums on the map side, from their columns alone. Those that occur twice set bits, by which rows that can't repeat one are told
+    without a shuffle. The other rows are joined to the repeated keys, one row each, by cell and key: adaptive execution splits a frequent key over tasks
+    only where both sides are shuffled for the join, which the counts, parted by key alone, are then. df is read once for each key and
+    twice besides, so it should give the same rows each time."""
+    marked, repeated = df, []
+    for k, columns in enumerate(keys):
+        names = [f"_key_{k}_{j}" for j in range(len(columns))]
+        counts = df.where(_whole(columns)).groupBy(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]).agg(F.count("*").alias("n"))
+        found = counts.where("n > 1").drop("n")
+        cell = lambda own: F.pmod(F.xxhash64(*own), F.lit(cells))
+        bit = lambda c: F.expr(f"shiftleft(1L, cast({c} % 64 AS int))")
+        words = found.select(cell(names).alias("cell")).groupBy(F.expr("cell div 64").alias(f"_word_{k}")).agg(F.bit_or(bit("cell")).alias(f"_bits_{k}"))
+        # At most cells / 64 rows.
+        marked = marked.withColumn(f"_at_{k}", cell(columns)).join(F.broadcast(words), F.expr(f"_at_{k} div 64 = _word_{k}"), "left")
+        may = F.coalesce(F.col(f"_bits_{k}").bitwiseAND(bit(f"_at_{k}")) != 0, F.lit(False))
+        marked = marked.withColumn(f"_may_{k}", _whole(columns) & may).drop(f"_word_{k}", f"_bits_{k}")
+        repeated.append((columns, names, found.withColumn(f"_cell_{k}", cell(names))))
+    some = F.lit(False)
+    for k in range(len(keys)):
+        some = some | F.col(f"_may_{k}")
+    sure, unsure = marked.where(~some), marked.where(some)
+    for k, (columns, names, found) in enumerate(repeated):
+        mark = f"_repeated {','.join(columns)}"
+        same = [F.col(c) == F.col(n) for c, n in zip([f"_at_{k}", *columns], [f"_cell_{k}", *names], strict=True)]
+        sure = sure.withColumn(mark, F.lit(False))
+        unsure = unsure.join(found, same, "left").withColumn(mark, F.col(names[0]).isNotNull()).drop(f"_cell_{k}", *names)
+    return sure.unionByName(unsure).drop(*(f"{x}_{k}" for k in range(len(keys)) for x in ("_may", "_at")))
+
+
+def _keys(suite: list[Rule], parameters: dict[str, Any]) -> list[list[str]]:
+    """The distinct keys of the suite's rules of uniqueness."""
+    out: list[list[str]] = []
+    for rule in suite:
+        if kind(rule) in UNIQUE:
+            args = resolved(rule, parameters)
+            columns = [args["column"]] if "column" in args else list(args["column_list"])
+            if columns not in out:
+                out.append(columns)
+    return out
+
+
 def _schema_failures(df: DataFrame, suite: list[Rule], parameters: dict[str, Any]) -> list[str]:
     types, failed = dict(df.dtypes), []
     for rule in suite:
@@ -117,7 +173,10 @@ def reasons(df: DataFrame, suite: list[Rule], parameters: dict[str, Any] | None
             args = resolved(rule, parameters or {})
             name = f"{kind(rule)}:{args.get('column') or ','.join(args['column_list'])}"
             marks.append(F.when(REGISTRY[kind(rule)](**args), name))
-    return df.withColumn("_reasons", F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>"))
+    keys = _keys(suite, parameters or {})
+    rows = with_repeats(df, keys) if keys else df
+    rows = rows.withColumn("_reasons", F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>"))
+    return rows.drop(*(f"_repeated {','.join(k)}" for k in keys))
 
 
 def validate(df: DataFrame, suite: list[Rule], failed_at: Column, parameters: dict[str, Any] | None = None) -> Validated:
