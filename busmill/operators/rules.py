@@ -108,7 +108,7 @@ def with_repeats(df: DataFrame, keys: list[list[str]], cells: int = CELLS) -> Da
         marked = marked.withColumn(f"_at_{k}", cell(columns)).join(F.broadcast(words), F.expr(f"_at_{k} div 64 = _word_{k}"), "left")
         may = F.coalesce(F.col(f"_bits_{k}").bitwiseAND(bit(f"_at_{k}")) != 0, F.lit(False))
         marked = marked.withColumn(f"_may_{k}", _whole(columns) & may).drop(f"_word_{k}", f"_bits_{k}")
-        repeated.append((columns, names, found.withColumn(f"_cell_{k}", cell(names))))
+        repeated.append((columns, names, found.withColumns({f"_cell_{k}": cell(names), f"_is_{k}": F.lit(True)})))
     some = F.lit(False)
     for k in range(len(keys)):
         some = some | F.col(f"_may_{k}")
@@ -117,7 +117,7 @@ def with_repeats(df: DataFrame, keys: list[list[str]], cells: int = CELLS) -> Da
         mark = f"_repeated {','.join(columns)}"
         same = [F.col(c) == F.col(n) for c, n in zip([f"_at_{k}", *columns], [f"_cell_{k}", *names], strict=True)]
         sure = sure.withColumn(mark, F.lit(False))
-        unsure = unsure.join(found, same, "left").withColumn(mark, F.col(names[0]).isNotNull()).drop(f"_cell_{k}", *names)
+        unsure = unsure.join(found, same, "left").withColumn(mark, F.coalesce(f"_is_{k}", F.lit(False))).drop(f"_is_{k}", f"_cell_{k}", *names)
     return sure.unionByName(unsure).drop(*(f"{x}_{k}" for k in range(len(keys)) for x in ("_may", "_at")))
 
 
