@@ -190,6 +190,8 @@ ORACLE_SQL: dict[str, str] = {
     "speed_by_route_hour": f"WITH {FACTS} SELECT route_id, hour_of_day, is_circular, round(avg(avg_speed_kmh), 6) AS avg_speed_kmh, count(*) AS trip_count FROM sta GROUP BY ALL",
     "route_summary": f"WITH {FACTS}, {DETAILS} SELECT route_id, first_stop_name, last_stop_name, det.is_circular, count(*) AS total_trips, {_one(P50 + ' / 60')} AS median_duration_minutes, round(avg(avg_speed_kmh), 6) AS avg_speed_kmh, round(stddev_samp(duration_seconds) / nullif(avg(duration_seconds), 0), 6) AS duration_consistency FROM sta JOIN det USING (trip_id) WHERE route_id = '3-10' GROUP BY ALL",
     "reliability_by_route": f"WITH {FACTS} SELECT route_id, is_circular, round(stddev_samp(duration_seconds) / nullif(avg(duration_seconds), 0), 6) AS reliability_index, count(*) AS trip_count FROM fac GROUP BY ALL",
+    "p50_p95_route_sketched": f"WITH {FACTS} SELECT route_id, {_one('quantile_disc(duration_seconds, 0.5) / 60')} AS median_duration_minutes, {_one('quantile_disc(duration_seconds, 0.95) / 60')} AS p95_duration_minutes, count(*) AS trip_count FROM sta GROUP BY route_id HAVING count(*) >= 5",
+    "live_table": f"WITH {_pos()}, {FLEET} SELECT veiculo_ts, veiculo_id, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, linha_lt, linha_sentido FROM lat WHERE veiculo_ts >= (SELECT max(extracao_ts) FROM pos) - INTERVAL 24 HOUR",
     "latest_positions": f"WITH {_pos()}, {FLEET} SELECT veiculo_ts, veiculo_id, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, linha_lt, linha_sentido, trip_id FROM lat",
     "live_fleet": f"WITH {_pos()}, {FLEET}, {DETAILS} SELECT veiculo_id, linha_lt, linha_sentido, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, veiculo_ts, first_stop_name, last_stop_name, det.is_circular FROM lat LEFT JOIN det ON det.trip_id = lat.trip_id",
     "live_fleet_of_line": f"WITH {_pos()}, {FLEET}, {DETAILS} SELECT veiculo_id, linha_lt, linha_sentido, round(veiculo_lat, 4) AS veiculo_lat, round(veiculo_long, 4) AS veiculo_long, veiculo_ts, first_stop_name, last_stop_name, det.is_circular FROM lat LEFT JOIN det ON det.trip_id = lat.trip_id WHERE linha_lt = '3-10' AND linha_sentido = 1",

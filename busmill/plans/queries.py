@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import checks, facts, gtfs, positions, rules, segments, telemetry, trajectory
+from ..operators import checks, facts, gtfs, positions, rules, segments, sketches, telemetry, trajectory
 from ..schemas import RAW
+from ..streaming import live
 from . import dashboards, fixtures
 from .fixtures import AS_OF
 
@@ -389,6 +390,19 @@ def reliability_by_route(spark: SparkSession, d: str) -> DataFrame:
     return dashboards.reliability(_facts(spark, d))
 
 
+@query
+def p50_p95_route_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """The panel from a sketch a route and day; discrete percentiles, exact up to 4,096 trips a route."""
+    return sketches.median_and_p95(sketches.daily(_facts(spark, d)))
+
+
+@query
+def live_table(spark: SparkSession, d: str) -> DataFrame:
+    """The newest row of each vehicle that was heard within a day of the newest extraction."""
+    rows = live.standing(fixtures.positions(spark, d), "24 hours")
+    return _rounded(rows.select("veiculo_ts", "veiculo_id", "veiculo_lat", "veiculo_long", "linha_lt", "linha_sentido"), "veiculo_lat", "veiculo_long")
+
+
 @query
 def latest_positions(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_latest(spark, d).select("veiculo_ts", "veiculo_id", "veiculo_lat", "veiculo_long", "linha_lt", "linha_sentido", "trip_id"), "veiculo_lat", "veiculo_long")
