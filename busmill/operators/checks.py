@@ -121,18 +121,47 @@ def cumulative(summaries: DataFrame, items: int, ratio: float, run: int, last: i
     return out.withColumn("cumulative_warn", fires)
 
 
-def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24) -> DataFrame:
+def marks(summaries: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """pipeline, run: how many summaries each pipeline has had since its last one that isn't WARN, by sums on the map side. before: the marks at the
+    first of these summaries, so that marks go on from batch to batch without a pipeline's past."""
+    at = F.struct("received_at", "seq")
+    last = summaries.groupBy(F.col("pipeline").alias("_p")).agg(F.max(F.when(F.col("status") != "WARN", at)).alias("_last"))
+    rows = summaries.join(last, F.col("pipeline").eqNullSafe(F.col("_p")))
+    out = rows.groupBy("pipeline").agg(F.count_if(F.col("_last").isNull() | (at > F.col("_last"))).alias("run"), F.first(F.col("_last").isNull()).alias("_open"))
+    if before is None:
+        return out.drop("_open")
+    old = before.select(F.col("pipeline").alias("_old"), F.col("run").alias("_run"))
+    both = out.join(old, F.col("pipeline").eqNullSafe(F.col("_old")), "full")
+    run = F.coalesce("run", F.lit(0)) + F.when(F.coalesce("_open", F.lit(True)), F.coalesce("_run", F.lit(0))).otherwise(0)
+    return both.select(F.coalesce("pipeline", "_old").alias("pipeline"), run.alias("run"))
+
+
+def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24, since: str | None = None, before: DataFrame | None = None) -> DataFrame:
     """What to do with each summary: sent, stored or ignored, and why.
 
     thresholds: pipeline, max_failed_items, max_failed_ratio, max_consecutive_warn, notify_on_fail, notify_on_warn. A WARN is
-    judged on its pipeline's summaries of the hours up to its own."""
+    judged on its pipeline's summaries of the hours up to its own.
+
+    since, before: decides on summaries from a time on alone, and then reads only the hours before it and the marks of each pipeline at that time (as of
+    `marks`), however long its past. Without marks no run goes back beyond `since`."""
     at = F.unix_seconds(F.col("received_at").cast("timestamp"))
-    rows = summaries.join(F.broadcast(thresholds), "pipeline", "left").withColumn("_at", at)  # a table of settings
+    new = F.lit(True)
+    if since is not None:
+        # Windows go by whole seconds, so a row in the second that is `hours` before belongs to it.
+        start = F.lit(since).cast("timestamp")
+        new = F.col("received_at").cast("timestamp") >= start
+        summaries = summaries.where(F.col("received_at") >= F.date_trunc("second", start - F.expr(f"INTERVAL {int(hours)} HOURS")).cast(summaries.schema["received_at"].dataType))
+    rows = summaries.join(F.broadcast(thresholds), "pipeline", "left").withColumn("_at", at).withColumn("_new", new)  # a table of settings
+    carried = F.lit(0)
+    if before is not None:
+        rows = rows.join(before.select("pipeline", F.col("run").alias("_carried")), "pipeline", "left")  # one row a pipeline
+        carried = F.coalesce("_carried", F.lit(0))
     window = Window.partitionBy("pipeline").orderBy("_at").rangeBetween(-hours * 3600, 0)
     order = Window.partitionBy("pipeline").orderBy("received_at", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_n", F.count("*").over(order))
+    rows = rows.withColumn("_n", F.count_if("_new").over(order))
     # WARNs since the last summary that isn't one, within the window.
-    rows = rows.withColumn("_run", F.least(F.col("_n") - F.coalesce(F.max(F.when(F.col("status") != "WARN", F.col("_n"))).over(order), F.lit(0)), F.count("*").over(window)))
+    other = F.max(F.when(F.col("_new") & (F.col("status") != "WARN"), F.col("_n"))).over(order)
+    rows = rows.withColumn("_run", F.least(F.col("_n") - F.coalesce(other, -carried), F.count("*").over(window)))
     known = F.col("max_failed_items").isNotNull()
     items = F.sum(F.coalesce("items_failed", F.lit(0))).over(window)
     ratio = F.avg(1 - F.coalesce("acceptance_rate", F.lit(0.0))).over(window)
@@ -146,4 +175,4 @@ def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24) -> D
         .when((F.col("status") == "WARN") & F.col("notify_on_warn") & fires, "sent:cumulative_warn")
         .otherwise("stored")
     )
-    return rows.select("pipeline", "seq", "status", outcome.alias("decision"))
+    return rows.select("pipeline", "seq", "status", outcome.alias("decision"), "_new").where("_new").drop("_new")

@@ -210,5 +210,6 @@ ORACLE_SQL: dict[str, str] = {
     "cumulative_warn": f"""WITH {SUMS}, n AS (SELECT *, row_number() OVER (PARTITION BY pipeline ORDER BY received_at DESC, seq DESC) AS n FROM su), a AS (SELECT pipeline, CAST(sum(items_failed) AS BIGINT) AS items_failed, avg(1 - coalesce(acceptance_rate, 0)) AS r, coalesce(min(n) FILTER (status <> 'WARN'), count(*) + 1) - 1 AS consecutive_warn FROM n WHERE n <= 100 GROUP BY pipeline)
   SELECT pipeline, items_failed, round(r, 4) AS avg_failed_ratio, consecutive_warn, items_failed >= 500 OR r >= 0.02 OR consecutive_warn >= 3 AS cumulative_warn FROM a""",
     "notification_decision": f"""WITH {_latest_run()} SELECT pipeline, seq, status, CASE WHEN status = 'PASS' THEN 'stored:pass_status' WHEN mi IS NULL THEN 'ignored:unknown_pipeline' WHEN status = 'FAIL' AND nf THEN 'sent:fail' WHEN status = 'WARN' AND nw AND (items >= mi OR ratio >= mr OR run >= mc) THEN 'sent:cumulative_warn' ELSE 'stored' END AS decision FROM d2""",
+    "notification_decision_since": f"""WITH {_latest_run()} SELECT pipeline, seq, status, CASE WHEN status = 'PASS' THEN 'stored:pass_status' WHEN mi IS NULL THEN 'ignored:unknown_pipeline' WHEN status = 'FAIL' AND nf THEN 'sent:fail' WHEN status = 'WARN' AND nw AND (items >= mi OR ratio >= mr OR run >= mc) THEN 'sent:cumulative_warn' ELSE 'stored' END AS decision FROM d2 WHERE received_at >= DATE '1995-06-17'""",
     "correlation_id_lists": f"WITH {EV}, i AS (SELECT user_id, list_sort(list(DISTINCT CAST(event_id AS VARCHAR))) AS l FROM ev GROUP BY user_id) SELECT user_id, array_to_string(l[1:50], ',') AS ids, CAST(len(l) AS INTEGER) AS total, len(l) > 50 AS truncated FROM i",
 }

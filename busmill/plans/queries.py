@@ -25,6 +25,7 @@ SUITE = [
     {"type": "expect_table_columns_to_match_set", "kwargs": {"column_set": ["l_orderkey", "l_partkey"]}},
 ]
 PARAMETERS = {"most": 45}
+DECIDE_FROM = "1995-06-17"
 
 
 def query(f: Query) -> Query:
@@ -498,6 +499,14 @@ def notification_decision(spark: SparkSession, d: str) -> DataFrame:
     return checks.decisions(fixtures.summaries(spark, d), _thresholds(spark), hours=24)
 
 
+@query
+def notification_decision_since(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions on the summaries from a time on, by the day before it and the marks that the summaries before left."""
+    rows = fixtures.summaries(spark, d)
+    before = checks.marks(rows.where(F.col("received_at") < F.lit(DECIDE_FROM).cast("date")))
+    return checks.decisions(rows, _thresholds(spark), 24, DECIDE_FROM, before)
+
+
 @query
 def correlation_id_lists(spark: SparkSession, d: str) -> DataFrame:
     rows = checks.correlation_ids(fixtures.events(spark, d), "user_id", "event_id")
