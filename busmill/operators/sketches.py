@@ -3,6 +3,8 @@
 The sketches are KLL's. Merged ones are as good as one over all rows: the share of values at or below the answer differs from the one asked for by less than
 `rank_error(k)`, with 99 % confidence, and a merged group of at most k values is exact. The answer is a value of the group, as percentile_disc's, not one between two.
 A panel over 90 days reads 90 rows a group instead of the facts. Null values count as trips but have no place in a sketch; a group without values has no percentile.
+
+`exact` has no such error: sketches only place the cuts around each rank, counts between cuts tell the part that the rank falls into, and the values of that part alone are counted one by one.
 """
 
 from __future__ import annotations
@@ -53,6 +55,34 @@ def quantile(p: float) -> Column:
     return F.when(F.col("value_count") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p)))
 
 
+def exact(facts: DataFrame, ps: tuple[str, ...], by: tuple[str, ...] = ("route_id",), column: str = "duration_seconds", k: int = K) -> DataFrame:
+    """For each group its trip_count, value_count and, for each p of ps (as decimals, in text), the least value that p of its values don't pass, as the array `quantiles`.
+
+    A sketch that errs makes the part that is counted larger, but changes no result. A part's rows are summed by value on the map side, and no task holds a group."""
+    near = [F.lit(min(max(float(p) + d, 0.0), 1.0)) for p in sorted(ps, key=float) for d in (-rank_error(k), rank_error(k))]
+    cuts = F.when(F.col("value_count") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*near)))
+    groups = merged(daily(facts, by, column, k), by).select(F.struct(*by).alias("_key"), "trip_count", "value_count", cuts.alias("_cuts"))
+    values = facts.select(F.struct(*by).alias("_key"), F.col(column).cast("double").alias("_value")).where("_value IS NOT NULL")
+    # The part of a value is the number of cuts below it.
+    values = values.join(F.broadcast(groups.select("_key", "_cuts")), "_key").selectExpr("_key", "size(filter(_cuts, c -> c < _value)) AS _part", "_value")  # one row a group
+    parts = values.groupBy("_key", "_part").agg(F.count("*").alias("_n")).selectExpr("*", "sum(_n) OVER (PARTITION BY _key ORDER BY _part) - _n AS _before")
+    ranks = groups.selectExpr("_key AS _group", f"posexplode(array({', '.join(f'CAST(ceil(value_count * {p}BD) AS long)' for p in ps)})) AS (_p, _rank)").withColumn("_rank", F.greatest("_rank", F.lit(1)))
+    wanted = parts.join(ranks, (F.col("_key") == F.col("_group")) & (F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
+    wanted = wanted.groupBy("_key", "_part").agg(F.collect_list(F.expr("struct(_p, _rank - _before AS _rank)")).alias("_wanted"))
+    counts = values.join(F.broadcast(wanted), ["_key", "_part"]).groupBy("_key", "_part", "_value").agg(F.count("*").alias("_n"), F.first("_wanted").alias("_wanted"))  # a row a group and p
+    counts = counts.selectExpr("*", "sum(_n) OVER (PARTITION BY _key, _part ORDER BY _value) AS _upto")
+    found = counts.selectExpr("_key", "_value", "explode(filter(_wanted, w -> w._rank > _upto - _n AND w._rank <= _upto)) AS _w").groupBy("_key").agg(*[F.max(F.when(F.col("_w._p") == i, F.col("_value"))).alias(f"_{i}") for i in range(len(ps))])
+    out = groups.drop("_cuts").join(found, "_key", "left")
+    return out.select(*[F.col(f"_key.{c}").alias(c) for c in by], "trip_count", "value_count", F.array(*[f"_{i}" for i in range(len(ps))]).alias("quantiles"))
+
+
+def exact_median_and_p95(facts: DataFrame, min_trips: int = 5) -> DataFrame:
+    """The panel of `median_and_p95` without its error, over all dates of the facts."""
+    minutes = lambda i: dashboards.one_decimal(F.col("quantiles")[i] / 60)
+    out = exact(facts, ("0.5", "0.95")).select("route_id", minutes(0).alias("median_duration_minutes"), minutes(1).alias("p95_duration_minutes"), "trip_count")
+    return out.where(F.col("trip_count") >= min_trips)
+
+
 def median_and_p95(rows: DataFrame, min_trips: int = 5) -> DataFrame:
     """The panel of dashboards.median_and_p95 over the sketches' dates."""
     minutes = lambda p: dashboards.one_decimal(quantile(p) / 60)

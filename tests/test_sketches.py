@@ -66,6 +66,33 @@ def test_small_groups_are_exact_and_odd_ones_have_a_result(spark):
     assert sketches.merged(sketches.daily(facts.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("k", [8, 4096])
+def test_exact_ranks_whatever_the_sketch(spark, k):
+    """Groups of more than k values, ties, one value, nulls; the ranks are the smallest that p of the values reach."""
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 9 = 0 THEN 'b' WHEN id % 9 = 1 THEN NULL ELSE 'a' END AS route_id", "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 5 AS int)) AS started_at", "CASE id % 9 WHEN 0 THEN 300 WHEN 1 THEN cast(id % 40 AS int) ELSE cast(pow(1.0005, id) AS int) END AS duration_seconds")
+    rows = rows.unionByName(spark.createDataFrame([("none", datetime(2024, 1, 1), None)] * 5 + [("one", datetime(2024, 1, 1), 7)], "route_id string, started_at timestamp_ntz, duration_seconds int"))
+    ps = ("0.5", "0.95", "0", "1", "0.3")
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault(r.route_id, []).append(r.duration_seconds)
+    found = {r.route_id: r for r in sketches.exact(rows, ps, k=k).collect()}
+    assert found.keys() == groups.keys() == {"a", "b", None, "none", "one"}
+    for route, r in found.items():
+        values = sorted(v for v in groups[route] if v is not None)
+        rank = [max(0, -(-len(values) * int(float(p) * 100) // 100) - 1) for p in ps]
+        assert r.quantiles == ([values[i] for i in rank] if values else [None] * len(ps)), route
+        assert (r.trip_count, r.value_count) == (len(groups[route]), len(values))
+    assert sketches.exact(rows.limit(0), ps).count() == 0
+
+
+def test_panel_of_many_trips_is_exact(spark):
+    """10,000 trips a route, more than a sketch holds, with few distinct durations."""
+    rows = spark.range(100_000).selectExpr("concat('r', id % 10) AS route_id", "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 30 AS int)) AS started_at", "cast(60 + 30 * (xxhash64(id) & 127) AS int) AS duration_seconds")
+    disc = lambda p: F.expr(f"round(cast(percentile_disc({p}) WITHIN GROUP (ORDER BY duration_seconds) / 60 AS decimal(18, 6)), 1)").cast("double")
+    plain = rows.groupBy("route_id").agg(disc(0.5), disc(0.95), F.count("*"))
+    assert {tuple(r) for r in sketches.exact_median_and_p95(rows).collect()} == {tuple(r) for r in plain.collect()}
+
+
 def test_a_date_written_again_replaces_itself(spark, facts, dim, tmp_path):
     path = f"{tmp_path}/s"
     sketches.save(facts, path)
