@@ -1,13 +1,15 @@
 """Trips out of long series: the rules of `trajectory` as a segmented scan.
 
-A series is cut into segments, one for each day, that are sorted by tasks of their own. What a segment must know of those before it is small: a neighbour at
+A series is cut into segments, of a day or more, that are sorted by tasks of their own. What a segment must know of those before it is small: a neighbour at
 its edge, a running count, the last row near a terminal. So the scan takes three rounds, and in each a segment is summed up to one row, the rows of a
-series are scanned in order (one for each day), and each segment reads what it carries in:
+series are scanned in order, and each segment reads what it carries in:
 
 1. the rows at both edges and the number of rows so far, by which candidates for spikes are told;
 2. the last row that is no candidate, by whose distance every other candidate is a spike;
 3. the last row near a terminal with the counts up to it, the zone there, the anchor and the last row of all, from which trips are told.
 
+`trips_by_size` is for tables that have both: a series of at most `MOST` rows is one segment, into which nothing is carried, so `trajectory` reads it in one scan; a
+longer one is cut into runs of whole days of about that many rows. So summaries stay few beside rows, where a segment a day may have two or three rows.
 All rounds share the rows' one exchange and sort by segment; only summaries are shuffled again. The trips are those of `trajectory.detected` on the
 sanitized rows, wherever the series is cut. Rows without a time are a segment before all others.
 """
@@ -18,9 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import elapsed_s, haversine_m, speed_kmh
+from . import trajectory
 from .trajectory import GROUP, ORDER
 
 DAY = "coalesce(to_date(veiculo_ts), date'0001-01-01')"
+#: Rows of a series that a segment should have; a day is never cut.
+MOST = 100_000
 KEY = "_key"
 SEGMENT = f"(PARTITION BY {KEY} ORDER BY {', '.join(ORDER)})"
 SO_FAR, BEFORE = (f"{SEGMENT[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND {end})" for end in ("CURRENT ROW", "1 PRECEDING"))
@@ -35,6 +40,16 @@ def cut(positions: DataFrame, segment: str = DAY) -> DataFrame:
     return positions.withColumn(KEY, F.struct(*GROUP, F.expr(segment).alias("segment")))
 
 
+def by_size(positions: DataFrame, most: int = MOST) -> tuple[DataFrame, DataFrame]:
+    """The rows of series of at most `most` rows, as they are, and the others as of `cut`, by segments of about `most` rows, each of whole days."""
+    sizes = positions.groupBy(F.struct(*GROUP).alias("_series")).agg(F.count("*").alias("_rows"), *[f(F.to_date("veiculo_ts")).alias(n) for f, n in ((F.min, "_first"), (F.max, "_last"))]).where(F.col("_rows") > most)
+    days = f"greatest(1, cast(ceil((datediff(_last, _first) + 1) / ceil(_rows / {int(most)})) AS int)) AS _days"
+    long = F.broadcast(sizes.selectExpr("_series", "_first", days))  # one for `most` rows at the utmost
+    rows = positions.withColumn("_series", F.struct(*GROUP))
+    run = "date_add(_first, cast(floor(datediff(to_date(veiculo_ts), _first) / _days) AS int) * _days)"
+    return rows.join(long, "_series", "left_anti").drop("_series"), cut(rows.join(long, "_series"), f"coalesce({run}, date'0001-01-01')").drop("_series", "_first", "_days")
+
+
 def carried(rows: DataFrame, sums: list[str], *scans: list[str], take: list[str]) -> DataFrame:
     """rows with the columns `take` of their segment's summary: `sums` by segment, then `scans` over the summaries of the series, one after another."""
     order = f"struct({', '.join(ORDER)})"
@@ -124,3 +139,10 @@ def detected(rows: DataFrame, radius: float = 100.0) -> DataFrame:
 def trips(positions: DataFrame, segment: str = DAY, limit: float = 120.0, radius: float = 100.0) -> DataFrame:
     """Positions to trips, a segment at a time: what trajectory.detected gives of sanitized rows."""
     return detected(with_spikes(cut(positions, segment), limit).where("NOT spike").drop("spike"), radius)
+
+
+def trips_by_size(positions: DataFrame, limit: float = 120.0, radius: float = 100.0, most: int = MOST) -> DataFrame:
+    """As `trips`, where series of more than `most` rows alone are cut, `by_size`; a shorter one is one segment, which carries nothing in and needs no rounds."""
+    short, long = by_size(positions, most)
+    whole = trajectory.detected(trajectory.sanitize(short, limit), radius)
+    return whole.unionByName(detected(with_spikes(long, limit).where("NOT spike").drop("spike"), radius))

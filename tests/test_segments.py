@@ -42,6 +42,32 @@ def test_wherever_series_are_cut(spark, tmp_path, segment):
     assert told(segments.trips(positions, segment)) == whole and len(whole) > 2000
 
 
+@pytest.mark.parametrize("most", [3, 12])
+def test_long_series_alone_are_cut(spark, tmp_path, most):
+    """Series around the bound, some without a time; segments hold whole days and are about as few as the rows ask for."""
+    rng = random.Random(most)
+    rows = [r for v in range(800) for r in random_series(rng, v)]
+    rows += [(r[0], None if r[1] % 50 == 0 else r[1], None if i % 200 == 0 else r[2], *r[3:]) for i, r in enumerate(r for v in range(800, 900) for r in random_series(rng, v))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/p")
+    positions = spark.read.parquet(f"{tmp_path}/p")
+    assert told(segments.trips_by_size(positions, most=most)) == told(trajectory.detected(trajectory.sanitize(positions)))
+    short, long = segments.by_size(positions, most)
+    sizes = {}
+    for r in rows:
+        sizes[r[:2]] = sizes.get(r[:2], 0) + 1
+    assert short.count() == sum(n for n in sizes.values() if n <= most) and short.count() + long.count() == len(rows)
+    cuts = long.groupBy(segments.KEY).count().collect()
+    assert len(cuts) <= sum(n // most + 3 for n in sizes.values() if n > most)
+
+
+def test_short_series_are_no_segments(spark):
+    """A segment a day made almost as many summaries as rows."""
+    rows = fixtures.positions(spark, DATA)
+    assert segments.by_size(rows)[1].count() == 0
+    before = segments.cut(rows).select(segments.KEY).distinct().count()
+    assert before * 5 > rows.count()
+
+
 def test_tables_and_missing_keys(spark):
     rows = fixtures.positions(spark, DATA, near=True)
     assert told(segments.trips(rows)) == told(trajectory.detected(trajectory.sanitize(rows)))
