@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,25 @@ WINDOW, END, GATHER = 2048, 1, 20_000_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+class Words(dict):
+    """Words with what `encode` makes of them, made when one is first looked up and kept while what is kept takes `most` bytes by estimate."""
+
+    #: Of an entry: two objects and their places in the dictionary.
+    ENTRY = 200
+
+    def __init__(self, encode: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.encode, self.most, self.held = encode, most, 0
+
+    def __missing__(self, word: str) -> bytes:
+        if self.held > self.most:
+            self.clear()
+            self.held = 0
+        self[word] = ids = self.encode(word)
+        self.held += self.ENTRY + 2 * len(word) + len(ids)
+        return ids
+
+
 class WordTokenizer:
     """Ids, as little-endian 32-bit bytes, as by Tokenizer.from_file(path).encode(text, add_special_tokens=False).
 
@@ -44,13 +64,11 @@ class WordTokenizer:
     SPACE = "\t-\r \x85\xa0"
     WORD = re.compile(f"[{LETTER}]+|'(?:[stmd]|re|ve|ll)|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+")
 
-    #: Of an entry: two objects and their places in the dictionary.
-    ENTRY = 200
-
     def __init__(self, path: str, most: int = 96_000_000):
         from tokenizers import Tokenizer
 
-        self.whole, self.most, self.known, self.held = Tokenizer.from_file(path), most, {}, 0
+        self.whole, self.known = Tokenizer.from_file(path), Words(self.encode, most)
+        self.pieces = self.whole.model.tokenize  # `model` is made anew whenever it is asked for
         # Byte-level vocabularies write the bytes that are no visible Latin-1 characters as U+0100 and on.
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in seen]
@@ -59,25 +77,13 @@ class WordTokenizer:
     def encode(self, word: str) -> bytes:
         if not (word.isascii() and word.isprintable()):  # control characters have letters of their own, too
             word = "".join(map(self.letters.__getitem__, word.encode()))
-        return np.array([t.id for t in self.whole.model.tokenize(word)], "<u4").tobytes()
+        ids = [t.id for t in self.pieces(word)]
+        return pack_ids(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if not (text.isascii() and "<|" not in text) and self.OTHER.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, known = self.WORD.findall(text.lower()), self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if self.held > self.most:
-                self.forget()
-            for word in set(words).difference(known):
-                known[word] = ids = self.encode(word)
-                self.held += self.ENTRY + 2 * len(word) + len(ids)
-            return b"".join(map(known.__getitem__, words))
-
-    def forget(self) -> None:
-        self.known.clear()
-        self.held = 0
+        return b"".join(map(self.known.__getitem__, self.WORD.findall(text.lower())))
 
 
 @lru_cache(maxsize=2)

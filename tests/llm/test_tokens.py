@@ -21,6 +21,19 @@ def test_every_character_and_random_texts():
         assert ours.ids(s) == theirs(s), repr(s)
 
 
+def test_words_are_made_once_and_bounded_within_a_text():
+    """Each new word is looked up and encoded once; what is kept keeps to its bound in a text of new words alone, too."""
+    ours = packing.WordTokenizer(packing.vocabulary(), most=60_000)
+    text = " ".join(a + b + c for a in "abcdefghijklmnopqrst" for b in "uvwxyzabcd" for c in ("on", "er", "q", "xyz", "ing"))
+    assert ours.ids(text) == np.array(ours.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(ours.known) and sum(200 + 2 * len(w) + len(ids) for w, ids in ours.known.items()) <= 60_000 + 1_000
+    made = []
+    ours = packing.WordTokenizer(packing.vocabulary())
+    pieces = ours.pieces
+    ours.pieces = lambda word: made.append(word) or pieces(word)
+    assert ours.ids("one two one") == ours.ids("ONE two\tone") and made == ["one", "two"]
+
+
 def test_loose_pieces_in_any_order(spark, tmp_path, monkeypatch):
     """The second pass packs by document, not in the order in which rows come."""
     rng = random.Random(8)
