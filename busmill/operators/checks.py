@@ -136,6 +136,36 @@ def marks(summaries: DataFrame, before: DataFrame | None = None) -> DataFrame:
     return both.select(F.coalesce("pipeline", "_old").alias("pipeline"), run.alias("run"))
 
 
+def _within_parts(rows: DataFrame) -> DataFrame:
+    """rows with their number in their part and that of the last one up to them that isn't WARN."""
+    order = Window.partitionBy("_key").orderBy("received_at", "seq")
+    rows = rows.withColumn("_n", F.row_number().over(order))
+    return rows.withColumn("_other", F.max(F.when(F.col("status") != "WARN", F.col("_n"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def _open_runs(rows: DataFrame, before: DataFrame | None) -> DataFrame:
+    """_open for each part: how many summaries its pipeline has had before it since the last one that isn't WARN. What is scanned by pipeline is a row a part."""
+    parts = _within_parts(rows).groupBy("_key").agg(F.max("_n").alias("_rows"), F.max("_other").alias("_last"))
+    carried = F.lit(0)
+    if before is not None:
+        marks = before.select(F.col("pipeline").alias("_p"), F.col("run").alias("_carried"))
+        parts = parts.join(F.broadcast(marks), F.col("_key.pipeline") == F.col("_p"), "left")  # one row a pipeline
+        carried = F.coalesce("_carried", F.lit(0))
+    earlier = Window.partitionBy("_key.pipeline").orderBy("_key._part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_so_far", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    return parts.select("_key", (F.col("_so_far") - F.coalesce(F.max(F.col("_so_far") + F.col("_last")).over(earlier), -carried)).alias("_open"))
+
+
+def _in_window(rows: DataFrame, seconds: int) -> DataFrame:
+    """For each second of a part the summaries, failed items and mean failed ratio of the `seconds` up to it. Summaries are added up by second on the map side, and
+    each second goes to its own part and the next, in which alone it can be in a window."""
+    sums = rows.groupBy("_key", "_at").agg(F.count("*").alias("_c"), F.sum(F.coalesce("items_failed", F.lit(0))).alias("_i"), F.sum(1 - F.coalesce("acceptance_rate", F.lit(0.0))).alias("_f"))
+    sums = sums.withColumn("_for", F.explode(F.expr("if(_at IS NULL, array(_key._part), array(_key._part, _key._part + 1))")))
+    window = Window.partitionBy("_key.pipeline", "_for").orderBy("_at").rangeBetween(-seconds, 0)
+    sums = sums.withColumns({"_count": F.sum("_c").over(window), "_items": F.sum("_i").over(window), "_ratio": F.sum("_f").over(window) / F.sum("_c").over(window)})
+    return sums.where("_for <=> _key._part").select("_key", "_at", "_count", "_items", "_ratio")
+
+
 def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24, since: str | None = None, before: DataFrame | None = None) -> DataFrame:
     """What to do with each summary: sent, stored or ignored, and why.
 
@@ -143,7 +173,9 @@ def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24, sinc
     judged on its pipeline's summaries of the hours up to its own.
 
     since, before: decides on summaries from a time on alone, and then reads only the hours before it and the marks of each pipeline at that time (as of
-    `marks`), however long its past. Without marks no run goes back beyond `since`."""
+    `marks`), however long its past. Without marks no run goes back beyond `since`.
+
+    No task holds a pipeline: rows are numbered a part of a pipeline at a time, a day or the hours if they are more, and read what they carry in from a row a part."""
     at = F.unix_seconds(F.col("received_at").cast("timestamp"))
     new = F.lit(True)
     if since is not None:
@@ -151,21 +183,15 @@ def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24, sinc
         start = F.lit(since).cast("timestamp")
         new = F.col("received_at").cast("timestamp") >= start
         summaries = summaries.where(F.col("received_at") >= F.date_trunc("second", start - F.expr(f"INTERVAL {int(hours)} HOURS")).cast(summaries.schema["received_at"].dataType))
-    rows = summaries.join(F.broadcast(thresholds), "pipeline", "left").withColumn("_at", at).withColumn("_new", new)  # a table of settings
-    carried = F.lit(0)
-    if before is not None:
-        rows = rows.join(before.select("pipeline", F.col("run").alias("_carried")), "pipeline", "left")  # one row a pipeline
-        carried = F.coalesce("_carried", F.lit(0))
-    window = Window.partitionBy("pipeline").orderBy("_at").rangeBetween(-hours * 3600, 0)
-    order = Window.partitionBy("pipeline").orderBy("received_at", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_n", F.count_if("_new").over(order))
+    # Parts of a pipeline, of the window's length or more: a window reaches back into the part before at most. Rows without a time are a part before all others.
+    width = max(hours, 24) * 3600
+    rows = summaries.withColumn("_at", at).withColumn("_new", new).withColumn("_part", F.floor(F.col("_at") / width)).withColumn("_key", F.struct("pipeline", "_part"))
+    told = _in_window(rows, hours * 3600).join(_open_runs(rows.where("_new"), before), "_key").select(F.struct("_key", "_at").alias("_second"), "_count", "_items", "_ratio", "_open")
+    own = _within_parts(rows.where("_new")).withColumn("_second", F.struct("_key", "_at")).join(told, "_second")
     # WARNs since the last summary that isn't one, within the window.
-    other = F.max(F.when(F.col("_new") & (F.col("status") != "WARN"), F.col("_n"))).over(order)
-    rows = rows.withColumn("_run", F.least(F.col("_n") - F.coalesce(other, -carried), F.count("*").over(window)))
+    rows = own.withColumn("_run", F.least(F.col("_n") - F.coalesce("_other", -F.col("_open")), "_count")).join(F.broadcast(thresholds), "pipeline", "left")  # a table of settings
     known = F.col("max_failed_items").isNotNull()
-    items = F.sum(F.coalesce("items_failed", F.lit(0))).over(window)
-    ratio = F.avg(1 - F.coalesce("acceptance_rate", F.lit(0.0))).over(window)
-    fires = (items >= F.col("max_failed_items")) | (ratio >= F.col("max_failed_ratio")) | (F.col("_run") >= F.col("max_consecutive_warn"))
+    fires = (F.col("_items") >= F.col("max_failed_items")) | (F.col("_ratio") >= F.col("max_failed_ratio")) | (F.col("_run") >= F.col("max_consecutive_warn"))
     valid = F.col("status").isin(*RANK)
     outcome = (
         F.when(~valid | F.col("status").isNull(), "ignored:unknown_status")
@@ -175,4 +201,4 @@ def decisions(summaries: DataFrame, thresholds: DataFrame, hours: int = 24, sinc
         .when((F.col("status") == "WARN") & F.col("notify_on_warn") & fires, "sent:cumulative_warn")
         .otherwise("stored")
     )
-    return rows.select("pipeline", "seq", "status", outcome.alias("decision"), "_new").where("_new").drop("_new")
+    return rows.select("pipeline", "seq", "status", outcome.alias("decision"))

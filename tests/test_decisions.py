@@ -40,6 +40,51 @@ def test_any_start_gives_the_decisions_of_the_whole(spark, limits, seed):
     assert found == {r[5]: whole[r[5]] for r in rows if r[4] >= since}
 
 
+def by_hand(rows, limits, hours):
+    """The rule read row by row."""
+    epoch, out, kept = datetime(1970, 1, 1), {}, {}
+    for pipeline, status, items, rate, at, seq in sorted(rows, key=lambda r: (r[4] is not None, r[4] or T0, r[5])):
+        run = kept[pipeline] = 0 if status not in ("WARN", None) else kept.get(pipeline, 0) + 1
+        second = lambda t: None if t is None else (t - epoch) // timedelta(seconds=1)
+        near = [r for r in rows if r[0] == pipeline and (r[4] is None if at is None else r[4] is not None and 0 <= second(at) - second(r[4]) <= hours * 3600)]
+        limit = limits.get(pipeline)
+        fires = limit and (sum(r[2] or 0 for r in near) >= limit[0] or sum(1 - (r[3] or 0.0) for r in near) / len(near) >= limit[1] or min(run, len(near)) >= limit[2])
+        out[seq] = (
+            "ignored:unknown_status" if status not in checks.RANK else "stored:pass_status" if status == "PASS" else "ignored:unknown_pipeline" if not limit else "sent:fail" if status == "FAIL" and limit[3]
+            else "sent:cumulative_warn" if status == "WARN" and limit[4] and fires else "stored"
+        )
+    return out
+
+
+@pytest.mark.parametrize("hours", [0, 1, 24, 50])
+def test_decisions_by_hand(spark, hours):
+    """Runs and windows over the bounds of parts, days of one time, rows without a time, any number of hours."""
+    rng = random.Random(hours)
+    rows = [r if k % 60 else (*r[:4], None, r[5]) for k, r in enumerate(summaries(rng, 350))]
+    day = T0 + timedelta(days=30)
+    rows += [("a", rng.choice(["WARN"] * 6 + ["PASS"]), 1, 1.0, day + timedelta(days=k // 9), 1000 + (k * 7) % 100) for k in range(100)]
+    limits = {"a": (10_000, 5.0, 12, True, True), "b": (30, 5.0, 10_000, True, True), "c": (10_000, 0.55, 12, False, True)}
+    table, settings = spark.createDataFrame(rows, SCHEMA).repartition(3), spark.createDataFrame([(k, *v) for k, v in limits.items()], LIMITS)
+    found = {r.seq: r.decision for r in checks.decisions(table, settings, hours).collect()}
+    assert found == by_hand(rows, limits, hours) and len(found) == len(rows)
+
+
+def test_no_task_holds_a_pipeline(spark, limits, tmp_path):
+    """Summaries are never shuffled by pipeline alone."""
+    spark.createDataFrame(list(summaries(random.Random(3), 50)), SCHEMA).write.parquet(f"{tmp_path}/s")
+    table = spark.read.parquet(f"{tmp_path}/s")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (checks.decisions(table, limits, 6),)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans:
+        by_pipeline = [i for i, x in enumerate(plan.splitlines()) if "Exchange hashpartitioning(pipeline#" in x]
+        # What is shuffled by pipeline are sums: the last time that isn't WARN and the count of marks.
+        assert all("HashAggregate" in plan.splitlines()[i + 1] or "SortAggregate" in plan.splitlines()[i + 1] for i in by_pipeline)
+
+
 def test_marks_go_on(spark):
     rows = list(summaries(random.Random(9), 200))
     run = {}
