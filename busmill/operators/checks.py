@@ -126,7 +126,7 @@ def marks(summaries: DataFrame, before: DataFrame | None = None) -> DataFrame:
     first of these summaries, so that marks go on from batch to batch without a pipeline's past."""
     at = F.struct("received_at", "seq")
     last = summaries.groupBy(F.col("pipeline").alias("_p")).agg(F.max(F.when(F.col("status") != "WARN", at)).alias("_last"))
-    rows = summaries.join(last, F.col("pipeline").eqNullSafe(F.col("_p")))
+    rows = summaries.join(F.broadcast(last), F.col("pipeline").eqNullSafe(F.col("_p")))  # one row a pipeline, so that no task reads a pipeline whole
     out = rows.groupBy("pipeline").agg(F.count_if(F.col("_last").isNull() | (at > F.col("_last"))).alias("run"), F.first(F.col("_last").isNull()).alias("_open"))
     if before is None:
         return out.drop("_open")

@@ -76,7 +76,7 @@ def test_no_task_holds_a_pipeline(spark, limits, tmp_path):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (checks.decisions(table, limits, 6),)]
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (checks.decisions(table, limits, 6), checks.decisions(table, limits, 6, str(T0 + timedelta(hours=9)), checks.marks(table)))]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for plan in plans:
